@@ -197,7 +197,7 @@ _BUDGET = f"""
 WITH {COUNTED},
 limits AS (
   SELECT sum(num_tokens) // 3 AS t, sum(num_tokens) // 40 AS v,
-    CAST(floor((sum(num_tokens) // 40) / 100 / count(DISTINCT shard)) AS BIGINT) AS n
+    CAST(floor((sum(num_tokens) // 40) / 50 / count(DISTINCT shard)) AS BIGINT) AS n
   FROM counted),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY shard ORDER BY sha256('42:' || doc_id)) AS place

@@ -292,7 +292,7 @@ def token_budget_sample(spark, sf_dir):
     counted = inputs.counted(spark, sf_dir)
     total = counted.agg(F.sum("num_tokens")).first()[0]
     sampled = g.sample_by_token_budget(
-        counted, total // 3, total // 40, "shard", "doc_id", tokens_per_example=100
+        counted, total // 3, total // 40, "shard", "doc_id", tokens_per_example=50
     )
     return sampled.select("doc_id", "shard", "split")
 

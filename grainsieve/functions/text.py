@@ -78,23 +78,31 @@ def remove_wikipedia_footnote(
     return F.regexp_replace(text, rf"(?Us)\n(?:{names})\s*\n.*", "")
 
 
-def remove_empty_parenthesis(text: Column) -> Column:
-    """Trim blanks and separators inside brackets, then drop empty ones; full-width first.
+def _tidy_brackets(text: Column, opening: str, closing: str, separators: str, empty: str) -> Column:
+    """Trim separators inside one kind of brackets, then drop empty ones.
 
     A run of separators in front of a closing bracket is only tried from its start and never given
-    back, so a long run without a bracket is read once.
+    back, so a long run without a bracket is read once. Texts without such brackets skip it all.
     """
-    steps = (
-        (r"（[\s,，、;；]*+", "（"),
-        (r"(?<![\s,，、;；])[\s,，、;；]++）", "）"),
-        (r"（\s*+）", ""),
-        (r"\([\s,;]*+", "("),
-        (r"(?<![\s,;])[\s,;]++\)", ")"),
-        (r"\s?\(\s*+\)", ""),
+    tidied = F.regexp_replace(text, rf"(?U)\Q{opening}\E{separators}*+", opening)
+    tidied = F.regexp_replace(
+        tidied, rf"(?U)(?<!{separators}){separators}++\Q{closing}\E", closing
     )
-    for pattern, replacement in steps:
-        text = F.regexp_replace(text, f"(?U){pattern}", replacement)
-    return text
+    tidied = F.regexp_replace(tidied, rf"(?U){empty}", "")
+    return F.when(text.contains(opening) | text.contains(closing), tidied).otherwise(text)
+
+
+def tidy_wide_brackets(text: Column) -> Column:
+    return _tidy_brackets(text, "（", "）", r"[\s,，、;；]", r"（\s*+）")
+
+
+def tidy_ascii_brackets(text: Column) -> Column:
+    return _tidy_brackets(text, "(", ")", r"[\s,;]", r"\s?\(\s*+\)")
+
+
+def remove_empty_parenthesis(text: Column) -> Column:
+    """Both kinds of brackets, the full-width ones first."""
+    return tidy_ascii_brackets(tidy_wide_brackets(text))
 
 
 # Size suffixes and their factors.

@@ -28,10 +28,14 @@ SCHEMAS = {
 def spread(df: DataFrame) -> DataFrame:
     """Give a freshly read table at least one partition per core; a table with enough is left alone.
 
-    Files of a single row group are read by one task however large they are.
+    Files of a single row group are read by one task however large they are. The always true condition
+    is not deterministic for the optimizer, which keeps it from moving filters on the texts back
+    below the exchange and into that one task; columns are still pruned.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores).filter(F.spark_partition_id() >= 0)
 
 
 def read_jsonl(
