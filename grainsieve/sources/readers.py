@@ -60,14 +60,16 @@ def read_jsonl(
     return reader.json(paths)
 
 
+def _unquoted(text: Column) -> Column:
+    return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+
+
 def _shard() -> Column:
     """File stem, or the ``shard=`` folder of a partitioned table."""
-    path = F.col("_metadata.file_path")
-    folder = F.regexp_extract(path, "/shard=([^/]+)/", 1)
-    return F.coalesce(
-        F.nullif(F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B"))), F.lit("")),
-        file_stem(path),
-    )
+    path = _unquoted(F.col("_metadata.file_path"))
+    # Writers quote partition values on top of the path's own quoting.
+    folder = _unquoted(F.regexp_extract(path, "/shard=([^/]+)/", 1))
+    return F.coalesce(F.nullif(folder, F.lit("")), file_stem(path))
 
 
 def read_documents(

@@ -1,0 +1,234 @@
+"""Readers, writers, manifests, streaming and the stages end to end."""
+
+import io
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+import grainsieve as g
+from grainsieve import jobs
+from grainsieve.plans.durable import shared_dir
+from grainsieve.sinks.writers import ingest, write_jsonl, write_parquet, write_shards
+from grainsieve.sources.manifests import read_manifest, write_manifest
+from grainsieve.sources.paths import input_paths, split_files
+from grainsieve.sources.readers import read_documents, read_jsonl, read_lines, read_splits
+from grainsieve.streaming.recipes import filter_stream, stream_documents
+
+
+def lines(path, rows):
+    path.write_text("".join(json.dumps(row, ensure_ascii=False) + "\n" for row in rows))
+    return str(path)
+
+
+def test_input_paths(spark, tmp_path, caplog):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "deep").mkdir()
+    one = lines(tmp_path / "a" / "x.jsonl", [])
+    lines(tmp_path / "a" / "y.parquet", [])
+    lines(tmp_path / "a" / "deep" / "z.jsonl", [])
+    odd = lines(tmp_path / "odd.txt", [])
+    found = input_paths(spark, [str(tmp_path / "a"), odd, str(tmp_path / "gone")], "jsonl")
+    assert found == [f"{tmp_path}/a/*.jsonl", odd]
+    assert "not found and skipped" in caplog.text
+    assert input_paths(spark, [one], "parquet") == [one]
+    (tmp_path / "t" / "split=train").mkdir(parents=True)
+    assert input_paths(spark, [str(tmp_path / "t"), str(tmp_path / "a" / "deep")]) == [f"{tmp_path}/t"]
+
+
+def test_splits(spark, tmp_path):
+    lines(tmp_path / "train-0.jsonl", [{"text": "a"}])
+    lines(tmp_path / "train-1.jsonl", [{"text": "b"}])
+    lines(tmp_path / "my_valid.jsonl", [{"text": "c"}])
+    lines(tmp_path / "test.json", [{"text": "d"}])
+    rows = {(r.split, r.text) for r in read_splits(spark, str(tmp_path), "text STRING").collect()}
+    assert rows == {("train", "a"), ("train", "b"), ("validation", "c")}
+    with pytest.raises(ValueError, match="Found 2 train files"):
+        split_files(spark, str(tmp_path), single=True)
+    with pytest.raises(ValueError, match="Found 0 train files"):
+        split_files(spark, str(tmp_path), "json")
+    lines(tmp_path / "train_test.jsonl", [])
+    with pytest.raises(ValueError, match="names both"):
+        split_files(spark, str(tmp_path))
+
+
+def test_jsonl_modes(spark, tmp_path):
+    path = tmp_path / "x.jsonl"
+    path.write_text('{"text": "あ", "n": 1}\n{"text": \n')
+    tolerant = read_documents(spark, [str(path)], "pandas-jsonl", "text STRING, n INT", shard=True)
+    assert [tuple(r) for r in tolerant.collect()] == [
+        ("あ", 1, None, "x"),
+        (None, None, '{"text": ', "x"),
+    ]
+    assert "_corrupt" in read_jsonl(spark, str(path), tolerant=True).columns
+    with pytest.raises(Exception, match="[Mm]alformed"):
+        read_jsonl(spark, str(path), "text STRING, n INT").collect()
+
+
+def test_row_ids_tell_rows_apart(spark, tmp_path):
+    for name in ("b 1", "a+2"):
+        spark.range(50).withColumn("text", F.lit("same")).coalesce(1).write.parquet(str(tmp_path / name))
+    frame = read_documents(spark, [str(tmp_path / "b 1"), str(tmp_path / "a+2")], shard=True, row_id=True)
+    assert frame.count() == frame.select("row_id").distinct().count() == 100
+    assert frame.select("shard").distinct().count() == 2
+    with pytest.raises(ValueError):
+        read_documents(spark, [lines(tmp_path / "j.jsonl", [{"a": 1}])], "jsonl", row_id=True)
+    with pytest.raises(FileNotFoundError):
+        read_documents(spark, [str(tmp_path / "gone")])
+    assert read_documents(spark, [str(tmp_path / "gone")], schema="a INT").count() == 0
+
+
+def test_guards(spark, tmp_path):
+    path = str(tmp_path / "out")
+    one, two = spark.range(1), spark.range(2)
+    assert write_parquet(one, path)
+    assert not write_parquet(two, path)
+    assert spark.read.parquet(path).count() == 1
+    with pytest.raises(FileExistsError):
+        write_parquet(two, path, on_exists="error")
+    assert write_parquet(two, path, overwrite=True)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_jsonl_writes_nulls_and_raw_characters(spark, tmp_path):
+    path = tmp_path / "out"
+    frame = spark.createDataFrame([("あ", None)], "a STRING, b STRING")
+    write_jsonl(frame.coalesce(1), str(path))
+    (part,) = path.glob("part-*")
+    assert part.read_text() == '{"a":"あ","b":null}\n'
+
+
+def test_chunks(spark, tmp_path):
+    path = tmp_path / "out"
+    write_parquet(spark.range(250).coalesce(1), str(path), max_rows=100)
+    assert len(list(path.glob("part-*"))) == 3
+
+
+def test_shards_resume(spark, tmp_path):
+    path = str(tmp_path / "out")
+    frame = spark.createDataFrame([("a b=1", 1), ("007", 2), ("c%", 3)], "shard STRING, n INT")
+    write_shards(frame.filter("n < 3"), path)
+    write_shards(frame.withColumn("n", F.col("n") + 10), path)
+    stored = read_documents(spark, [path], shard=True)
+    assert {(r.shard, r.n) for r in stored.collect()} == {("a b=1", 1), ("007", 2), ("c%", 13)}
+    write_shards(frame.filter("n = 1").withColumn("n", F.lit(21)), path, overwrite=True)
+    stored = read_documents(spark, [path], shard=True)
+    assert {(r.shard, r.n) for r in stored.collect()} == {("a b=1", 21), ("007", 2), ("c%", 13)}
+
+
+def test_ingest(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    frame = spark.createDataFrame([("あ\nb", "train"), ("c", "train"), ("d", "test")], "text STRING, split STRING")
+    assert {tuple(r) for r in ingest(frame, path).collect()} == {("train", 2), ("test", 1)}
+    with pytest.raises(FileExistsError):
+        ingest(frame, path)
+    assert ingest(frame.filter("split = 'test'"), path, overwrite=True).count() == 1
+    assert ingest(frame, str(tmp_path / "p"), "parquet").count() == 2
+
+
+def test_manifest(spark, tmp_path):
+    path = str(tmp_path / "ids")
+    ids = spark.createDataFrame([("x",), ("y",), ("x",)], "id STRING")
+    write_manifest(ids, path, None)
+    key, found = read_manifest(spark, path)
+    assert key == "hash" and sorted(r.id for r in found.collect()) == ["x", "x", "y"]
+    by_hand = tmp_path / "ids.json"
+    by_hand.write_text(json.dumps({"key": "id", "ids": ["1", "2"]}, indent=2))
+    key, found = read_manifest(spark, str(by_hand))
+    assert key == "id" and [r.id for r in found.collect()] == ["1", "2"]
+    with pytest.raises(ValueError, match="too many"):
+        write_manifest(ids, str(tmp_path / "other"), None, max_ids=2)
+
+
+def test_lines_keep_their_order(spark, tmp_path):
+    path = tmp_path / "words.txt"
+    path.write_text("b\na\n\nカナ\n")
+    assert read_lines(spark, str(path)) == ["b", "a", "", "カナ"]
+    with pytest.raises(ValueError):
+        read_lines(spark, str(path), max_bytes=3)
+
+
+def test_shared_dir_follows_the_session(spark):
+    assert shared_dir(spark) == (spark.conf.get("spark.checkpoint.dir", None) or shared_dir(spark))
+
+
+def test_stream_goes_on_with_new_files(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    schema = "text STRING, id STRING, split STRING"
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    recipe = g.recipe_for("en_wiki")
+    batches = [
+        [{"text": "a ()", "id": "1", "split": "train"}, {"text": " ", "id": "2", "split": "train"}],
+        [{"text": "b\nNotes\nx", "id": "3", "split": "test"}],
+    ]
+    for i, batch in enumerate(batches):
+        lines(source / f"{i}.json", batch)
+        arriving = stream_documents(spark, str(source), schema)
+        filter_stream(arriving, recipe, out, state, carry=("split",)).awaitTermination()
+        stored = {(r.text, r.meta.id, r.split) for r in spark.read.parquet(out).collect()}
+        batch_run = g.apply_recipe(read_jsonl(spark, str(source), schema), recipe, ("split",))
+        assert stored == {(r.text, r.meta.id, r.split) for r in batch_run.collect()}
+    assert stored == {("a", "1", "train"), ("b", "3", "test")}
+
+
+def test_stages_end_to_end(spark, tmp_path):
+    from sentencepiece import SentencePieceProcessor, SentencePieceTrainer
+
+    raw, base = tmp_path / "raw", str(tmp_path)
+    raw.mkdir()
+    rows = [{"text": f"text {i} ( )\nNotes\nz", "id": str(i)} for i in range(40)]
+    lines(raw / "train.jsonl", [*rows, {"text": " ", "id": "40"}])
+    lines(raw / "valid.jsonl", rows[:4])
+    model = io.BytesIO()
+    SentencePieceTrainer.train(
+        sentence_iterator=iter(r["text"] for r in rows), model_writer=model, vocab_size=40,
+        hard_vocab_limit=False, minloglevel=2,
+    )
+    (tmp_path / "m.model").write_bytes(model.getvalue())
+
+    assert jobs.filter_corpus(spark, "en_wiki", str(raw), f"{base}/filter")
+    assert not jobs.filter_corpus(spark, "en_wiki", str(raw), f"{base}/filter")
+    kept = spark.read.parquet(f"{base}/filter")
+    assert kept.filter("split = 'train'").count() == 40
+    assert {r.text for r in kept.collect()} == {f"text {i}" for i in range(40)}
+
+    train = f"{base}/filter/split=train"
+    jobs.tokenize_corpus(spark, [train], f"{base}/tokens", f"{base}/m.model")
+    jobs.tokenize_corpus(spark, [train], f"{base}/tokens", f"{base}/m.model")
+    tokens = spark.read.parquet(f"{base}/tokens")
+    processor = SentencePieceProcessor(model_proto=model.getvalue())
+    for row in tokens.collect():
+        assert row.token_ids == processor.encode_as_ids(row.text)
+
+    shards, totals = jobs.count_tokens(spark, [f"{base}/tokens"])
+    total = tokens.agg(F.sum("num_tokens")).first()[0]
+    assert totals.first() == (shards.count(), 40, total)
+
+    split = jobs.split_corpus(spark, [f"{base}/tokens"], f"{base}/split", "3")
+    found = {r.split: (r.examples, r.tokens) for r in split.collect()}
+    assert found["validation"][0] == 3 * shards.count() and found["train"][0] + found["validation"][0] == 40
+    assert found["train"][1] + found["validation"][1] == total
+
+    sampled = jobs.sample_corpus(
+        spark, [f"{base}/tokens"], f"{base}/sample", "-1", str(1000 * shards.count()), "parquet"
+    )
+    held = {r.split: r.examples for r in sampled.collect()}
+    assert held["validation"] == 2 * shards.count()
+
+    manifest = f"{base}/ids"
+    assert jobs.extract_ids(spark, "en_wiki", [f"{base}/sample/split=validation"], manifest, "parquet")
+    key, ids = read_manifest(spark, manifest)
+    assert key == "id" and ids.count() == held["validation"]
+    totals = jobs.split_corpus_by_ids(spark, [f"{base}/tokens"], f"{base}/by-ids", manifest, "parquet")
+    assert {r.split: r.examples for r in totals.collect()} == held
+
+    assert jobs.convert_to_jsonl(spark, [f"{base}/tokens"], f"{base}/jsonl")
+    assert read_jsonl(spark, f"{base}/jsonl").count() == 40
+
+    labelled = lines(
+        tmp_path / "labelled.jsonl",
+        [{"text": t, "meta": {"label": l}} for t, l in (("a", "0"), (" ", "1"), ("b", "2"))],
+    )
+    row = jobs.evaluate_filter(spark, "en_wiki", labelled).first()
+    assert (row.precision, row.recall, row.kept, row.acceptable_share) == (1.0, 0.5, 2, 0.5)
