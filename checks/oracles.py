@@ -361,6 +361,9 @@ WHERE split = 'validation'""",
     "rows_without_ids": f"""
 {_BY_IDS} SELECT doc_id, CAST(num_tokens AS INTEGER) AS num_tokens FROM flagged
 WHERE split = 'train'""",
+    "allow_list": """
+SELECT doc_id, source FROM documents
+WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)""",
     "split_write": f"""
 WITH {COUNTED}, {HELD.format(n=5)}
 SELECT doc_id, shard, split, CAST(num_tokens AS INTEGER) AS num_tokens FROM held""",

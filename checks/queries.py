@@ -334,6 +334,12 @@ def rows_without_ids(spark, sf_dir):
     return kept.select("doc_id", "num_tokens")
 
 
+def allow_list(spark, sf_dir):
+    good = inputs.table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    rows = inputs.table(spark, sf_dir, "documents").select("doc_id", "source")
+    return g.rows_in_list(rows, "doc_id", good)
+
+
 def split_write(spark, sf_dir):
     """Both sides written in one pass, one folder per split and shard, and read back."""
     path = scratch_path(spark, "split")
@@ -516,6 +522,7 @@ QUERIES = {
     "split_by_ids_shuffled": split_by_ids(max_rows=0),
     "rows_with_ids": rows_with_ids,
     "rows_without_ids": rows_without_ids,
+    "allow_list": allow_list,
     "split_write": split_write,
     "label_counts": label_counts,
     "filter_quality": filter_quality,

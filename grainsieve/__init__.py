@@ -13,6 +13,7 @@ from grainsieve.operators.holdout import holdout_per_shard, sample_by_token_budg
 from grainsieve.operators.membership import (
     distinct_ids,
     document_ids,
+    rows_in_list,
     rows_with_ids,
     rows_without_ids,
     split_by_ids,
@@ -51,6 +52,7 @@ __all__ = [
     "recipe_for",
     "recipe_quality",
     "reformat",
+    "rows_in_list",
     "rows_per_split",
     "rows_with_ids",
     "rows_without_ids",

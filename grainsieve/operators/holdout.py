@@ -31,24 +31,29 @@ def hash_place(seed: int, value: Column) -> Column:
     return F.sha2(F.concat_ws(":", F.lit(str(seed)), value.cast("string")), 256)
 
 
-def _placed(df: DataFrame, shard_col: str, id_col: str, seed: int) -> DataFrame:
-    tokens = F.col("num_tokens") if "num_tokens" in df.columns else F.lit(0)
+def _placed(df: DataFrame, shard_col: str, id_col: str, seed: int, tokens: str | None) -> DataFrame:
     return df.select(
         F.col(shard_col).alias("shard"),
         hash_place(seed, F.col(id_col)).alias(_PLACE),
-        tokens.cast("bigint").alias("tokens"),
+        (F.lit(0) if tokens is None else F.col(tokens)).cast("bigint").alias("tokens"),
     )
 
 
 def shard_cuts(
-    df: DataFrame, n: int, shard_col: str, id_col: str, seed: int = 42, short: str = "error"
+    df: DataFrame,
+    n: int,
+    shard_col: str,
+    id_col: str,
+    seed: int = 42,
+    short: str = "error",
+    tokens_col: str | None = None,
 ) -> DataFrame:
     """Per shard: ``rows``, ``tokens``, ``held_rows``, ``held_tokens`` and the last held-out hash ``cut``.
 
     A shard with no more than ``n`` rows has no cut; with ``short="spare_one"`` all but one of its rows are
     held out instead.
     """
-    placed = _placed(df, shard_col, id_col, seed)
+    placed = _placed(df, shard_col, id_col, seed, tokens_col)
     in_order = Window.partitionBy("shard").orderBy(_BUCKET)
     whole = Window.partitionBy("shard")
     held = F.lit(n).cast("bigint")
@@ -235,7 +240,7 @@ def sample_by_token_budget(
     n = int(valid_budget / tokens_per_example / shards)
     if n <= 0:
         raise ValueError(f"a budget of {valid_budget} tokens gives no row to each of {shards} shards")
-    cuts = shard_cuts(df, n, shard_col, id_col, seed, short)
+    cuts = shard_cuts(df, n, shard_col, id_col, seed, short, "num_tokens")
     decisions = cut_lineage(budget_decisions(cuts, train_budget, valid_budget, seed))
     if short == "error":
         _refuse_short(decisions, F.col("valid_active"), n)

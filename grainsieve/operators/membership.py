@@ -45,6 +45,12 @@ def split_by_ids(
     return flagged.select(*(F.col(f"`{c}`") for c in columns), split.alias("split"))
 
 
+def rows_in_list(df: DataFrame, column: str, allowed: DataFrame) -> DataFrame:
+    """Rows whose ``column`` is in the one-column table ``allowed``: an allow list of any length."""
+    entries = allowed.toDF(column).filter(F.col(column).isNotNull()).distinct()
+    return attach(df, cut_lineage(entries), on=[column], how="inner")
+
+
 def rows_with_ids(df: DataFrame, ids: DataFrame, key: str | None = None) -> DataFrame:
     """The validation side of ``split_by_ids``."""
     return split_by_ids(df, ids, key).filter(F.col("split") == VALIDATION).drop("split")

@@ -8,12 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from grainsieve.plans.durable import cut_lineage
+
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
-SALTS = 32
 
-_SALT = "__salt"
+# A key with more rows than this is not left to one task of a shuffled join.
+HOT_ROWS = 100_000
+
 _FIXED_WIDTH = 16
+_HIT = "__hit"
+_HOT = "__hot"
+_SALT = "__salt"
+_COLD = -1
 
 
 def fits_broadcast(
@@ -29,6 +36,58 @@ def fits_broadcast(
     return rows <= max_rows and size <= max_bytes
 
 
+def _renamed(side: DataFrame, on: list[str], prefix: str) -> DataFrame:
+    names = {name: f"{prefix}{name}" for name in [*on, *side.columns]}
+    return side.select(*(F.col(name).alias(names[name]) for name in side.columns))
+
+
+def _same_key(on: list[str], prefix: str) -> Column:
+    return reduce(Column.__and__, (F.col(key).eqNullSafe(F.col(f"{prefix}{key}")) for key in on))
+
+
+def _hot_keys(df: DataFrame, on: list[str], hot_rows: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows. Rows are counted before the shuffle, so no task sees them all."""
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows"))
+    hot = cut_lineage(counts.filter(F.col("__rows") > hot_rows))
+    while not fits_broadcast(hot):
+        hot_rows *= 10
+        hot = hot.filter(F.col("__rows") > hot_rows)
+    return hot.drop("__rows")
+
+
+def _attach_shuffled(df: DataFrame, side: DataFrame, on: list[str], hot_rows: int) -> DataFrame:
+    """Left join beyond the broadcast bound: hot keys by broadcast, all others by shuffle.
+
+    Rows with a hot key already have their match when they are shuffled. They go to the task their input
+    partition's number hashes to, which spreads a key over all tasks and is the same if a task is
+    run again.
+    """
+    payload = [name for name in side.columns if name not in on]
+    hot = _hot_keys(df.select(*on), on, hot_rows)
+    found = side.join(F.broadcast(_renamed(hot, on, "__k_")), _same_key(on, "__k_"), "left_semi")
+    hot = hot.join(_renamed(found, on, "__f_"), _same_key(on, "__f_"), "left").select(
+        *(F.col(key).alias(f"__h_{key}") for key in on),
+        *(F.col(f"__f_{name}").alias(f"__h_{name}") for name in payload),
+        F.lit(True).alias(_HOT),
+    )
+    marked = df.join(
+        F.broadcast(cut_lineage(hot)), _same_key(on, "__h_"), "left"
+    ).withColumn(_SALT, F.when(F.col(_HOT), F.spark_partition_id()).otherwise(F.lit(_COLD)))
+    # Always _COLD. A plain literal would be taken out of the join key, and with it the salt.
+    cold_salt = F.least(F.spark_partition_id(), F.lit(_COLD))
+    cold = _renamed(side, on, "__c_").withColumn("__c_salt", cold_salt)
+    joined = marked.join(
+        cold, _same_key(on, "__c_") & (F.col(_SALT) == F.col("__c_salt")), "left"
+    )
+    return joined.select(
+        *(F.col(f"`{name}`") for name in df.columns),
+        *(
+            F.when(F.col(_HOT), F.col(f"__h_{name}")).otherwise(F.col(f"__c_{name}")).alias(name)
+            for name in payload
+        ),
+    )
+
+
 def attach(
     df: DataFrame,
     side: DataFrame,
@@ -37,27 +96,23 @@ def attach(
     *,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Join ``side`` (unique on ``on``, already cheap to read twice) to ``df``, null keys matching.
+    """Join ``side`` (unique on ``on``, cheap to read again) to ``df``, null keys matching.
 
-    A side inside the measured bound is broadcast, so ``df`` is not shuffled at all. Beyond it both
-    sides are shuffled on the key plus a salt: ``side`` is repeated per salt and ``df`` takes the
-    salt from the number of the partition a row already lies in. One key holding a third of
-    the rows is then spread over ``salts`` tasks, and a retried task gives its rows the same salt.
+    A side inside the measured bound is broadcast, so ``df`` is not shuffled at all. Beyond it both are
+    shuffled, and keys with many rows are taken out first.
     """
-    keys = {name: f"__key_{name}" for name in on}
-    side = side.select(
-        *(F.col(name).alias(keys.get(name, name)) for name in side.columns)
-    )
-    same = [F.col(name).eqNullSafe(F.col(key)) for name, key in keys.items()]
+    if how not in {"left", "inner"}:
+        raise ValueError(f"how must be left or inner, not {how}")
     if fits_broadcast(side, max_rows, max_bytes):
-        joined = df.join(F.broadcast(side), reduce(Column.__and__, same), how)
-        return joined.drop(*keys.values())
-    df = df.withColumn(_SALT, F.pmod(F.spark_partition_id(), F.lit(salts)))
-    side = side.withColumn(
-        f"{_SALT}_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    same.append(F.col(_SALT) == F.col(f"{_SALT}_copy"))
-    joined = df.join(side, reduce(Column.__and__, same), how)
-    return joined.drop(*keys.values(), _SALT, f"{_SALT}_copy")
+        joined = df.join(F.broadcast(_renamed(side, on, "__k_")), _same_key(on, "__k_"), how)
+        payload = [name for name in side.columns if name not in on]
+        return joined.select(
+            *(F.col(f"`{name}`") for name in df.columns),
+            *(F.col(f"__k_{name}").alias(name) for name in payload),
+        )
+    if how == "left":
+        return _attach_shuffled(df, side, on, hot_rows)
+    hits = _attach_shuffled(df, side.withColumn(_HIT, F.lit(True)), on, hot_rows)
+    return hits.filter(F.col(_HIT)).drop(_HIT)

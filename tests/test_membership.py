@@ -3,6 +3,7 @@ import hashlib
 from pyspark.sql import functions as F
 
 import grainsieve as g
+from grainsieve.plans import joins
 from grainsieve.plans.joins import attach, fits_broadcast
 
 
@@ -44,18 +45,55 @@ def test_split_with_and_without_broadcast(spark):
     assert both == 60
 
 
-def test_hot_key_is_spread_over_salts(spark):
-    frame = spark.range(4000, numPartitions=16).select(
-        "id", F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k")
-    )
-    side = spark.createDataFrame([("hot", 1), ("1", 2)], "k STRING, v INT")
-    joined = attach(frame, side, ["k"], max_rows=0, salts=8)
-    assert joined.columns == ["id", "k", "v"]
-    assert joined.count() == 4000
-    assert joined.filter("v = 1").count() == frame.filter("k = 'hot'").count()
-    assert joined.filter("v = 2").count() == 1
-    inner = attach(frame, side, ["k"], "inner", max_rows=0, salts=8)
-    assert inner.count() == joined.filter("v IS NOT NULL").count()
+def hot_rows(spark):
+    key = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 3 == 1, F.col("id").cast("string"))
+    return spark.range(3000, numPartitions=16).select("id", key.alias("k"))
+
+
+def test_hot_keys_are_spread(spark):
+    frame = hot_rows(spark)
+    side = spark.createDataFrame([("hot", 1), ("4", 2), ("absent", 3)], "k STRING, v INT")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        joined = attach(frame, side, ["k"], max_rows=0, hot_rows=100)
+        assert joined.columns == ["id", "k", "v"]
+        task = F.spark_partition_id().alias("task")
+        tasks = joined.filter("k = 'hot'").select(task).distinct().count()
+        assert tasks > 1
+        for split in (joined, attach(frame, side, ["k"], max_rows=0, hot_rows=10**6)):
+            found = {(r.k, r.v): r["count"] for r in split.groupBy("k", "v").count().collect()}
+            assert found.pop(("hot", 1)) == 1000
+            assert found.pop((None, None)) == 1000
+            assert found.pop(("4", 2)) == 1
+            assert len(found) == 999 and {v for _, v in found} == {None}
+        inner = attach(frame, side, ["k"], "inner", max_rows=0, hot_rows=100)
+        assert inner.count() == 1001
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_missing_keys_match_a_missing_entry(spark):
+    side = spark.createDataFrame([(None, 7)], "k STRING, v INT")
+    for bounds in ({}, {"max_rows": 0, "hot_rows": 10}, {"max_rows": 0}):
+        joined = attach(hot_rows(spark), side, ["k"], "inner", **bounds)
+        assert joined.count() == 1000 and joined.filter("v <> 7").count() == 0
+
+
+def test_too_many_hot_keys_raise_the_limit(spark, monkeypatch):
+    frame = spark.range(2000).select((F.col("id") % 100).alias("k"))
+    side = spark.createDataFrame([(5, "x")], "k BIGINT, v STRING")
+    measured = []
+
+    def never_more_than_ten(table, *bounds):
+        measured.append(table.count())
+        return measured[-1] <= 10 and not bounds
+
+    monkeypatch.setattr(joins, "fits_broadcast", never_more_than_ten)
+    joined = attach(frame, side, ["k"], max_rows=0, hot_rows=3)
+    assert joined.filter("v = 'x'").count() == 20 and joined.count() == 2000
+    assert measured[1:] == [100, 0]
 
 
 def test_bound_is_measured(spark):
@@ -64,3 +102,9 @@ def test_bound_is_measured(spark):
     assert not fits_broadcast(side, max_rows=1)
     assert not fits_broadcast(side, max_bytes=120)
     assert fits_broadcast(side.limit(0))
+
+
+def test_allow_list(spark):
+    frame = spark.createDataFrame([("py", 1), ("C", 2), ("c", 3), (None, 4)], "ext STRING, n INT")
+    allowed = spark.createDataFrame([("c",), ("c",), (None,), ("py",)], "e STRING")
+    assert {r.n for r in g.rows_in_list(frame, "ext", allowed).collect()} == {1, 3}

@@ -93,13 +93,14 @@ def test_splits_do_not_move_texts(spark, sf_dir):
         assert not re.search(r"(?<!Broadcast)Exchange (hash|range|Single|RoundRobin)", text)
 
 
-def test_beyond_the_bound_nothing_is_broadcast(spark, sf_dir):
+def test_beyond_the_bound_ids_are_shuffled_with_a_salt(spark, sf_dir):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
         split = g.split_by_ids(documents, g.document_ids(documents.limit(20)), max_rows=10)
         text = plan(split)
-        assert "SPARK_PARTITION_ID" in text and "Broadcast" not in text
+        assert "SortMergeJoin" in text
+        assert re.search(r"Exchange hashpartitioning\([^\n]*__salt", text)
         assert split.filter("split = 'validation'").count() >= 20
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
