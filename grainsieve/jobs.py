@@ -12,7 +12,7 @@ from grainsieve.operators.tokenizing import tokenize
 from grainsieve.plans.recipes import ID_KEYS, KeywordLists, apply_recipe, recipe_for
 from grainsieve.sinks.writers import parquet_to_jsonl, write_filtered, write_shards, writer_for
 from grainsieve.sources.manifests import read_manifest, write_manifest, write_manifest_table
-from grainsieve.sources.readers import read_documents, read_jsonl, read_splits
+from grainsieve.sources.readers import read_documents, read_jsonl, read_splits, spread
 
 
 def filter_corpus(
@@ -26,7 +26,7 @@ def filter_corpus(
     schema=None,
 ) -> bool:
     """Filter and clean the split files of a collection."""
-    documents = read_splits(spark, input_dir, schema)
+    documents = spread(read_splits(spark, input_dir, schema))
     kept = apply_recipe(documents, recipe_for(name, strict, keywords), carry=("split",))
     return write_filtered(kept, output_dir, overwrite)
 
@@ -41,22 +41,23 @@ def tokenize_corpus(
     schema=None,
 ) -> None:
     """Tokenize all shards not tokenized yet."""
-    documents = read_documents(spark, input_paths, input_format, schema, shard=True)
+    documents = spread(read_documents(spark, input_paths, input_format, schema, shard=True))
     write_shards(tokenize(documents, sentencepiece_model), output_dir, overwrite)
 
 
 def count_tokens(
     spark: SparkSession, input_paths: list[str], input_format: str = "parquet"
 ) -> tuple[DataFrame, DataFrame]:
-    """Tokens per shard, and totals."""
-    shards = tokens_per_shard(read_documents(spark, input_paths, input_format, shard=True))
+    """Tokens per shard, named by its path, and totals."""
+    documents = read_documents(spark, input_paths, input_format, shard_path=True)
+    shards = tokens_per_shard(documents, "shard_path")
     return shards, corpus_totals(shards)
 
 
 def _write_split(df: DataFrame, output_dir: str, output_format: str, overwrite: bool) -> DataFrame:
     """One pass writes both sides; the totals are counted from what was written."""
     write = writer_for(output_format)
-    write(df, output_dir, ("split", "shard"), overwrite)
+    write(df.drop("shard_path", "row_id"), output_dir, ("split", "shard"), overwrite)
     spark = df.sparkSession
     if output_format == "parquet":
         return split_totals(spark.read.parquet(output_dir))
@@ -74,9 +75,9 @@ def sample_corpus(
     overwrite: bool = False,
 ) -> DataFrame:
     """Take train and validation rows up to token budgets; gives the totals of both."""
-    documents = read_documents(spark, input_paths, shard=True, row_id=True)
-    sampled = sample_by_token_budget(documents, train_token_size, valid_token_size)
-    return _write_split(sampled.drop("row_id"), output_dir, output_format, overwrite)
+    documents = read_documents(spark, input_paths, shard=True, shard_path=True, row_id=True)
+    sampled = sample_by_token_budget(documents, train_token_size, valid_token_size, "shard_path")
+    return _write_split(sampled, output_dir, output_format, overwrite)
 
 
 def split_corpus(
@@ -88,9 +89,9 @@ def split_corpus(
     overwrite: bool = False,
 ) -> DataFrame:
     """Hold out the same number of rows of every shard; gives the totals of both sides."""
-    documents = read_documents(spark, input_paths, shard=True, row_id=True)
-    split = holdout_per_shard(documents, valid_examples_per_shard)
-    return _write_split(split.drop("row_id"), output_dir, output_format, overwrite)
+    documents = read_documents(spark, input_paths, shard=True, shard_path=True, row_id=True)
+    split = holdout_per_shard(documents, valid_examples_per_shard, "shard_path")
+    return _write_split(split, output_dir, output_format, overwrite)
 
 
 def extract_ids(

@@ -17,6 +17,9 @@ from grainsieve.plans.joins import BROADCAST_BYTES, BROADCAST_ROWS, attach, fits
 # Models up to this size travel with the task, larger ones are fetched once per node.
 SHIPPED_MODEL_BYTES = 32 * 1024 * 1024
 
+# Fixed value: texts encoded at a time.
+ENCODE_ROWS = 128
+
 _ENCODED = "struct<tokens:array<string>,token_ids:array<int>>"
 
 
@@ -31,14 +34,15 @@ def _subword_encoder(model: bytes | None, file_name: str | None):
         pieces = pa.array(processor.id_to_piece(list(range(processor.get_piece_size()))))
         for texts in batches:
             missing = np.asarray(texts.is_null())
-            # Spark already runs one task per core.
-            ids = processor.encode(texts.fill_null("").to_pylist(), out_type=int, num_threads=1)
+            ids = []
+            for start in range(0, len(texts), ENCODE_ROWS):
+                part = texts.slice(start, ENCODE_ROWS).fill_null("").to_pylist()
+                # One thread: Spark already runs one task per core.
+                found = processor.encode(part, out_type=int, num_threads=1)
+                ids += [np.asarray(row, np.int32) for row in found]
             lengths = np.fromiter(map(len, ids), np.int32, len(ids))
-            offsets = np.concatenate(([0], np.cumsum(lengths, dtype=np.int32)))
-            flat = pa.array(
-                np.concatenate([np.asarray(row, np.int32) for row in ids] or [[]]).astype(np.int32)
-            )
-            offsets = pa.array(offsets, pa.int32())
+            offsets = pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32))
+            flat = pa.array(np.concatenate([np.empty(0, np.int32), *ids]))
             yield pa.StructArray.from_arrays(
                 [
                     pa.ListArray.from_arrays(offsets, pieces.take(flat)),

@@ -72,18 +72,27 @@ def _shard() -> Column:
     return F.coalesce(F.nullif(folder, F.lit("")), file_stem(path))
 
 
+def _shard_path() -> Column:
+    """What makes a shard: its file, or its folder in a partitioned table."""
+    path = F.col("_metadata.file_path")
+    folder = F.regexp_extract(path, "^.*/shard=[^/]+(?=/)", 0)
+    return F.coalesce(F.nullif(folder, F.lit("")), path)
+
+
 def read_documents(
     spark: SparkSession,
     paths: list[str],
     input_format: str = "parquet",
     schema: str | T.StructType | None = None,
     shard: bool = False,
+    shard_path: bool = False,
     row_id: bool = False,
 ) -> DataFrame:
     """All documents below ``paths`` (see ``input_paths``) as one table.
 
-    ``shard`` adds the file's stem. ``row_id`` adds file and row number, which tells any two rows apart
-    and stays the same when a task is run again (Parquet only).
+    ``shard`` adds the file's stem, the name its output gets; ``shard_path`` its full path, which two files of
+    the same name do not share. ``row_id`` adds file and row number, which tells any two rows apart and
+    stays the same when a task is run again (Parquet only).
     """
     found = input_paths(spark, paths, EXTENSIONS[input_format])
     if not found:
@@ -98,6 +107,8 @@ def read_documents(
     extra = {}
     if shard:
         extra["shard"] = _shard()
+    if shard_path:
+        extra["shard_path"] = _shard_path()
     if row_id:
         if input_format != "parquet":
             raise ValueError("row_id needs Parquet input")

@@ -3,6 +3,8 @@
 import io
 import json
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,6 +80,24 @@ def test_row_ids_tell_rows_apart(spark, tmp_path):
     assert read_documents(spark, [str(tmp_path / "gone")], schema="a INT").count() == 0
 
 
+def test_shards_of_the_same_name_stay_apart(spark, tmp_path):
+    for folder in ("a", "b"):
+        (tmp_path / folder).mkdir()
+        table = pa.table({"text": [f"{folder}{i}" for i in range(9)], "num_tokens": [2] * 9})
+        pq.write_table(table, tmp_path / folder / "train_0.parquet")
+    paths = [str(tmp_path / "a"), str(tmp_path / "b")]
+    shards, totals = jobs.count_tokens(spark, paths)
+    assert totals.first() == (2, 18, 36)
+    assert {r.shard.split("/")[-2:][0] for r in shards.collect()} == {"a", "b"}
+    split = jobs.split_corpus(spark, paths, str(tmp_path / "out"), "4", "parquet")
+    assert {tuple(r) for r in split.collect()} == {("validation", 8, 16), ("train", 10, 20)}
+    written = spark.read.parquet(str(tmp_path / "out"))
+    assert set(written.columns) == {"text", "num_tokens", "split", "shard"}
+    held = written.filter("split = 'validation'").selectExpr("substring(text, 1, 1) AS f")
+    assert {r.f: r["count"] for r in held.groupBy("f").count().collect()} == {"a": 4, "b": 4}
+    assert {r.shard for r in written.collect()} == {"train_0"}
+
+
 def test_guards(spark, tmp_path):
     path = str(tmp_path / "out")
     one, two = spark.range(1), spark.range(2)
