@@ -349,6 +349,8 @@ WITH {COUNTED}, {HELD.format(n=5)} SELECT doc_id, shard, split FROM held""",
     "split_totals": f"""
 WITH {COUNTED}, {HELD.format(n=7)}
 SELECT split, count(*) AS examples, CAST(sum(num_tokens) AS BIGINT) AS tokens FROM held GROUP BY split""",
+    "rows_per_split": f"""
+WITH {COUNTED}, {HELD.format(n=7)} SELECT split, count(*) AS examples FROM held GROUP BY split""",
     "token_budget_sample": _BUDGET,
     "hash_ids": "SELECT sha256(text) AS id FROM documents",
     "key_ids": "SELECT CAST(doc_id AS VARCHAR) AS id FROM documents",

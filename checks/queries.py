@@ -288,6 +288,10 @@ def split_totals(spark, sf_dir):
     return g.split_totals(g.holdout_per_shard(inputs.counted(spark, sf_dir), "7", "shard", "doc_id"))
 
 
+def rows_per_split(spark, sf_dir):
+    return g.rows_per_split(g.holdout_per_shard(inputs.counted(spark, sf_dir), 7, "shard", "doc_id"))
+
+
 def token_budget_sample(spark, sf_dir):
     counted = inputs.counted(spark, sf_dir)
     total = counted.agg(F.sum("num_tokens")).first()[0]
@@ -514,6 +518,7 @@ QUERIES = {
     "corpus_totals": corpus_totals,
     "holdout_per_shard": holdout_per_shard,
     "split_totals": split_totals,
+    "rows_per_split": rows_per_split,
     "token_budget_sample": token_budget_sample,
     "hash_ids": hash_ids,
     "key_ids": key_ids,

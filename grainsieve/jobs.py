@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from grainsieve.operators.counting import corpus_totals, split_totals, tokens_per_shard
+from grainsieve.operators.counting import corpus_totals, tokens_per_shard
 from grainsieve.operators.holdout import holdout_per_shard, sample_by_token_budget
 from grainsieve.operators.membership import document_ids, split_by_ids
 from grainsieve.operators.scoring import recipe_quality, with_label_shares
 from grainsieve.operators.tokenizing import tokenize
 from grainsieve.plans.recipes import ID_KEYS, KeywordLists, apply_recipe, recipe_for
-from grainsieve.sinks.writers import parquet_to_jsonl, write_filtered, write_shards, writer_for
+from grainsieve.sinks.writers import (
+    parquet_to_jsonl,
+    write_counted,
+    write_filtered,
+    write_shards,
+)
 from grainsieve.sources.manifests import read_manifest, write_manifest, write_manifest_table
 from grainsieve.sources.readers import read_documents, read_jsonl, read_splits, spread
 
@@ -23,7 +29,7 @@ def filter_corpus(
     strict: bool = False,
     overwrite: bool = False,
     keywords: KeywordLists | None = None,
-    schema=None,
+    schema: str | T.StructType | None = None,
 ) -> bool:
     """Filter and clean the split files of a collection."""
     documents = spread(read_splits(spark, input_dir, schema))
@@ -38,7 +44,7 @@ def tokenize_corpus(
     sentencepiece_model: str,
     input_format: str = "parquet",
     overwrite: bool = False,
-    schema=None,
+    schema: str | T.StructType | None = None,
 ) -> None:
     """Tokenize all shards not tokenized yet."""
     documents = spread(read_documents(spark, input_paths, input_format, schema, shard=True))
@@ -55,14 +61,11 @@ def count_tokens(
 
 
 def _write_split(df: DataFrame, output_dir: str, output_format: str, overwrite: bool) -> DataFrame:
-    """One pass writes both sides; the totals are counted from what was written."""
-    write = writer_for(output_format)
-    write(df.drop("shard_path", "row_id"), output_dir, ("split", "shard"), overwrite)
-    spark = df.sparkSession
-    if output_format == "parquet":
-        return split_totals(spark.read.parquet(output_dir))
-    counts = "num_tokens BIGINT, " if "num_tokens" in df.columns else ""
-    return split_totals(spark.read.schema(f"{counts}split STRING, shard STRING").json(output_dir))
+    """One pass writes both sides and counts them."""
+    stored = df.drop("shard_path", "row_id")
+    return write_counted(
+        stored, output_dir, output_format, ("split", "shard"), overwrite=overwrite
+    )
 
 
 def sample_corpus(
@@ -129,7 +132,7 @@ def evaluate_filter(
     input_path: str,
     strict: bool = False,
     keywords: KeywordLists | None = None,
-    schema=None,
+    schema: str | T.StructType | None = None,
 ) -> DataFrame:
     """Quality of a recipe on labelled documents, with the label shares among the kept ones."""
     labelled = read_jsonl(spark, input_path, schema)

@@ -5,17 +5,19 @@ from __future__ import annotations
 import logging
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 
-from grainsieve.operators.counting import rows_per_split
-from grainsieve.sources.paths import child_names
+from grainsieve.operators.counting import split_totals
+from grainsieve.sources.paths import SPLIT_MARKS, child_names
 
 logger = logging.getLogger(__name__)
 
 # Fixed value: most rows of one output file of the filter stage.
 CHUNK_ROWS = 100_000
 
+SPLITS = tuple(SPLIT_MARKS)
+
 
 def _write(
     writer: DataFrameWriter,
@@ -109,19 +111,51 @@ def parquet_to_jsonl(df: DataFrame, path: str, overwrite: bool = False) -> bool:
     return write_jsonl(df, path, overwrite=overwrite)
 
 
-def ingest(
+def write_counted(
     df: DataFrame,
     path: str,
-    fmt: str = "jsonl",
-    split_col: str = "split",
+    fmt: str,
+    partition_by: tuple[str, ...] = ("split",),
+    splits: tuple[str, ...] = SPLITS,
     overwrite: bool = False,
+    on_exists: str = "skip",
 ) -> DataFrame:
-    """Store any table as one folder per split, and count the stored rows of each split.
+    """Write, and give ``split``, ``examples`` and ``tokens`` (NULL without ``num_tokens``) of what ``path`` holds.
 
-    An existing ``path`` is an error unless ``overwrite``, which replaces it whole.
+    The rows are counted while they are written. They are read again only if nothing was written,
+    or a split has another name than those in ``splits``.
     """
-    writer_for(fmt)(df, path, (split_col,), overwrite, on_exists="error")
+    known = "num_tokens" in df.columns
+    counts: list[Column] = [F.count(F.lit(1)).alias("rows")]
+    for place, split in enumerate(splits):
+        here = F.col("split") == split
+        counts.append(F.count_if(here).alias(f"examples_{place}"))
+        tokens = F.sum(F.when(here, F.col("num_tokens"))) if known else F.lit(None)
+        counts.append(tokens.cast("bigint").alias(f"tokens_{place}"))
+    observation = Observation()
     spark = df.sparkSession
-    # Counting needs no parsing: JSON rows are lines.
-    stored = spark.read.parquet(path) if fmt == "parquet" else spark.read.text(path)
-    return rows_per_split(stored, split_col)
+    wrote = writer_for(fmt)(
+        df.observe(observation, *counts), path, partition_by, overwrite, on_exists=on_exists
+    )
+    if wrote:
+        seen = observation.get
+        rows = [
+            (split, seen[f"examples_{place}"], seen[f"tokens_{place}"])
+            for place, split in enumerate(splits)
+            if seen[f"examples_{place}"]
+        ]
+        if sum(examples for _, examples, _ in rows) == seen["rows"]:
+            return spark.createDataFrame(rows, "split STRING, examples BIGINT, tokens BIGINT")
+    if fmt == "parquet":
+        return split_totals(spark.read.parquet(path))
+    columns = [f"{name} STRING" for name in partition_by] + ["num_tokens BIGINT"] * known
+    return split_totals(spark.read.schema(", ".join(columns)).json(path))
+
+
+def ingest(df: DataFrame, path: str, fmt: str = "jsonl", overwrite: bool = False) -> DataFrame:
+    """Store a table as one folder per ``split``, and count the rows of each.
+
+    An existing ``path`` is an error unless ``overwrite``, which replaces it whole.
+    """
+    totals = write_counted(df, path, fmt, overwrite=overwrite, on_exists="error")
+    return totals.select("split", "examples")

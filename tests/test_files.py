@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 import grainsieve as g
 from grainsieve import jobs
 from grainsieve.plans.durable import shared_dir
-from grainsieve.sinks.writers import ingest, write_jsonl, write_parquet, write_shards
+from grainsieve.sinks.writers import (
+    ingest,
+    write_counted,
+    write_jsonl,
+    write_parquet,
+    write_shards,
+)
 from grainsieve.sources.manifests import read_manifest, write_manifest
 from grainsieve.sources.paths import input_paths, split_files
 from grainsieve.sources.readers import read_documents, read_jsonl, read_lines, read_splits
@@ -146,6 +152,24 @@ def test_ingest(spark, tmp_path):
     assert ingest(frame, str(tmp_path / "p"), "parquet").count() == 2
 
 
+@pytest.mark.parametrize("fmt", ["jsonl", "parquet"])
+def test_counts_of_written_rows(spark, tmp_path, fmt):
+    path = str(tmp_path / "out")
+    frame = spark.createDataFrame(
+        [("a", "train", 2), ("b", "train", 3), ("c", "own", 4)], "text STRING, split STRING, num_tokens INT"
+    )
+
+    def totals(table, **options):
+        return {tuple(r) for r in write_counted(table, path, fmt, **options).collect()}
+
+    train = frame.filter("split = 'train'")
+    assert totals(train) == {("train", 2, 5)}
+    assert totals(frame) == {("train", 2, 5)}  # present already
+    assert totals(frame, overwrite=True) == {("train", 2, 5), ("own", 1, 4)}
+    assert totals(train.drop("num_tokens"), overwrite=True) == {("train", 2, None)}
+    assert totals(train.limit(0), overwrite=True) == set()
+
+
 def test_manifest(spark, tmp_path):
     path = str(tmp_path / "ids")
     ids = spark.createDataFrame([("x",), ("y",), ("x",)], "id STRING")
