@@ -35,9 +35,10 @@ LONG_ASCII_RUN = r"[\x00-\x7F]{100,}"
 # A character Python's str.strip keeps: strip also removes the four separators U+001C to U+001F.
 _NOT_STRIPPED = r"[^\p{IsWhite_Space}\x1c-\x1f]"
 
+# Groups 1 and 2: a bracketed host and its zone; 3 and 4: any other.
 _HOST = (
     r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:[^/?#]*@)?"
-    r"(?:\[([^\]/?#]*)\]|([^/?#:@\[]*))"
+    r"(?:\[([^\]/?#%]*)(%[^\]/?#]*)?\]|([^/?#:@\[%]*)(%[^/?#:@\[]*)?)"
 )
 
 
@@ -46,10 +47,10 @@ def has_visible_text(text: Column) -> Column:
 
 
 def url_host(url: Column) -> Column:
-    """Lower-cased host, ``''`` if the URL has none. Underscores and non-ASCII hosts are kept."""
-    bracketed = F.regexp_extract(url, _HOST, 1)
-    plain = F.regexp_extract(url, _HOST, 2)
-    return F.lower(F.concat(bracketed, plain))
+    """Host, ``''`` if the URL has none, in lower case up to a ``%``. Any character may be part of it."""
+    name = F.concat(F.regexp_extract(url, _HOST, 1), F.regexp_extract(url, _HOST, 3))
+    zone = F.concat(F.regexp_extract(url, _HOST, 2), F.regexp_extract(url, _HOST, 4))
+    return F.concat(F.lower(name), zone)
 
 
 def host_suffix(url: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grainsieve.functions.text import file_stem
+from grainsieve.plans.recipes import KeywordLists
 from grainsieve.sources.paths import EXTENSIONS, SPLIT_MARKS, input_paths, split_files
 
 CORRUPT = "_corrupt"
@@ -87,12 +88,14 @@ def read_documents(
     shard: bool = False,
     shard_path: bool = False,
     row_id: bool = False,
+    merge_schema: bool = False,
 ) -> DataFrame:
     """All documents below ``paths`` (see ``input_paths``) as one table.
 
     ``shard`` adds the file's stem, the name its output gets; ``shard_path`` its full path, which two files of
     the same name do not share. ``row_id`` adds file and row number, which tells any two rows apart and
-    stays the same when a task is run again (Parquet only).
+    stays the same when a task is run again (Parquet only). ``merge_schema`` reads the columns of all Parquet
+    files, not those of one, at the price of a look at every footer.
     """
     found = input_paths(spark, paths, EXTENSIONS[input_format])
     if not found:
@@ -101,7 +104,7 @@ def read_documents(
         return spark.createDataFrame([], schema)
     if input_format == "parquet":
         reader = spark.read if schema is None else spark.read.schema(schema)
-        df = reader.parquet(*found)
+        df = reader.option("mergeSchema", merge_schema).parquet(*found)
     else:
         df = read_jsonl(spark, found, schema, tolerant=input_format == "pandas-jsonl")
     extra = {}
@@ -137,6 +140,14 @@ def read_splits(
     return df.withColumn("split", split)
 
 
+def read_keyword_lists(
+    spark: SparkSession, ads: str, adult: str, discrimination: str, violence: str
+) -> KeywordLists:
+    """The web-crawl recipe's lists from files with one entry per line."""
+    paths = {"ads": ads, "adult": adult, "discrimination": discrimination, "violence": violence}
+    return KeywordLists(**{name: read_lines(spark, path) for name, path in paths.items()})
+
+
 def read_lines(spark: SparkSession, path: str, max_bytes: int = 4 * 1024 * 1024) -> list[str]:
     """Entries of a keyword or allow list, in file order. Larger lists belong into a table."""
     found = spark.read.format("binaryFile").load(path).select("length").first()

@@ -20,7 +20,13 @@ from grainsieve.sinks.writers import (
 )
 from grainsieve.sources.manifests import read_manifest, write_manifest
 from grainsieve.sources.paths import input_paths, split_files
-from grainsieve.sources.readers import read_documents, read_jsonl, read_lines, read_splits
+from grainsieve.sources.readers import (
+    read_documents,
+    read_jsonl,
+    read_keyword_lists,
+    read_lines,
+    read_splits,
+)
 from grainsieve.streaming.recipes import filter_stream, stream_documents
 
 
@@ -192,6 +198,22 @@ def test_lines_keep_their_order(spark, tmp_path):
         read_lines(spark, str(path), max_bytes=3)
 
 
+def test_keyword_lists_from_files(spark, tmp_path):
+    paths = []
+    for name in ("ads", "adult", "discrimination", "violence"):
+        (tmp_path / name).write_text(f"{name}\nx\n")
+        paths.append(str(tmp_path / name))
+    lists = read_keyword_lists(spark, *paths)
+    assert lists == g.KeywordLists(*([name, "x"] for name in ("ads", "adult", "discrimination", "violence")))
+
+
+def test_files_of_different_columns(spark, tmp_path):
+    for i, columns in enumerate(({"text": ["a"]}, {"text": ["b"], "num_tokens": [3]})):
+        pq.write_table(pa.table(columns), tmp_path / f"{i}.parquet")
+    merged = read_documents(spark, [str(tmp_path)], merge_schema=True)
+    assert {tuple(r) for r in merged.collect()} == {("a", None), ("b", 3)}
+
+
 def test_shared_dir_follows_the_session(spark):
     assert shared_dir(spark) == (spark.conf.get("spark.checkpoint.dir", None) or shared_dir(spark))
 

@@ -144,6 +144,21 @@ def test_hosts(spark):
         assert (urlsplit(url).hostname or "") == host
 
 
+def test_hosts_of_random_urls(spark):
+    source = random.Random(9)
+    starts = ["http://", "https://", "//", "HTTP://", "ht+tp://", "1tp://", "http:/", "", ":"]
+    expected = {}
+    for _ in range(3000):
+        url = source.choice(starts) + "".join(
+            source.choices("aB.-_:/@?#[]%1é東;", k=source.randint(0, 9))
+        )
+        try:
+            expected[url] = urlsplit(url).hostname or ""
+        except ValueError:
+            pass
+    assert column(spark, list(expected), T.url_host) == list(expected.values())
+
+
 def test_valid_domain(spark):
     urls = [*HOSTS, "https://ja.wikipedia.org/wiki/x", "http://ja.wikipedia.org/", None]
     accepted = [True, True, False, False, True, True, True, False, True, False, False, True, None]
