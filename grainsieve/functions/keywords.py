@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 # Fixed value: the characters a katakana word is made of.
 KATAKANA = "[ァ-ヴー]"
 
-_LEAF = 4
+_LEAF = 8
 
 
 def _literal(char: str) -> str:

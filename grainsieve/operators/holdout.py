@@ -1,9 +1,9 @@
 """Holding out validation rows: a fixed number per shard, or up to a token budget.
 
 A row's place in its shard is the order of sha-256 over seed and row id, so the choice does not depend on
-how the table is partitioned. The texts are never shuffled: one narrow pass counts rows per
-shard and hash bucket, a second one ranks only the bucket the n-th hash falls into, and the
-full rows are then compared with one cut-off hash per shard.
+how the table is partitioned. The texts are never shuffled: narrow passes count rows per shard and
+hash bucket until the bucket the n-th hash falls into is small, a last one ranks the rows of that
+bucket, and the full rows are then compared with one cut-off hash per shard.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from grainsieve.functions.text import parse_size
 from grainsieve.plans.durable import cut_lineage
 from grainsieve.plans.joins import attach
-from grainsieve.plans.prefix import hash_bucket, sum_of_earlier
+from grainsieve.plans.prefix import sum_of_earlier
 
 TRAIN = "train"
 VALIDATION = "validation"
@@ -22,6 +22,11 @@ VALIDATION = "validation"
 # Fixed value: tokens one document is taken to have when a budget is turned into a row count.
 TOKENS_PER_EXAMPLE = 500
 
+# Rows of one shard that may be ranked together, and the hex digits a pass looks further.
+RANK_ROWS = 100_000
+PASS_DIGITS = 2
+_MOST_DIGITS = 8
+
 _PLACE = "__place"
 _BUCKET = "__bucket"
 
@@ -39,6 +44,86 @@ def _placed(df: DataFrame, shard_col: str, id_col: str, seed: int, tokens: str |
     )
 
 
+def _cut_buckets(counted: DataFrame, enough: Column) -> DataFrame:
+    """Per shard the bucket its cut falls into, from at most 256 bucket counts.
+
+    ``counted`` has what was held out before its first bucket. A shard without a cut keeps one row.
+    """
+    in_order = Window.partitionBy("shard").orderBy(_BUCKET)
+    upto = counted.withColumns(
+        {
+            "rows_upto": F.col("rows_before") + F.sum("bucket_rows").over(in_order),
+            "tokens_upto": F.col("tokens_before") + F.sum("bucket_tokens").over(in_order),
+        }
+    ).withColumns(
+        {
+            "rows_before": F.col("rows_upto") - F.col("bucket_rows"),
+            "tokens_before": F.col("tokens_upto") - F.col("bucket_tokens"),
+        }
+    )
+    cut = (
+        enough
+        & (F.col("rows_before") < F.col("held_rows"))
+        & (F.col("held_rows") <= F.col("rows_upto"))
+    )
+    last = ~enough & (F.col("rows_upto") == F.col("rows"))
+    return upto.filter(cut | last).select(
+        "shard",
+        F.when(enough, F.col(_BUCKET)).alias(_BUCKET),
+        "rows",
+        "tokens",
+        "held_rows",
+        "rows_before",
+        "tokens_before",
+        F.when(enough, F.col("bucket_rows")).otherwise(F.lit(0)).alias("bucket_rows"),
+    )
+
+
+def _rows_in_buckets(placed: DataFrame, bounds: DataFrame) -> DataFrame:
+    rows = attach(placed.withColumnRenamed("tokens", "row_tokens"), bounds, on=["shard"], how="inner")
+    return rows.filter(F.col(_PLACE).startswith(F.col(_BUCKET)))
+
+
+def _small_buckets(placed: DataFrame, held: Column, rank_rows: int) -> DataFrame:
+    """Cut buckets of at most ``rank_rows`` rows. Only shards with a larger one are looked at again."""
+    whole = Window.partitionBy("shard")
+    enough = (F.col("held_rows") > 0) & (F.col("held_rows") < F.col("rows"))
+    sums = (
+        F.count(F.lit(1)).alias("bucket_rows"),
+        F.coalesce(F.sum("tokens"), F.lit(0)).alias("bucket_tokens"),
+    )
+    digits = PASS_DIGITS
+    first = (
+        placed.groupBy("shard", F.substring(_PLACE, 1, digits).alias(_BUCKET))
+        .agg(*sums)
+        .withColumns(
+            {
+                "rows": F.sum("bucket_rows").over(whole),
+                "tokens": F.sum("bucket_tokens").over(whole),
+                "rows_before": F.lit(0).cast("bigint"),
+                "tokens_before": F.lit(0).cast("bigint"),
+            }
+        )
+        .withColumn("held_rows", held)
+    )
+    bounds = cut_lineage(_cut_buckets(first, enough))
+    large = F.col("bucket_rows") > rank_rows
+    while digits < _MOST_DIGITS and not bounds.filter(large).isEmpty():
+        digits += PASS_DIGITS
+        finer = (
+            _rows_in_buckets(placed, bounds.filter(large).drop("bucket_rows"))
+            .withColumn(_BUCKET, F.substring(_PLACE, 1, digits))
+            .groupBy("shard", _BUCKET, "rows", "tokens", "held_rows", "rows_before", "tokens_before")
+            .agg(
+                F.count(F.lit(1)).alias("bucket_rows"),
+                F.coalesce(F.sum("row_tokens"), F.lit(0)).alias("bucket_tokens"),
+            )
+        )
+        refined = _cut_buckets(finer, enough)
+        bounds = cut_lineage(bounds.filter(~large).unionByName(refined))
+    return bounds
+
+
 def shard_cuts(
     df: DataFrame,
     n: int,
@@ -47,6 +132,7 @@ def shard_cuts(
     seed: int = 42,
     short: str = "error",
     tokens_col: str | None = None,
+    rank_rows: int = RANK_ROWS,
 ) -> DataFrame:
     """Per shard: ``rows``, ``tokens``, ``held_rows``, ``held_tokens`` and the last held-out hash ``cut``.
 
@@ -54,63 +140,21 @@ def shard_cuts(
     held out instead.
     """
     placed = _placed(df, shard_col, id_col, seed, tokens_col)
-    in_order = Window.partitionBy("shard").orderBy(_BUCKET)
-    whole = Window.partitionBy("shard")
     held = F.lit(n).cast("bigint")
     if short == "spare_one":
         held = F.least(held, F.col("rows") - 1)
-    buckets = (
-        placed.groupBy("shard", hash_bucket(_PLACE).alias(_BUCKET))
-        .agg(F.count(F.lit(1)).alias("bucket_rows"), F.sum("tokens").alias("bucket_tokens"))
-        # At most 4096 buckets per shard, however many rows it has.
-        .withColumns(
-            {
-                "rows": F.sum("bucket_rows").over(whole),
-                "tokens": F.sum("bucket_tokens").over(whole),
-                "rows_upto": F.sum("bucket_rows").over(in_order),
-                "tokens_upto": F.sum("bucket_tokens").over(in_order),
-            }
-        )
-        .withColumn("held_rows", held)
-        .withColumns(
-            {
-                "rows_before": F.col("rows_upto") - F.col("bucket_rows"),
-                "tokens_before": F.col("tokens_upto") - F.col("bucket_tokens"),
-            }
-        )
-    )
-    # One bucket per shard holds the cut; a short shard keeps its last bucket, unranked.
-    enough = (F.col("held_rows") > 0) & (F.col("held_rows") < F.col("rows"))
-    cut_bucket = (
-        enough
-        & (F.col("rows_before") < F.col("held_rows"))
-        & (F.col("held_rows") <= F.col("rows_upto"))
-    )
-    last_bucket = ~enough & (F.col("rows_upto") == F.col("rows"))
-    bounds = cut_lineage(
-        buckets.filter(cut_bucket | last_bucket).select(
-            "shard",
-            F.when(enough, F.col(_BUCKET)).alias(_BUCKET),
-            "rows",
-            F.coalesce("tokens", F.lit(0)).alias("tokens"),
-            "held_rows",
-            "rows_before",
-            F.coalesce("tokens_before", F.lit(0)).alias("tokens_before"),
-        )
-    )
-    candidates = attach(
-        placed.withColumn(_BUCKET, hash_bucket(_PLACE)),
+    bounds = _small_buckets(placed, held, rank_rows)
+    candidates = _rows_in_buckets(
+        placed,
         bounds.filter(F.col(_BUCKET).isNotNull()).select(
             "shard", _BUCKET, "held_rows", "rows_before", "tokens_before"
         ),
-        on=["shard", _BUCKET],
-        how="inner",
     )
     upto = Window.partitionBy("shard").orderBy(_PLACE)
     ranked = (
         # Rows with the same id share a hash and are counted before they meet.
         candidates.groupBy("shard", _PLACE, "held_rows", "rows_before", "tokens_before")
-        .agg(F.count(F.lit(1)).alias("same_place"), F.sum("tokens").alias("place_tokens"))
+        .agg(F.count(F.lit(1)).alias("same_place"), F.sum("row_tokens").alias("place_tokens"))
         .withColumns(
             {
                 "taken": F.col("rows_before") + F.sum("same_place").over(upto),

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from grainsieve.operators import holdout
 from grainsieve.operators.holdout import (
     TRAIN,
     VALIDATION,
@@ -10,6 +11,7 @@ from grainsieve.operators.holdout import (
     hash_place,
     holdout_per_shard,
     sample_by_token_budget,
+    shard_cuts,
 )
 from grainsieve.plans.prefix import sum_of_earlier
 
@@ -170,9 +172,35 @@ def test_short_shard_behind_both_budgets_is_no_error(spark):
     assert last not in {r.shard for r in sampled.select("shard").distinct().collect()}
 
 
-def test_one_hot_shard_is_not_ranked_in_one_task(spark):
-    """Rows reach the ranking window as bucket counts, or from the one bucket the cut lies in."""
+@pytest.mark.parametrize("rank_rows", [1, 20, 10**6])
+def test_hot_shards_are_cut_in_as_many_passes_as_they_need(spark, rank_rows):
+    frame = rows(spark, [20_000, 300, 2, 0, 1000], 4)
+    placed = frame.select("shard", hash_place(42, F.col("row_id")).alias("h"), "num_tokens").collect()
+    for n in (1, 250):
+        cuts = shard_cuts(frame, n, "shard", "row_id", tokens_col="num_tokens", rank_rows=rank_rows)
+        found = {r.shard: r for r in cuts.collect()}
+        assert set(found) == {"s0", "s1", "s2", "s4"}
+        for shard, cut in found.items():
+            inside = sorted((r.h, r.num_tokens) for r in placed if r.shard == shard)
+            assert cut.rows == len(inside) and cut.tokens == sum(t for _, t in inside)
+            if len(inside) > n:
+                assert cut.cut == inside[n - 1][0]
+                assert cut.held_tokens == sum(t for _, t in inside[:n])
+            else:
+                assert cut.cut is None
+
+
+def test_ranked_rows_are_bounded(spark):
     frame = rows(spark, [20_000, 10], 4)
-    holdout_per_shard(frame, 5)
-    placed = frame.select("shard", F.substring(hash_place(42, F.col("row_id")), 1, 3).alias("b"))
-    assert placed.groupBy("shard", "b").count().agg(F.max("count")).first()[0] < 40
+    placed = holdout._placed(frame, "shard", "row_id", 42, None)
+    bounds = holdout._small_buckets(placed, F.lit(5).cast("bigint"), 10)
+    assert bounds.agg(F.max("bucket_rows")).first()[0] <= 10
+    assert {len(r["__bucket"]) for r in bounds.collect()} == {2, 4}
+
+
+def test_copies_sharing_an_id_end_the_search(spark):
+    frame = rows(spark, [2000]).withColumn(
+        "copy", F.when(F.col("num_tokens") < 8, F.lit("same")).otherwise(F.col("row_id"))
+    )
+    cuts = shard_cuts(frame, 3, "shard", "copy", rank_rows=1)
+    assert cuts.count() == 1
