@@ -64,7 +64,8 @@ def test_transforms_run_once(spark, sf_dir):
 
 
 def test_compression_comes_last_and_in_arrow_batches(spark, sf_dir):
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("url", F.concat(F.lit("http://a.jp/"), "source"))
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    documents = documents.withColumn("url", F.concat(F.lit("http://a.jp/"), "source"))
     text = plan(g.apply_recipe(documents, g.recipe_for("ja_cc", False, g.KeywordLists())))
     assert "ArrowEvalPython" in text and "BatchEvalPython" not in text
     below = text.split("ArrowEvalPython")[1]
