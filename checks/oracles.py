@@ -87,6 +87,7 @@ def footnotes(text: str) -> str:
     return f"regexp_replace({text}, '(?s)\\n(?:{'|'.join(FOOTNOTE_HEADINGS)})[{SPACE}]*\\n.*', '')"
 
 
+# The six substitutions in their order.
 def brackets(text: str) -> str:
     steps = (
         (f"（[{SPACE},，、;；]*", "（"),

@@ -59,6 +59,7 @@ def test_brackets(spark):
     ]
 
 
+# The six substitutions in their order.
 def test_brackets_like_six_substitutions(spark):
     def expected(text):
         for pattern, replacement in (
