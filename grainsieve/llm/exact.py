@@ -38,13 +38,13 @@ def _split(rows: DataFrame, number: int) -> DataFrame:
 
 
 def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``__uid`` (of the row), ``__group`` (null for a text without copy), ``__bytes`` dropped.
+    """``docs`` without ``text_col``, with ``__uid`` (of the row) and ``__group`` (null for a text without copy).
 
     The digits of a text are its length and then its UTF-8 bytes. Each pass splits every group by the next bytes; a group
     with one row left, or whose texts have ended, is finished. Bytes are compared themselves: no digest decides.
     """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    named = docs.withColumn("__bytes", text.cast("binary"))
+    named = docs.withColumn("__bytes", text.cast("binary")).drop(text_col)
     named = named.withColumn("__group", F.octet_length("__bytes").cast("long"))
     first = _split(named.withColumn("__digits", _digits(0, FIRST_BYTES)), 0)
     copies = F.col("__new").isNotNull()
@@ -93,7 +93,7 @@ def duplicate_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     sha = F.sha2(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), 256)
     slim = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), sha.alias("text_sha256"))
     grouped, groups = _ranked_groups(slim, "doc_id", "text")
-    return attach(grouped.drop("text"), groups, ["__group"]).select(
+    return attach(grouped, groups, ["__group"]).select(
         "doc_id",
         F.when(F.col("__group").isNull(), F.col("doc_id")).otherwise(F.col("__best.id")).alias("keep_id"),
         F.coalesce("__size", F.lit(1)).cast("long").alias("group_size"),
@@ -104,7 +104,12 @@ def duplicate_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without exact copies: of each group the row that ``duplicate_report`` keeps."""
-    grouped, groups = _ranked_groups(docs, id_col, text_col)
+    rows = docs.select(
+        F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("__row"),
+        F.col(f"`{id_col}`").alias("doc_id"),
+        F.col(f"`{text_col}`").alias("text"),
+    )
+    grouped, groups = _ranked_groups(rows, "doc_id", "text")
     joined = attach(grouped, groups, ["__group"])
     kept = joined.filter(F.coalesce(F.col("__best.uid") == F.col("__uid"), F.lit(True)))
-    return kept.select(*(F.col(f"`{name}`") for name in docs.columns))
+    return kept.select("__row.*")

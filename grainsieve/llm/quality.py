@@ -16,7 +16,12 @@ from grainsieve.plans.durable import cut_lineage
 from grainsieve.plans.joins import attach
 
 ORDER = 4  # bytes of the longest n-gram; 7 at most, so that a key is a positive long
-QUANTILE = 0.999
+# A text is odd if its log-perplexity lies further above the median of held-out trusted texts than REACH times the way from there
+# to their QUANTILE.
+QUANTILE = 0.95
+REACH = 3.0
+# One in so many distinct trusted texts is held out of training, for the thresholds.
+HELD_OUT = 5
 # Bytes of a typical trusted text added to every document, so that a few odd ones do not condemn a short text.
 PRIOR_BYTES = 64
 
@@ -218,15 +223,16 @@ def judge_quality(
     lang_col: str = "lang",
     order: int = ORDER,
     quantile: float = QUANTILE,
+    reach: float = REACH,
     prior_bytes: int = PRIOR_BYTES,
 ) -> DataFrame:
     """(doc_id, lang, text_hash, n_bytes, perplexity, score, threshold, kept) of every document.
 
     Trusted are documents that ``labels`` (doc_id, quality, toxic) call good and not toxic; where labels disagree the worst
-    counts. One model per language (null and empty names are one) is trained on all trusted text. ``score`` is the
-    perplexity per byte with ``prior_bytes`` of the language's mean added; a document is rejected if it
-    exceeds the ``quantile`` of its language's trusted documents. Null and empty texts and languages without trusted text
-    are kept, with null figures: nothing speaks against them.
+    counts. One model per language (null and empty names are one) is trained on all of them but those held out by
+    text hash. ``score`` is the perplexity per byte with ``prior_bytes`` of the language's median added. With m and q, the median and
+    ``quantile`` of the log-scores of its held-out texts, a language rejects what exceeds m + ``reach`` (q - m). Null and
+    empty texts and languages without held-out or trained text are kept, with null figures: nothing speaks against them.
     """
     good = (
         labels.groupBy(F.col("doc_id").alias("doc_id"))
@@ -241,29 +247,35 @@ def judge_quality(
         text.alias("text"),
     )
     rows = rows.filter(F.col("text") != "")
-    model = log_probabilities(cut_lineage(gram_counts(attach(rows, good, ["doc_id"]), order)), order)
     hashed = rows.withColumn("text_hash", F.xxhash64("text"))
+    held = F.pmod("text_hash", F.lit(HELD_OUT)) == 0
+    training = attach(hashed, good, ["doc_id"]).withColumn("trusted", F.col("trusted") & ~held)
+    model = log_probabilities(cut_lineage(gram_counts(training, order)), order)
     scored = cut_lineage(
         attach(score_texts(hashed, model, order, keep=["doc_id", "lang", "text_hash"]), good, ["doc_id"])
     )
-    sure = scored.filter("trusted")
-    means = sure.groupBy("lang").agg((F.sum("logp") / F.sum("n_units")).alias("mean"))
-    smoothed = attach(scored, cut_lineage(means), ["lang"]).withColumn(
-        "score",
-        F.exp(-(F.col("logp") + prior_bytes * F.col("mean")) / (F.col("n_units") + prior_bytes)),
-    )
-    limits = (
-        smoothed.filter("trusted").groupBy("lang").agg(F.percentile_approx("score", quantile, 10_000).alias("threshold"))
+    sure = F.col("trusted") & held
+
+    def middle(column: str, *shares: float) -> list[Column]:
+        return [F.percentile_approx(column, share, 10_000) for share in shares]
+
+    plain = scored.withColumn("own", -F.col("logp") / F.col("n_units"))
+    typical = plain.filter(sure).groupBy("lang").agg(middle("own", 0.5)[0].alias("typical"))
+    smoothed = attach(plain, cut_lineage(typical), ["lang"]).withColumn(
+        "logscore",
+        (prior_bytes * F.col("typical") - F.col("logp")) / (F.col("n_units") + prior_bytes),
     )
+    half, high = middle("logscore", 0.5, quantile)
+    limits = smoothed.filter(sure).groupBy("lang").agg((half + reach * (high - half)).alias("limit"))
     judged = attach(smoothed, cut_lineage(limits), ["lang"]).select(
         "doc_id",
         "lang",
         "text_hash",
         (F.col("n_units") - 1).alias("n_bytes"),
-        F.exp(-F.col("logp") / F.col("n_units")).alias("perplexity"),
-        "score",
-        "threshold",
-        F.coalesce(F.col("score") <= F.col("threshold"), F.lit(True)).alias("kept"),
+        F.exp("own").alias("perplexity"),
+        F.exp("logscore").alias("score"),
+        F.exp("limit").alias("threshold"),
+        F.coalesce(F.col("logscore") <= F.col("limit"), F.lit(True)).alias("kept"),
     )
     none = F.lit(None).cast("double")
     blank = docs.filter(text == "").select(

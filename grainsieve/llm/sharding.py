@@ -9,7 +9,7 @@ from grainsieve.llm.numbering import numbered
 from grainsieve.plans.durable import cut_lineage
 from grainsieve.plans.joins import attach
 
-ROUNDS = 4
+ROUNDS = 6
 
 
 def _quota(total: int, shards: int) -> list[int]:
@@ -17,42 +17,64 @@ def _quota(total: int, shards: int) -> list[int]:
     return [total // shards + (shard < total % shards) for shard in range(shards)]
 
 
-def _choice(shard: Column, values: list[int]) -> Column:
-    return F.element_at(F.array(*(F.lit(value) for value in values)), shard + 1)
-
-
-def _per_shard(df: DataFrame, shards: int, condition: Column | None = None) -> list[int]:
+def _per_shard(df: DataFrame, shards: int) -> list[int]:
     """Rows in each shard: one row per shard comes to the driver."""
-    rows = df if condition is None else df.filter(condition)
-    found = {row[0]: row[1] for row in rows.groupBy("shard").agg(F.count(F.lit(1))).collect()}
+    found = {row[0]: row[1] for row in df.groupBy("shard").agg(F.count(F.lit(1))).collect()}
     return [found.get(shard, 0) for shard in range(shards)]
 
 
+def _pair_quotas(wishes: dict[tuple[int, int], int], room: list[int]) -> list[tuple[int, int, int]]:
+    """(from, to, rows) that may move between shards: swaps, which change no size, and what each shard has room for."""
+    rest, quotas = {}, []
+    for (source, to), n in wishes.items():
+        swapped = min(n, wishes.get((to, source), 0))
+        rest[source, to] = n - swapped
+        quotas.append([source, to, swapped])
+    asked = [0] * len(room)
+    for (_, to), n in rest.items():
+        asked[to] += n
+    for quota in sorted(quotas, key=lambda q: -rest[q[0], q[1]]):
+        source, to, _ = quota
+        wanted = rest[source, to]
+        given = min(wanted, -(-room[to] * wanted // asked[to])) if asked[to] else 0
+        room[to] -= given
+        asked[to] -= wanted
+        quota[2] += given
+    return [tuple(quota) for quota in quotas if quota[2]]
+
+
 def _propagate(linked: DataFrame, caps: list[int], rounds: int) -> DataFrame:
     """``linked`` (uid, hub, shard) after rounds in which rows move to where most of their hub is.
 
-    A shard takes no more than it has room for, the largest gains first, so none ever outgrows its quota.
+    The counts of wished moves per pair of shards set the quotas, so that no shard ever outgrows its own; within a pair the
+    rows with the largest pull go first.
     """
-    shards = len(caps)
+    spark = linked.sparkSession
     for _ in range(rounds):
         votes = linked.groupBy("hub", "shard").agg(F.count(F.lit(1)).alias("n"))
-        # The fullest shard of a hub, the lowest of equally full ones.
-        favourite = cut_lineage(
-            votes.groupBy("hub").agg(
-                F.max(F.struct("n", (-F.col("shard")).alias("minus"))).alias("best"), F.sum("n").alias("all")
-            )
+        # The fullest shard of a hub; of equally full ones, a hash of both decides, so that no shard is preferred.
+        turn = F.xxhash64("hub", "shard")
+        favourite = votes.groupBy("hub").agg(
+            F.max(F.struct("n", turn.alias("turn"), "shard")).alias("best"), F.sum("n").alias("all")
         )
         scattered = favourite.filter(F.col("best.n") < F.col("all")).select(
-            "hub", (-F.col("best.minus")).cast("int").alias("to"), F.col("best.n").alias("pull")
+            "hub", F.col("best.shard").alias("to"), F.col("best.n").alias("pull")
         )
-        asking = attach(linked, cut_lineage(scattered), ["hub"], "inner").filter(F.col("shard") != F.col("to"))
-        room = [cap - used for cap, used in zip(caps, _per_shard(linked, shards))]
-        ranked = numbered(
-            asking.select("uid", "to", (-F.col("pull")).alias("last"), "hub"), ["to"], ["last", "hub", "uid"], "place"
+        asking = cut_lineage(
+            attach(linked, cut_lineage(scattered), ["hub"], "inner")
+            .filter(F.col("shard") != F.col("to"))
+            .select("uid", F.col("shard").alias("source"), "to", (-F.col("pull")).alias("last"), "hub")
         )
-        moves = cut_lineage(ranked.filter(F.col("place") < _choice(F.col("to"), room)).select("uid", "to"))
-        if moves.isEmpty():
+        wishes = {(r[0], r[1]): r[2] for r in asking.groupBy("source", "to").agg(F.count(F.lit(1))).collect()}
+        room = [cap - used for cap, used in zip(caps, _per_shard(linked, len(caps)))]
+        quotas = _pair_quotas(wishes, room)
+        if not quotas:
             break
+        ranked = numbered(asking, ["source", "to"], ["last", "hub", "uid"], "place")
+        allowed = spark.createDataFrame(quotas, "source int, to int, quota long")
+        moves = cut_lineage(
+            attach(ranked, allowed, ["source", "to"], "inner").filter(F.col("place") < F.col("quota")).select("uid", "to")
+        )
         linked = cut_lineage(
             attach(linked, moves, ["uid"]).select("uid", "hub", F.coalesce("to", "shard").alias("shard"))
         )

@@ -124,7 +124,8 @@ def _square_links(
 
     ``side`` 0 and 1 are the two chunks of the square; a square on the diagonal has only 0.
     """
-    lefts, rights = [], []
+    nothing = np.zeros(0, dtype=np.int64)
+    lefts, rights = [nothing], [nothing]
     rows = np.flatnonzero(side == 0)
     others = np.flatnonzero(side == 1) if (side == 1).any() else rows
     for at in range(0, len(rows), 512):
