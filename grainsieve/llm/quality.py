@@ -26,6 +26,8 @@ HELD_OUT = 5
 PRIOR_BYTES = 64
 
 _SYMBOLS = 256
+# Bytes of text whose keys are made at once.
+_AT_ONCE = 1 << 20
 
 
 def text_keys(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -56,8 +58,24 @@ def _by_language(langs: pa.ChunkedArray) -> Iterator[tuple[str, np.ndarray]]:
         yield lang, np.flatnonzero(codes == code)
 
 
-def _encoded(texts, rows: np.ndarray) -> list[bytes]:
-    return [(texts[int(i)].as_py() or "").encode() for i in rows]
+def _encoded(texts, rows: np.ndarray) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """Rows and their texts in UTF-8, in parts of about ``_AT_ONCE`` bytes."""
+    part, held, size = [], [], 0
+    for i in rows.tolist():
+        part.append(i)
+        held.append((texts[i].as_py() or "").encode())
+        size += len(held[-1])
+        if size >= _AT_ONCE:
+            yield np.array(part), held
+            part, held, size = [], [], 0
+    if part:
+        yield np.array(part), held
+
+
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    found, at = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.bincount(at, weights=np.concatenate(counts), minlength=len(found))
+    return found, total.astype(np.int64)
 
 
 def gram_counts(docs: DataFrame, order: int) -> DataFrame:
@@ -68,15 +86,17 @@ def gram_counts(docs: DataFrame, order: int) -> DataFrame:
             texts, trusted = batch.column("text"), batch.column("trusted")
             good = pc.fill_null(trusted, False).to_numpy(zero_copy_only=False)
             for lang, rows in _by_language(pa.chunked_array([batch.column("lang")])):
-                for part in np.array_split(rows, max(1, len(rows) // 2000)):
-                    keys, sizes = text_keys(_encoded(texts, part), order)
+                seen, counts = [], []
+                for part, held in _encoded(texts, rows):
+                    keys, sizes = text_keys(held, order)
                     weight = np.repeat(good[part].astype(np.int64), sizes)
-                    found, at = np.unique(keys, return_inverse=True)
-                    total = np.bincount(at, weights=weight, minlength=len(found)).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(found), pa.string()), pa.array(found), pa.array(total)],
-                        names=["lang", "key", "count"],
-                    )
+                    for column, values in zip((seen, counts), _summed([keys], [weight])):
+                        column.append(values)
+                found, total = _summed(seen, counts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(found), pa.string()), pa.array(found), pa.array(total)],
+                    names=["lang", "key", "count"],
+                )
 
     parts = docs.select("lang", "text", "trusted").mapInArrow(count, "lang string, key long, count long")
     return parts.groupBy("lang", "key").agg(F.sum("count").alias("count"))
@@ -164,8 +184,8 @@ def score_texts(docs: DataFrame, model: DataFrame, order: int, *, keep: list[str
         seen: dict[str, list[np.ndarray]] = {}
         for _, rows in blobs(table):
             for lang, at in _by_language(rows.column("__lang")):
-                keys, _ = text_keys(_encoded(rows.column("__text"), at), order)
-                seen.setdefault(lang, []).append(np.unique(keys))
+                for _, held in _encoded(rows.column("__text"), at):
+                    seen.setdefault(lang, []).append(np.unique(text_keys(held, order)[0]))
         block = table.column("block")[0].as_py()
         merged = {lang: np.unique(np.concatenate(parts)) for lang, parts in seen.items()}
         return pa.table(
@@ -192,15 +212,16 @@ def score_texts(docs: DataFrame, model: DataFrame, order: int, *, keep: list[str
             units = np.zeros(rows.num_rows, dtype=np.int64)
             logp = np.full(rows.num_rows, np.nan)
             for lang, at in _by_language(rows.column("__lang")):
-                keys, sizes = text_keys(_encoded(rows.column("__text"), at), order)
-                units[at] = sizes
-                if lang not in known:
-                    continue
-                place = pc.index_in(pa.array(keys), value_set=known[lang][0])
-                if place.null_count:
-                    raise RuntimeError("a block met other texts than it had asked for")
-                values = known[lang][1][place.to_numpy(zero_copy_only=False)]
-                logp[at] = np.add.reduceat(values, np.cumsum(sizes) - sizes)
+                for part, held in _encoded(rows.column("__text"), at):
+                    keys, sizes = text_keys(held, order)
+                    units[part] = sizes
+                    if lang not in known:
+                        continue
+                    place = pc.index_in(pa.array(keys), value_set=known[lang][0])
+                    if place.null_count:
+                        raise RuntimeError("a block met other texts than it had asked for")
+                    values = known[lang][1][place.to_numpy(zero_copy_only=False)]
+                    logp[part] = np.add.reduceat(values, np.cumsum(sizes) - sizes)
             columns = [rows.column(i) for i in range(rows.num_columns - 2)]
             out.append(
                 pa.table(
