@@ -188,13 +188,15 @@ def _regions(shards: int, least: int):
         number: dict[tuple[int, bytes], int] = {}
         texts: list[bytes] = []
         keys: list[int] = []
+        repeats: list[bool] = []
         places: list[tuple] = []
 
-        def add(key: int, text: bytes, place: tuple) -> None:
+        def add(key: int, text: bytes, own_repeats: bool, place: tuple) -> None:
             own = number.setdefault((key, text), len(texts))
             if own == len(texts):
                 texts.append(text)
                 keys.append(key)
+                repeats.append(own_repeats)
             places.append((own, *place))
 
         for name, rows in blobs(table) if asked.num_rows else ():
@@ -203,15 +205,15 @@ def _regions(shards: int, least: int):
             runs = _Runs(body, least)
             for hot, kept in ((False, _among(runs.key, asked, "many")), (True, _among(runs.key, asked, "hot"))):
                 at = np.flatnonzero(kept)
-                columns = (runs.row[at], runs.start[at], runs.count[at], runs.key[at])
-                for row, start, count, key in zip(*(c.tolist() for c in columns)):
+                columns = (runs.row[at], runs.start[at], runs.count[at], runs.key[at], runs.repeats[at] > 1)
+                for row, start, count, key, again in zip(*(c.tolist() for c in columns)):
                     text, doc_id = body[row], ids[row]
                     if not hot:
-                        add(key, text[start : start + count - 1 + least], (doc_id, name, row, start))
+                        add(key, text[start : start + count - 1 + least], again, (doc_id, name, row, start))
                         continue
                     for one in range(start, start + count):
                         window = text[one : one + least]
-                        add(xxhash.xxh64_intdigest(window) >> 1, window, (doc_id, name, row, one))
+                        add(xxhash.xxh64_intdigest(window) >> 1, window, False, (doc_id, name, row, one))
         shard = (np.array(keys, dtype=np.int64).view(np.uint64) // np.uint64(7) % np.uint64(shards)).astype(np.int64)
         fields = list(zip(*places)) if places else [()] * 5
         own = np.array(fields[0], dtype=np.int64)
@@ -228,7 +230,11 @@ def _regions(shards: int, least: int):
             used, renamed = np.unique(own[piece], return_inverse=True)
             out_shards.append(int(shard[used[0]]))
             data.append(
-                _frame(key=np.array([keys[i] for i in used]), text=pa.array([texts[i] for i in used], pa.binary()))
+                _frame(
+                    key=np.array([keys[i] for i in used]),
+                    text=pa.array([texts[i] for i in used], pa.binary()),
+                    repeats=np.array([repeats[i] for i in used]),
+                )
             )
             members.append(
                 _frame(region=renamed, absent=absent[piece], id=ids[piece], name=names[piece], row=row[piece], start=start[piece])
@@ -275,17 +281,18 @@ def _sorted_shard(least: int):
     def run(table: pa.Table) -> pa.Table:
         """Places in a shard's regions that repeat earlier ones, per block."""
         number: dict[tuple[int, bytes], int] = {}
-        key_of, text_of, fields = [], [], []
+        key_of, text_of, repeats, fields = [], [], [], []
         for block, data, listed in zip(
             table.column("block").to_pylist(), table.column("regions"), table.column("members")
         ):
             regions, members = _unframe(data), _unframe(listed)
             local = []
-            for key, text in zip(regions.column("key").to_pylist(), regions.column("text").to_pylist()):
+            for key, text, again in zip(*(regions.column(c).to_pylist() for c in ("key", "text", "repeats"))):
                 own = number.setdefault((key, text), len(text_of))
                 if own == len(text_of):
                     key_of.append(key)
                     text_of.append(text)
+                    repeats.append(again)
                 local.append(own)
             columns = [_column(members, c) for c in ("absent", "id", "name", "row", "start")]
             region = np.array(local, dtype=np.int64)[_column(members, "region")]
@@ -305,8 +312,12 @@ def _sorted_shard(least: int):
         size = np.array([len(t) for t in text_of], dtype=np.int64)
         others = np.flatnonzero(first[region] != np.arange(len(region)))
         spans.append((others, start[others], start[others] + size[region[others]]))
+        # A text that is alone with its anchor, and holds it once, shares a window with no text and not with itself.
+        keys = np.array(key_of, dtype=np.int64)
+        _, at, texts_of_key = np.unique(keys, return_inverse=True, return_counts=True)
+        sorted_ = np.flatnonzero((texts_of_key[at] > 1) | np.array(repeats, dtype=bool))
         todo, held = [], 0
-        ordered = np.argsort(np.array(key_of, dtype=np.int64), kind="stable").tolist()
+        ordered = sorted_[np.argsort(keys[sorted_], kind="stable")].tolist()
         for i, one in enumerate(ordered):
             todo.append(one)
             held += len(text_of[one])
