@@ -36,6 +36,10 @@ def _deal(queues: list[list[np.ndarray]], text: np.ndarray, suffixes: np.ndarray
         queues[letter].append(suffixes[a:b])
 
 
+def _joined(chunks: list[np.ndarray]) -> np.ndarray:
+    return chunks[0] if len(chunks) == 1 else np.concatenate(chunks)
+
+
 def _induce(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, letters: int) -> np.ndarray:
     """All suffixes from leftmost-smaller ones (``seeds``, in order): larger types upwards, then smaller ones downwards."""
     n = len(text)
@@ -44,32 +48,34 @@ def _induce(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, letters: i
     _deal(own, text, seeds)
     up[int(text[n - 1])].append(np.array([n - 1], dtype=seeds.dtype))
     for letter in range(letters):
+        # What a bucket holds is dealt at once; what that adds to the bucket itself comes next.
         queue, at = up[letter], 0
         while at < len(queue):
-            before = queue[at] - 1
+            before = _joined(queue[at:]) - 1
+            at = len(queue)
             before = before[before >= 0]
             _deal(up, text, before[~smaller[before]])
-            at += 1
-        for chunk in own[letter]:
-            before = chunk - 1
+        if own[letter]:
+            before = _joined(own[letter]) - 1
             before = before[before >= 0]
             _deal(up, text, before[~smaller[before]])
     down: list[list[np.ndarray]] = [[] for _ in range(letters)]
     for letter in range(letters - 1, -1, -1):
         queue, at = down[letter], 0
         while at < len(queue):
-            before = queue[at] - 1
+            before = _joined(queue[at:]) - 1
+            at = len(queue)
             before = before[before >= 0]
             _deal(down, text, before[smaller[before]])
-            at += 1
-        for chunk in reversed(up[letter]):
-            before = chunk[::-1] - 1
+        if up[letter]:
+            before = _joined(up[letter])[::-1] - 1
             before = before[before >= 0]
             _deal(down, text, before[smaller[before]])
     parts = []
     for letter in range(letters):
         parts += up[letter]
-        parts += [chunk[::-1] for chunk in reversed(down[letter])]
+        if down[letter]:
+            parts.append(_joined(down[letter])[::-1])
     return np.concatenate(parts)
 
 
@@ -97,7 +103,7 @@ def _rank_by_doubling(names: np.ndarray) -> np.ndarray:
         ahead = np.full(n, -1, dtype=np.int64)
         ahead[: n - reach] = rank[reach:] if reach < n else ahead[: n - reach]
         key = rank * (n + 1) + ahead + 1
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         steps = np.concatenate([[0], (key[order[1:]] != key[order[:-1]]).cumsum()])
         rank = np.empty(n, dtype=np.int64)
         rank[order] = steps
@@ -140,10 +146,12 @@ def suffix_array(text: np.ndarray, letters: int = 256) -> np.ndarray:
     return _induce(text, smaller, first, letters)
 
 
-def shared_prefixes(text: np.ndarray, order: np.ndarray, least: int) -> np.ndarray:
+def shared_prefixes(
+    text: np.ndarray, order: np.ndarray, least: int, wanted: np.ndarray | None = None
+) -> np.ndarray:
     """For every suffix, in the order of the text, the length it shares with the suffix before it in ``order``, up to ``least``.
 
-    This is the permuted array of common prefixes. It is found eight letters at a time for all suffixes at once,
+    Suffixes that are not ``wanted`` get 0. This is the permuted array of common prefixes. It is found eight letters at a time for all suffixes at once,
     those that differ dropping out.
     """
     n = len(text)
@@ -153,7 +161,7 @@ def shared_prefixes(text: np.ndarray, order: np.ndarray, least: int) -> np.ndarr
     before = np.full(n, -1, dtype=np.int64)
     before[order[1:]] = order[:-1]
     common = np.zeros(n, dtype=np.int32)
-    open_ = np.flatnonzero(before >= 0)
+    open_ = np.flatnonzero(before >= 0 if wanted is None else (before >= 0) & wanted)
     for step in range(0, least, 8):
         differ = packed[open_ + step] ^ packed[before[open_] + step]
         low = differ & (~differ + np.uint64(1))

@@ -258,12 +258,12 @@ def repeated_windows(texts: list[bytes], rank: np.ndarray, start: np.ndarray, le
     """
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     joined = np.frombuffer(b"".join(t + bytes([_END]) for t in texts), dtype=np.uint8)
-    order = suffix_array(joined)
-    common = shared_prefixes(joined, order, least)
     offsets = np.cumsum(sizes + 1) - (sizes + 1)
     text = np.repeat(np.arange(len(texts)), sizes + 1)
     inside = np.arange(len(joined)) - offsets[text]
     whole = inside + least <= sizes[text]
+    order = suffix_array(joined)
+    common = shared_prefixes(joined, order, least, whole)
     when = (rank[text] << np.int64(32)) + start[text] + inside
     sorted_ = order[whole[order]]
     new = np.flatnonzero(common[sorted_] < least)
