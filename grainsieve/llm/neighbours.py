@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -16,14 +16,16 @@ from grainsieve.plans.joins import attach
 
 # The index is fitted on so many vectors at most, those with the smallest seeded hashes.
 SAMPLE = 4096
+# The next so many by hash are held out of the fit; they tell how many partitions have to be probed.
+HELD_OUT = 1024
 # Vectors of a partition, if the sample allows: no partition is learned from fewer than LEARNED sample vectors.
-PARTITION_ROWS = 2048
+PARTITION_ROWS = 8192
 LEARNED = 64
 # Vectors of one partition that are searched by one task.
 CHUNK = 8192
 GRAPH_NEIGHBOURS = 10
-# Share of true neighbours, inside the sample, that the probed partitions have to hold.
-COVERAGE = 0.98
+# Share of the held-out vectors' nearest sample vectors that the probed partitions have to hold.
+COVERAGE = 0.96
 SEED = 7
 
 
@@ -55,13 +57,14 @@ class Router:
 
 
 def _nearest(vectors: np.ndarray, count: int) -> np.ndarray:
-    """Indices of each vector's ``count`` nearest others by inner product."""
+    """Indices of each vector's ``count`` nearest others by inner product, nearest first."""
     near = []
     for at in range(0, len(vectors), 512):
         dots = vectors[at : at + 512] @ vectors.T
         dots[np.arange(len(dots)), at + np.arange(len(dots))] = -np.inf
         part = np.argpartition(-dots, min(count, dots.shape[1] - 1) - 1, axis=1)[:, :count]
-        near.append(part)
+        order = np.argsort(-np.take_along_axis(dots, part, axis=1), axis=1, kind="stable")
+        near.append(np.take_along_axis(part, order, axis=1))
     return np.concatenate(near)
 
 
@@ -106,7 +109,7 @@ def partition_graph(vectors: np.ndarray, near: np.ndarray, parts: int, rounds: i
 
 
 def train_router(vectors: np.ndarray, label: np.ndarray, parts: int, near: np.ndarray, seed: int = SEED) -> Router:
-    """Fit the network by gradient steps over the whole sample; probes are chosen so that they cover the sample's neighbours."""
+    """Fit the network by gradient steps over the whole sample; all partitions are probed until ``with_probes`` says fewer."""
     random = np.random.default_rng(seed)
     width = 128
     mean, scale = vectors.mean(axis=0), float(vectors.std()) or 1.0
@@ -135,28 +138,40 @@ def train_router(vectors: np.ndarray, label: np.ndarray, parts: int, near: np.nd
             second[i] = 0.99 * second[i] + 0.01 * slope**2
             corrected = np.sqrt(second[i] / (1 - 0.99**step)) + 1e-8
             weights[i] = weights[i] - 0.01 * first[i] / (1 - 0.9**step) / corrected
-    router = Router(mean, scale, (weights[0], weights[1]), (weights[2], weights[3]), parts)
-    order = router.best(vectors, parts)
-    place = np.argsort(order, axis=1)
-    wanted = place[np.arange(len(x))[:, None], order[near, 0]]
+    return Router(mean, scale, (weights[0], weights[1]), (weights[2], weights[3]), parts)
+
+
+def with_probes(router: Router, vectors: np.ndarray, held: np.ndarray, k: int) -> Router:
+    """The router with as many probes as find ``COVERAGE`` of the ``k`` nearest of ``vectors`` for held-out ones."""
+    parts = router.probes
+    dots = held @ vectors.T
+    near = np.argpartition(-dots, k - 1, axis=1)[:, :k]
+    place = np.argsort(router.best(held, parts), axis=1)
+    wanted = place[np.arange(len(held))[:, None], router.best(vectors, 1)[near, 0]]
     covered = [(wanted < probes).mean() for probes in range(1, parts + 1)]
     probes = next((i for i, share in enumerate(covered, 1) if share >= COVERAGE), parts)
-    return Router(mean, scale, router.hidden, router.out, probes)
+    return replace(router, probes=probes)
 
 
 def fit_router(vectors: DataFrame, rows: int, neighbours: int = 20) -> Router | None:
     """Router over ``vectors`` (id, vector), from a bounded sample; None if there is too little to partition."""
     sample = (
-        vectors.orderBy(F.xxhash64(F.lit(SEED), "id"), "id").limit(SAMPLE).select("vector").toArrow()
+        vectors.orderBy(F.xxhash64(F.lit(SEED), "id"), "id").limit(SAMPLE + HELD_OUT).select("vector").toArrow()
     )
     if sample.num_rows < 2 * LEARNED:
         return None
     matrix = np.stack(sample.column("vector").to_numpy()).astype(np.float64)
+    # A fifth of a small sample is held out.
+    cut = min(SAMPLE, len(matrix) * 4 // 5)
+    matrix, held = matrix[:cut], matrix[cut:]
     parts = max(1, min(-(-rows // PARTITION_ROWS), len(matrix) // LEARNED))
     if parts == 1:
         return None
-    label = partition_graph(matrix, _nearest(matrix, GRAPH_NEIGHBOURS), parts)
-    return train_router(matrix, label, parts, _nearest(matrix, min(neighbours, len(matrix) - 1)))
+    near = _nearest(matrix, min(neighbours, len(matrix) - 1))
+    label = partition_graph(matrix, near[:, :GRAPH_NEIGHBOURS], parts)
+    router = train_router(matrix, label, parts, near)
+    # The nearest of all rows are about as far away as so many of the sample.
+    return with_probes(router, matrix, held, max(1, round(neighbours * cut / rows)))
 
 
 def _search(queries: pa.Table, base: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
