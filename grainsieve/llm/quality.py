@@ -120,7 +120,7 @@ def _discounts(table: DataFrame) -> DataFrame:
     return (
         table.groupBy("lang")
         .agg(*n)
-        .select(F.col("lang").alias("__lang"), *(discount(i).alias(f"d{i}") for i in (1, 2, 3)))
+        .select("lang", *(discount(i).alias(f"d{i}") for i in (1, 2, 3)))
     )
 
 
@@ -141,7 +141,7 @@ def log_probabilities(counts: DataFrame, order: int) -> DataFrame:
     lower = None
     for n in range(1, order + 1):
         value = F.when(F.col("count") == 1, F.col("d1")).when(F.col("count") == 2, F.col("d2")).otherwise(F.col("d3"))
-        cut = tables[n].join(_discounts(tables[n]), F.col("lang") == F.col("__lang")).select(
+        cut = attach(tables[n], cut_lineage(_discounts(tables[n])), ["lang"]).select(
             F.col("lang").alias("__l"), F.col("key").alias("__k"), "count", value.alias("off")
         )
         context = cut.groupBy(
