@@ -251,6 +251,23 @@ quality AS (
   SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0.0) AS f1 FROM rated)"""
 
 
+PLAIN_WORDS = """
+WITH words AS (SELECT unnest(regexp_extract_all(text, '[A-Za-z]+')) AS word FROM documents),
+  threes AS (
+  SELECT word, list_transform(range(1, length(word) - 1), lambda i: substring(word, i, 3)) AS parts FROM words),
+  plain AS (
+  SELECT word, (length(word) + 8) / length(word) AS ratio FROM threes
+  WHERE length(word) < 3 OR len(list_distinct(parts)) = length(word) - 2)"""
+
+KEPT_PAGES = f"""
+WITH cut AS (SELECT doc_id, {footnotes("text")} AS text FROM documents WHERE {visible("text")}),
+  cleaned AS (SELECT doc_id, {brackets("text")} AS text FROM cut),
+  pages AS (
+  SELECT doc_id, text,
+    CASE doc_id % 10 WHEN 0 THEN 'test' WHEN 1 THEN 'validation' ELSE 'train' END AS split
+  FROM cleaned WHERE {visible("text")})"""
+
+
 ORACLES = {
     "kept_by_source": f"""
 WITH cut AS (SELECT source, {footnotes("text")} AS text FROM documents WHERE {visible("text")}),
@@ -392,9 +409,7 @@ SELECT CASE WHEN doc_id % 9 > 0 THEN doc_id END AS doc_id,
   CASE WHEN doc_id % 9 = 0 THEN substring(line, 1, 9) END AS _corrupt
 FROM lines""",
     "parquet_shards": """
-SELECT source AS shard, count(*) FILTER (source >= 'src2' OR doc_id % 3 = 0) AS documents,
-  count(*) FILTER (source >= 'src2' OR doc_id % 3 = 0) AS row_ids
-FROM documents GROUP BY source""",
+SELECT source AS shard, count(*) AS documents, count(*) AS row_ids FROM documents GROUP BY source""",
     "filtered_chunks": f"""
 WITH cut AS (SELECT doc_id, {footnotes("text")} AS text FROM documents WHERE {visible("text")}),
   cleaned AS (SELECT doc_id, {brackets("text")} AS text FROM cut)
@@ -420,4 +435,19 @@ FROM lineitem""",
 SELECT doc_id, 'train_' || source || '.train' AS stem,
   'validation_' || source || '.validation' AS validation_stem
 FROM documents""",
+    "compression_words": f"""{PLAIN_WORDS}
+SELECT word, count(*) AS places, min(ratio) AS least, max(ratio) AS most FROM plain GROUP BY word""",
+    "compression_words_band": f"""{PLAIN_WORDS}
+SELECT word, count(*) AS places FROM plain
+WHERE ratio + 0.01 * ln(length(word)) BETWEEN 1.75 AND 2.5 GROUP BY word""",
+    "null_shards": """
+SELECT CASE WHEN source <> 'src3' THEN source END AS shard, count(*) AS documents FROM documents GROUP BY 1""",
+    "job_filtered": f"""{KEPT_PAGES}
+SELECT doc_id AS id, text, split FROM pages""",
+    "job_tokens": f"""{KEPT_PAGES}
+SELECT count(*) AS examples, sum(len(regexp_extract_all(text, '{inputs.PIECES}'))) AS tokens FROM pages""",
+    "job_by_ids": f"""{KEPT_PAGES}
+SELECT doc_id AS id, true AS agrees FROM pages WHERE split = 'train'""",
+    "job_sampled": f"""{KEPT_PAGES}
+SELECT doc_id AS id, text FROM pages WHERE split = 'train'""",
 }

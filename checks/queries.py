@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import grainsieve as g
 from checks import inputs
+from grainsieve import jobs
 from grainsieve.functions import predicates as P
 from grainsieve.functions import text as text_functions
 from grainsieve.functions.compression import compression_ratio, compression_score
@@ -212,6 +213,98 @@ def compression_band(spark, sf_dir):
     return inputs.documents(spark, sf_dir).filter(score.between(0.3, 0.7)).select("doc_id")
 
 
+def _plain_words(spark, sf_dir):
+    """ASCII words of all texts that hold no three letters twice: deflate finds nothing to shorten in them."""
+    found = F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))
+    words = inputs.documents(spark, sf_dir).select(F.explode(found).alias("word"))
+    threes = F.transform(
+        F.sequence(F.lit(1), F.length("word") - 2), lambda i: F.substring(F.col("word"), i, F.lit(3))
+    )
+    once = F.size(F.array_distinct(threes)) == F.length("word") - 2
+    return words.filter((F.length("word") < 3) | once)
+
+
+def compression_words(spark, sf_dir):
+    rated = _plain_words(spark, sf_dir).select("word", compression_ratio(F.col("word")).alias("ratio"))
+    return rated.groupBy("word").agg(
+        F.count(F.lit(1)).alias("places"), F.min("ratio").alias("least"), F.max("ratio").alias("most")
+    )
+
+
+def compression_words_band(spark, sf_dir):
+    score = compression_score(F.col("word"), 0.01)
+    inside = _plain_words(spark, sf_dir).filter(score.between(1.75, 2.5))
+    return inside.groupBy("word").agg(F.count(F.lit(1)).alias("places"))
+
+
+def null_shards(spark, sf_dir):
+    """Shards stored in two goes, some rows without one."""
+    path = scratch_path(spark, "null-shards")
+    shard = F.when(F.col("source") != "src3", F.col("source"))
+    rows = inputs.table(spark, sf_dir, "documents").select("doc_id", shard.alias("shard"))
+    write_shards(rows.filter("shard < 'src2'"), path)
+    write_shards(rows, path)
+    write_shards(rows, path)
+    stored = spark.read.schema("doc_id BIGINT, shard STRING").parquet(path)
+    return stored.groupBy("shard").agg(F.count(F.lit(1)).alias("documents"))
+
+
+def _filtered_job(spark, sf_dir):
+    """Ingest, then the filter stage on what ingest wrote; gives the folder."""
+    part = F.col("doc_id") % 10
+    split = F.when(part == 0, F.lit("test")).when(part == 1, F.lit("validation"))
+    rows = inputs.table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"), "text", F.coalesce(split, F.lit("train")).alias("split")
+    )
+    raw, out = scratch_path(spark, "raw"), scratch_path(spark, "filtered")
+    ingest(rows, raw)
+    jobs.filter_corpus(spark, "en_wiki", raw, out, schema="id BIGINT, text STRING")
+    return out
+
+
+def job_filtered(spark, sf_dir):
+    stored = spark.read.parquet(_filtered_job(spark, sf_dir))
+    return stored.select("meta.id", "text", "split")
+
+
+def _tokenized_job(spark, sf_dir):
+    out = scratch_path(spark, "tokens")
+    pieces = vocabulary(spark, sf_dir)
+    jobs.tokenize_corpus_with_vocabulary(
+        spark, [_filtered_job(spark, sf_dir)], out, pieces, inputs.PIECES, 0
+    )
+    return out
+
+
+def job_tokens(spark, sf_dir):
+    """All stages up to the token count, whose totals do not depend on how many shards there are."""
+    _, totals = jobs.count_tokens(spark, [_tokenized_job(spark, sf_dir)])
+    return totals.select("examples", "tokens")
+
+
+def job_by_ids(spark, sf_dir):
+    """Held-out rows of the fixed split, taken again by their ids: both splits of the train rows must agree."""
+    tokens = _tokenized_job(spark, sf_dir)
+    held, ids, again = (scratch_path(spark, name) for name in ("held", "ids", "by-ids"))
+    jobs.split_corpus(spark, [tokens], held, "1", "parquet")
+    jobs.extract_ids(spark, "en_wiki", [f"{held}/split=validation"], ids, "parquet")
+    jobs.split_corpus_by_ids(spark, [tokens], again, ids, "parquet")
+    first = spark.read.parquet(held).select("meta.id", F.col("split").alias("first"))
+    second = spark.read.parquet(again).select("meta.id", "split")
+    return first.join(second, "id").select("id", (F.col("first") == F.col("split")).alias("agrees"))
+
+
+def job_sampled(spark, sf_dir):
+    """Without a train budget every train row is on one side; both are stored, converted and read."""
+    sampled, lines = scratch_path(spark, "sampled"), scratch_path(spark, "lines")
+    tokens = _tokenized_job(spark, sf_dir)
+    shards, _ = jobs.count_tokens(spark, [tokens])
+    jobs.sample_corpus(spark, [tokens], sampled, "-1", str(500 * shards.count()), "parquet")
+    jobs.convert_to_jsonl(spark, [sampled], lines)
+    stored = read_documents(spark, [lines], "jsonl", "text STRING, meta STRUCT<id: BIGINT>")
+    return stored.select("meta.id", "text")
+
+
 def text_sizes(spark, sf_dir):
     size = F.octet_length("text")
     return inputs.table(spark, sf_dir, "documents").select(
@@ -403,10 +496,10 @@ def tolerant_jsonl(spark, sf_dir):
 
 
 def parquet_shards(spark, sf_dir):
-    """Stored shard by shard, then read with the shard's name and a row id."""
+    """Some shards stored first and skipped when all are, then read with the shard's name and a row id."""
     path = scratch_path(spark, "shards")
     rows = inputs.table(spark, sf_dir, "documents").withColumnRenamed("source", "shard")
-    write_shards(rows.filter(F.col("doc_id") % 3 == 0).filter("shard < 'src2'"), path)
+    write_shards(rows.filter("shard < 'src2'"), path)
     write_shards(rows, path)
     stored = read_documents(spark, [path], shard=True, row_id=True)
     return stored.groupBy("shard").agg(
@@ -507,6 +600,13 @@ QUERIES = {
     "keyword_katakana": keyword_katakana,
     "compression_ratio": compression,
     "compression_band": compression_band,
+    "compression_words": compression_words,
+    "compression_words_band": compression_words_band,
+    "null_shards": null_shards,
+    "job_filtered": job_filtered,
+    "job_tokens": job_tokens,
+    "job_by_ids": job_by_ids,
+    "job_sampled": job_sampled,
     "text_sizes": text_sizes,
     "extract_japanese": transform_query(text_functions.extract_japanese_text),
     "strip_footnotes": transform_query(text_functions.remove_wikipedia_footnote),

@@ -35,13 +35,13 @@ VALID_DOMAINS = (
 EXCLUDED_URL_PREFIX = "https://ja.wikipedia.org/"
 
 # Accepted file extensions of source code, case-sensitive.
-VALID_EXTENSIONS = tuple(
-    """
-    asm bat cmd c h cs cpp hpp c++ h++ cc hh C H cmake css dockerfile f90 f f03 f08 f77 f95
-    for fpp go hs html java js jl lua md markdown php php3 php4 php5 phps phpt pl pm pod perl
-    ps1 psd1 psm1 py rb rs sql scala sh bash command zsh ts tsx tex vb Dockerfile Makefile
-    xml rst m smali
-    """.split()
+VALID_EXTENSIONS = (
+    "asm", "bat", "cmd", "c", "h", "cs", "cpp", "hpp", "c++", "h++", "cc", "hh", "C", "H",
+    "cmake", "css", "dockerfile", "f90", "f", "f03", "f08", "f77", "f95", "for", "fpp", "go",
+    "hs", "html", "java", "js", "jl", "lua", "md", "markdown", "php", "php3", "php4", "php5",
+    "phps", "phpt", "pl", "pm", "pod", "perl", "ps1", "psd1", "psm1", "py", "rb", "rs", "sql",
+    "scala", "sh", "bash", "command", "zsh", "ts", "tsx", "tex", "vb", "Dockerfile", "Makefile",
+    "xml", "rst", "m", "smali",
 )
 
 

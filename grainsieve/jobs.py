@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grainsieve.operators.counting import corpus_totals, tokens_per_shard
-from grainsieve.operators.holdout import holdout_per_shard, sample_by_token_budget
+from grainsieve.operators.holdout import TRAIN, holdout_per_shard, sample_by_token_budget
 from grainsieve.operators.membership import document_ids, split_by_ids
 from grainsieve.operators.scoring import recipe_quality, with_label_shares
-from grainsieve.operators.tokenizing import tokenize
+from grainsieve.operators.tokenizing import tokenize, tokenize_with_vocabulary
 from grainsieve.plans.recipes import ID_KEYS, KeywordLists, apply_recipe, recipe_for
 from grainsieve.sinks.writers import (
     parquet_to_jsonl,
@@ -17,7 +18,7 @@ from grainsieve.sinks.writers import (
     write_filtered,
     write_shards,
 )
-from grainsieve.sources.manifests import read_manifest, write_manifest, write_manifest_table
+from grainsieve.sources.manifests import read_ids, write_manifest, write_manifest_table
 from grainsieve.sources.readers import read_documents, read_jsonl, read_splits, spread
 
 
@@ -30,9 +31,11 @@ def filter_corpus(
     overwrite: bool = False,
     keywords: KeywordLists | None = None,
     schema: str | T.StructType | None = None,
+    spread_input: bool = False,
 ) -> bool:
-    """Filter and clean the split files of a collection."""
-    documents = spread(read_splits(spark, input_dir, schema))
+    """Filter and clean the split files of a collection. ``spread_input`` deals few large files over all cores first."""
+    documents = read_splits(spark, input_dir, schema)
+    documents = spread(documents) if spread_input else documents
     kept = apply_recipe(documents, recipe_for(name, strict, keywords), carry=("split",))
     return write_filtered(kept, output_dir, overwrite)
 
@@ -45,12 +48,38 @@ def tokenize_corpus(
     input_format: str = "parquet",
     overwrite: bool = False,
     schema: str | T.StructType | None = None,
+    spread_input: bool = False,
 ) -> None:
     """Tokenize all shards not tokenized yet."""
-    documents = spread(read_documents(spark, input_paths, input_format, schema, shard=True))
+    documents = read_documents(spark, input_paths, input_format, schema, shard=True)
+    documents = spread(documents) if spread_input else documents
     write_shards(tokenize(documents, sentencepiece_model), output_dir, overwrite)
 
 
+def tokenize_corpus_with_vocabulary(
+    spark: SparkSession,
+    input_paths: list[str],
+    output_dir: str,
+    vocabulary: DataFrame,
+    pattern: str,
+    unknown_id: int,
+    input_format: str = "parquet",
+    overwrite: bool = False,
+) -> None:
+    """As ``tokenize_corpus``, with ids from a table ``(piece, id)``."""
+    documents = read_documents(spark, input_paths, input_format, shard=True)
+    write_shards(
+        tokenize_with_vocabulary(documents, vocabulary, pattern, unknown_id), output_dir, overwrite
+    )
+
+
+def _train_rows(df: DataFrame) -> DataFrame:
+    """What a split may be drawn from: the train rows, where an earlier stage has told splits apart."""
+    if "split" not in df.columns:
+        return df
+    return df.filter(F.coalesce(F.col("split"), F.lit(TRAIN)) == TRAIN).drop("split")
+
+
 def count_tokens(
     spark: SparkSession, input_paths: list[str], input_format: str = "parquet"
 ) -> tuple[DataFrame, DataFrame]:
@@ -79,7 +108,7 @@ def sample_corpus(
 ) -> DataFrame:
     """Take train and validation rows up to token budgets; gives the totals of both."""
     documents = read_documents(spark, input_paths, shard=True, shard_path=True, row_id=True)
-    sampled = sample_by_token_budget(documents, train_token_size, valid_token_size, "shard_path")
+    sampled = sample_by_token_budget(_train_rows(documents), train_token_size, valid_token_size, "shard_path")
     return _write_split(sampled, output_dir, output_format, overwrite)
 
 
@@ -93,7 +122,7 @@ def split_corpus(
 ) -> DataFrame:
     """Hold out the same number of rows of every shard; gives the totals of both sides."""
     documents = read_documents(spark, input_paths, shard=True, shard_path=True, row_id=True)
-    split = holdout_per_shard(documents, valid_examples_per_shard, "shard_path")
+    split = holdout_per_shard(_train_rows(documents), valid_examples_per_shard, "shard_path")
     return _write_split(split, output_dir, output_format, overwrite)
 
 
@@ -104,9 +133,9 @@ def extract_ids(
     output_file: str,
     input_format: str = "jsonl",
     overwrite: bool = True,
-    as_table: bool = False,
+    as_table: bool = True,
 ) -> bool:
-    """Write the ids of all documents as a manifest document, or as a table for long lists."""
+    """Write the ids of all documents as a table of any length, or as one manifest document."""
     ids = document_ids(read_documents(spark, input_paths, input_format), ID_KEYS[name])
     write = write_manifest_table if as_table else write_manifest
     return write(ids, output_file, ID_KEYS[name], overwrite)
@@ -120,10 +149,10 @@ def split_corpus_by_ids(
     output_format: str = "jsonl",
     overwrite: bool = False,
 ) -> DataFrame:
-    """Send the documents a manifest lists to validation, all others to train."""
-    key, ids = read_manifest(spark, valid_id_file)
+    """Send the documents a manifest (document or table) lists to validation, all others to train."""
+    key, ids = read_ids(spark, valid_id_file)
     documents = read_documents(spark, input_paths, shard=True)
-    return _write_split(split_by_ids(documents, ids, key), output_dir, output_format, overwrite)
+    return _write_split(split_by_ids(_train_rows(documents), ids, key), output_dir, output_format, overwrite)
 
 
 def evaluate_filter(

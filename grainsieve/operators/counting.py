@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 
 def with_token_count(df: DataFrame) -> DataFrame:
-    """Add ``num_tokens`` from ``tokens`` where it is absent; nothing is written back."""
+    """Fill ``num_tokens`` from ``tokens`` where it is absent or NULL; nothing is written back."""
     if "num_tokens" in df.columns:
-        return df
+        if "tokens" not in df.columns:
+            return df
+        counted = F.when(F.col("tokens").isNotNull(), F.size("tokens"))
+        return df.withColumn("num_tokens", F.coalesce("num_tokens", counted))
     return df.withColumn("num_tokens", F.size("tokens"))
 
 

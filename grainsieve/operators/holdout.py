@@ -215,7 +215,7 @@ def holdout_per_shard(
     cuts = shard_cuts(df, n, shard_col, id_col, seed, short)
     if short == "error":
         _refuse_short(cuts, F.lit(True), n)
-    columns = df.columns
+    columns = [name for name in df.columns if name != "split"]
     flagged = attach(
         df.withColumn("__shard", F.col(shard_col)),
         cuts.select(F.col("shard").alias("__shard"), "cut"),
@@ -278,7 +278,7 @@ def sample_by_token_budget(
     if valid_budget <= 0:
         raise ValueError(f"the validation budget must be positive, not {valid_budget}")
     shards = df.select(shard_col).distinct().count()
-    columns = df.columns
+    columns = [name for name in df.columns if name != "split"]
     if not shards:
         return df.withColumn("split", F.lit(TRAIN))
     n = int(valid_budget / tokens_per_example / shards)

@@ -32,7 +32,7 @@ def split_by_ids(
 
     All copies of a listed document go together, and a row without an id stays in train.
     """
-    columns = df.columns
+    columns = [name for name in df.columns if name != "split"]
     listed = cut_lineage(distinct_ids(ids)).withColumn("__listed", F.lit(True))
     flagged = attach(
         df.withColumn("__id", document_id(key)),

@@ -106,15 +106,15 @@ def tokenize_with_vocabulary(
     vocabulary: DataFrame,
     pattern: str,
     unknown_id: int,
-    id_col: str,
+    id_col: str | None = None,
     text_col: str = "text",
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Append the same columns from a table ``(piece, id)``; pieces are the matches of ``pattern``.
 
-    ``id_col`` tells rows apart. It is only needed for a vocabulary beyond the measured bound, which is joined
-    to the pieces instead of being sent to every task.
+    A vocabulary beyond the measured bound is joined to the pieces of every distinct text instead of being sent to every task. Rows
+    need no id (``id_col`` is not looked at): the answer follows from the text.
     """
     pieces = F.regexp_extract_all(F.col(text_col), F.lit(pattern), F.lit(0))
     vocabulary = cut_lineage(
@@ -133,9 +133,13 @@ def tokenize_with_vocabulary(
         )
         split = df.withColumn("__pieces", pieces)
         return _with_tokens(split, encoded).drop("__pieces")
-    # No salt is needed on the way back: a document's pieces are bounded by its text.
-    exploded = df.select(
-        F.col(id_col).alias("__row"), F.posexplode(pieces).alias("place", "piece")
+    # Pieces follow from the text alone, so every text is looked up once, whatever its rows are called.
+    keyed = df.withColumn("__row", F.sha2(F.col(text_col), 256))
+    texts = keyed.filter(F.col("__row").isNotNull()).select("__row", F.col(text_col).alias("__text"))
+    distinct = texts.dropDuplicates(["__row"])
+    exploded = distinct.select(
+        "__row",
+        F.posexplode(F.regexp_extract_all(F.col("__text"), F.lit(pattern), F.lit(0))).alias("place", "piece"),
     )
     known = attach(exploded, vocabulary, on=["piece"], max_rows=max_rows, max_bytes=max_bytes)
     pair = F.struct("place", F.coalesce("id", F.lit(unknown_id)).alias("id"))
@@ -144,5 +148,5 @@ def tokenize_with_vocabulary(
     encoded = F.struct(
         pieces.alias("tokens"), F.when(F.col(text_col).isNotNull(), found).alias("token_ids")
     )
-    joined = df.join(looked_up, F.col(id_col) == F.col("__row"), "left")
+    joined = attach(keyed, cut_lineage(looked_up), on=["__row"], max_rows=max_rows, max_bytes=max_bytes)
     return _with_tokens(joined, encoded).drop("__row", "__pairs")

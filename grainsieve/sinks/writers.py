@@ -18,6 +18,10 @@ CHUNK_ROWS = 100_000
 
 SPLITS = tuple(SPLIT_MARKS)
 
+# What Spark writes when an output is complete, and the folder name of a NULL partition value.
+DONE = "_SUCCESS"
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 
 def _write(
     writer: DataFrameWriter,
@@ -29,12 +33,16 @@ def _write(
     max_rows: int | None,
     on_exists: str,
 ) -> bool:
-    exists = bool(child_names(df.sparkSession, path))
-    if exists and not overwrite:
+    names = child_names(df.sparkSession, path)
+    if names and not overwrite:
         if on_exists == "error":
-            raise FileExistsError(f"{path} already exists. Specify overwrite to replace it.")
-        logger.error("%s already exists. Specify overwrite to replace it.", path)
-        return False
+            raise FileExistsError(f"{path} holds an earlier result; pass overwrite=True to write it anew")
+        if DONE in names:
+            logger.error("%s is finished and stays as it is", path)
+            return False
+        if not all(name.startswith(("_", ".")) for name in names):
+            raise FileExistsError(f"{path} holds files but no {DONE}: pass overwrite=True if they may go")
+        logger.warning("%s holds leftovers of an unfinished job, which are replaced", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if max_rows:
@@ -51,7 +59,10 @@ def write_parquet(
     max_rows: int | None = None,
     on_exists: str = "skip",
 ) -> bool:
-    """Write unless ``path`` has content; tells whether it wrote. ``on_exists="error"`` raises instead."""
+    """Write unless ``path`` holds a finished output; tells whether it wrote. ``on_exists="error"`` raises instead.
+
+    What a dead job left in ``_temporary`` is replaced; other files without ``_SUCCESS`` are an error.
+    """
     return _write(df.write, df, path, "parquet", partition_by, overwrite, max_rows, on_exists)
 
 
@@ -98,7 +109,10 @@ def write_shards(
         ]
         if present:
             logger.error("%d shards of %s already exist and are skipped", len(present), path)
-            df = df.filter(~F.col(shard_col).isin(*map(unquote, present)))
+            kept = F.col(shard_col).isNull() if NO_VALUE not in present else F.lit(False)
+            named = [unquote(name) for name in present if name != NO_VALUE]
+            missing = ~F.col(shard_col).isin(*named) if named else F.col(shard_col).isNotNull()
+            df = df.filter(kept | F.coalesce(missing, F.lit(False)))
     writer = df.write.partitionBy(shard_col).mode("overwrite")
     writer = writer.option("partitionOverwriteMode", "dynamic")
     if fmt != "parquet":

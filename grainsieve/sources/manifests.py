@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from grainsieve.functions.identity import HASH_KEY
 from grainsieve.sinks.writers import write_jsonl, write_parquet
+from grainsieve.sources.paths import child_names
 
 _MANIFEST = "key STRING, ids ARRAY<STRING>"
 
@@ -20,6 +21,15 @@ def read_manifest(spark: SparkSession, path: str) -> tuple[str, DataFrame]:
     return key, manifest.select(F.explode("ids").alias("id"))
 
 
+def read_ids(spark: SparkSession, path: str) -> tuple[str, DataFrame]:
+    """Key name and ids of a manifest, be it a document or a table of Parquet files; told by the files' names."""
+    if not any(name.endswith(".parquet") for name in child_names(spark, path)):
+        return read_manifest(spark, path)
+    table = read_manifest_table(spark, path)
+    first = table.select("key").first()
+    return (first.key if first else HASH_KEY), table.select("id")
+
+
 def manifest_rows(ids: DataFrame, key: str | None) -> DataFrame:
     return ids.select(F.lit(key or HASH_KEY).alias("key"), F.col("id").cast("string").alias("id"))
 

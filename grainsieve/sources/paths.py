@@ -15,6 +15,9 @@ SPLIT_MARKS = {"train": "train", "validation": "valid", "test": "test"}
 # Input formats and their file extensions.
 EXTENSIONS = {"parquet": "parquet", "jsonl": "jsonl", "pandas-jsonl": "jsonl"}
 
+# Spark names JSON lines so; its files are taken where a folder has none with the extension itself.
+_OTHER_NAMES = {"jsonl": "json"}
+
 
 def _glob(spark: SparkSession, pattern: str) -> list[str]:
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
@@ -50,22 +53,41 @@ def input_paths(
             found.append(name)
         else:
             directory = name.rstrip("/")
-            if _glob(spark, f"{directory}/*.{extension}"):
-                found.append(f"{directory}/*.{extension}")
+            names = [extension, *_OTHER_NAMES.get(extension, "").split()]
+            present = next((n for n in names if _glob(spark, f"{directory}/*.{n}")), None)
+            if present:
+                found.append(f"{directory}/*.{present}")
             elif _glob(spark, f"{directory}/*=*"):
                 found.append(directory)
     return found
 
 
+def _split_folders(spark: SparkSession, directory: str, extension: str) -> dict[str, list[str]]:
+    """Files of the ``split=`` folders that our writers make; empty without any. Train must have some."""
+    names = [extension, *_OTHER_NAMES.get(extension, "").split()]
+    found = {}
+    for split in SPLIT_MARKS:
+        files = [path for n in names for path in _glob(spark, f"{directory}/split={split}/*.{n}")]
+        if files:
+            found[split] = files
+    if found and "train" not in found:
+        raise ValueError(f"{directory} has split folders, but none for train")
+    return found
+
+
 def split_files(
     spark: SparkSession, directory: str, extension: str = "jsonl", single: bool = False
 ) -> dict[str, list[str]]:
     """Files of each split, told by their names. A train file is required.
 
-    Splits may have many files; ``single`` allows one each. A name with the marks of two splits is an error.
+    Splits may have many files; ``single`` allows one each. A name with the marks of two splits is an error. A folder
+    that a writer has divided into ``split=`` folders is taken as that.
     """
     by_split = {}
     owner: dict[str, str] = {}
+    folders = _split_folders(spark, directory.rstrip("/"), extension)
+    if folders:
+        return folders
     for split, mark in SPLIT_MARKS.items():
         files = [
             path
@@ -76,9 +98,9 @@ def split_files(
             if owner.setdefault(path, split) != split:
                 raise ValueError(f"{path} names both {owner[path]} and {split}")
         if single and len(files) > 1:
-            raise ValueError(f"Found {len(files)} {split} files.")
+            raise ValueError(f"{directory}: one {split} file expected, not {len(files)}")
         if files:
             by_split[split] = files
     if "train" not in by_split:
-        raise ValueError("Found 0 train files.")
+        raise ValueError(f"{directory} has no file of the train split")
     return by_split

@@ -66,11 +66,16 @@ def _unquoted(text: Column) -> Column:
 
 
 def _shard() -> Column:
-    """File stem, or the ``shard=`` folder of a partitioned table."""
+    """File stem, behind the split where it lies in a ``split=`` folder, or the ``shard=`` folder of a partitioned table.
+
+    The files one task writes into two splits have the same name.
+    """
     path = _unquoted(F.col("_metadata.file_path"))
     # Writers quote partition values on top of the path's own quoting.
     folder = _unquoted(F.regexp_extract(path, "/shard=([^/]+)/", 1))
-    return F.coalesce(F.nullif(folder, F.lit("")), file_stem(path))
+    split = F.nullif(F.regexp_extract(path, "/split=([^/]+)/", 1), F.lit(""))
+    file = F.concat(F.coalesce(F.concat(split, F.lit("_")), F.lit("")), file_stem(path))
+    return F.coalesce(F.nullif(folder, F.lit("")), file)
 
 
 def _shard_path() -> Column:
@@ -133,10 +138,12 @@ def read_splits(
     files = split_files(spark, directory, extension, single)
     paths = [path for group in files.values() for path in group]
     df = spark.read.parquet(*paths) if extension == "parquet" else read_jsonl(spark, paths, schema)
-    name = F.col("_metadata.file_name")
+    name, path = F.col("_metadata.file_name"), F.col("_metadata.file_path")
     split = F.lit(None).cast("string")
     for label in files:
         split = F.when(name.contains(SPLIT_MARKS[label]), F.lit(label)).otherwise(split)
+    # The folder decides where there is one.
+    split = F.coalesce(F.nullif(F.regexp_extract(path, "/split=([^/]+)/[^/]+$", 1), F.lit("")), split)
     return df.withColumn("split", split)
 
 

@@ -18,7 +18,7 @@ from grainsieve.sinks.writers import (
     write_parquet,
     write_shards,
 )
-from grainsieve.sources.manifests import read_manifest, write_manifest
+from grainsieve.sources.manifests import read_ids, read_manifest, write_manifest
 from grainsieve.sources.paths import input_paths, split_files
 from grainsieve.sources.readers import (
     read_documents,
@@ -57,9 +57,9 @@ def test_splits(spark, tmp_path):
     lines(tmp_path / "test.json", [{"text": "d"}])
     rows = {(r.split, r.text) for r in read_splits(spark, str(tmp_path), "text STRING").collect()}
     assert rows == {("train", "a"), ("train", "b"), ("validation", "c")}
-    with pytest.raises(ValueError, match="Found 2 train files"):
+    with pytest.raises(ValueError, match="one train file expected, not 2"):
         split_files(spark, str(tmp_path), single=True)
-    with pytest.raises(ValueError, match="Found 0 train files"):
+    with pytest.raises(ValueError, match="no file of the train split"):
         split_files(spark, str(tmp_path), "json")
     lines(tmp_path / "train_test.jsonl", [])
     with pytest.raises(ValueError, match="names both"):
@@ -284,7 +284,7 @@ def test_stages_end_to_end(spark, tmp_path):
 
     manifest = f"{base}/ids"
     assert jobs.extract_ids(spark, "en_wiki", [f"{base}/sample/split=validation"], manifest, "parquet")
-    key, ids = read_manifest(spark, manifest)
+    key, ids = read_ids(spark, manifest)
     assert key == "id" and ids.count() == held["validation"]
     totals = jobs.split_corpus_by_ids(spark, [f"{base}/tokens"], f"{base}/by-ids", manifest, "parquet")
     assert {r.split: r.examples for r in totals.collect()} == held
@@ -298,3 +298,32 @@ def test_stages_end_to_end(spark, tmp_path):
     )
     row = jobs.evaluate_filter(spark, "en_wiki", labelled).first()
     assert (row.precision, row.recall, row.kept, row.acceptable_share) == (1.0, 0.5, 2, 0.5)
+
+
+def test_stages_on_untouched_output(spark, tmp_path):
+    """Both splits go through every stage; only train rows are split again, and shards keep splits apart."""
+    base = str(tmp_path)
+    rows = [(str(i), f"some text {i}", "train" if i % 4 else "validation") for i in range(40)]
+    ingest(spark.createDataFrame(rows, "id string, text string, split string").coalesce(1), f"{base}/raw")
+    assert jobs.filter_corpus(spark, "en_wiki", f"{base}/raw", f"{base}/filter", schema="id string, text string")
+    words = spark.createDataFrame([("some", 1), ("text", 2)], "piece string, id int")
+    jobs.tokenize_corpus_with_vocabulary(spark, [f"{base}/filter"], f"{base}/tokens", words, "[a-z]+", 0)
+    tokens = spark.read.parquet(f"{base}/tokens")
+    assert {r.shard.split("_")[0] for r in tokens.select("shard").distinct().collect()} == {"train", "validation"}
+    shards, totals = jobs.count_tokens(spark, [f"{base}/tokens"])
+    assert totals.first() == (shards.count(), 40, 80)
+
+
+def test_leftovers_of_a_dead_job_are_no_output(spark, tmp_path):
+    df = spark.range(3)
+    dead = tmp_path / "dead"
+    (dead / "_temporary" / "0").mkdir(parents=True)
+    assert write_parquet(df, str(dead))
+    assert spark.read.parquet(str(dead)).count() == 3
+    parts = tmp_path / "parts"
+    assert write_parquet(df, str(parts))
+    (parts / "_SUCCESS").unlink()
+    with pytest.raises(FileExistsError):
+        write_parquet(df, str(parts))
+    assert write_parquet(df, str(parts), overwrite=True)
+    assert not write_parquet(df, str(parts))

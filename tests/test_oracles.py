@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import connect, difference
+from checks.oracles import ORACLES
+from checks.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -11,10 +13,10 @@ def duck(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf_dir, duck, name):
-    frame = contract.queries()[name](spark, sf_dir)
-    sql = contract.oracle_sql().get(name)
+    frame = QUERIES[name](spark, sf_dir)
+    sql = ORACLES.get(name)
     if sql is None:
         assert frame.count() >= 0
         assert frame.columns
@@ -27,7 +29,7 @@ def test_every_oracle_has_a_query():
 
 
 def test_only_compression_has_no_oracle():
-    without = set(contract.queries()) - set(contract.oracle_sql())
+    without = set(QUERIES) - set(ORACLES)
     assert without == {
         "recipe_web_crawl",
         "recipe_web_crawl_strict",

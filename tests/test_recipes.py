@@ -112,7 +112,7 @@ def test_code_recipe_bounds_and_nulls(spark):
 
 
 def test_unknown_recipe_and_missing_lists():
-    with pytest.raises(ValueError, match="Unknown dataset name"):
+    with pytest.raises(ValueError, match="no recipe is called"):
         g.recipe_for("other")
     with pytest.raises(ValueError, match="keyword lists"):
         g.recipe_for("ja_cc")
