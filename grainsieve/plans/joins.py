@@ -31,6 +31,10 @@ def fits_broadcast(
     for field in side.schema.fields:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             width = width + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            # As text, an entry is about as long as it is wide in memory.
+            text = F.col(f"`{field.name}`").cast("string")
+            width = width + F.coalesce(F.octet_length(text), F.lit(0))
         width = width + F.lit(_FIXED_WIDTH)
     rows, size = side.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
     return rows <= max_rows and size <= max_bytes

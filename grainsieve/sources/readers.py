@@ -155,10 +155,11 @@ def read_keyword_lists(
     return KeywordLists(**{name: read_lines(spark, path) for name, path in paths.items()})
 
 
-def read_lines(spark: SparkSession, path: str, max_bytes: int = 4 * 1024 * 1024) -> list[str]:
-    """Entries of a keyword or allow list, in file order. Larger lists belong into a table."""
-    found = spark.read.format("binaryFile").load(path).select("length").first()
-    if found.length > max_bytes:
-        raise ValueError(f"{path} has {found.length} bytes, more than {max_bytes}")
+def read_lines(spark: SparkSession, path: str, max_bytes: int | None = None) -> list[str]:
+    """Entries of a keyword or allow list, in file order, refused beyond ``max_bytes``. Long allow lists belong into a table."""
+    if max_bytes is not None:
+        found = spark.read.format("binaryFile").load(path).select("length").first()
+        if found.length > max_bytes:
+            raise ValueError(f"{path} has {found.length} bytes, more than {max_bytes}")
     text = spark.read.text(path, wholetext=True).first()
     return [] if text is None else text.value.splitlines()
