@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -182,71 +183,115 @@ def _among(values: np.ndarray, table: pa.Table, name: str) -> np.ndarray:
     return wanted[at] == values
 
 
+def _earliest(group: np.ndarray, when: np.ndarray) -> np.ndarray:
+    """Which member of each group (0, 1, …) comes first."""
+    order = np.lexsort((when, group))
+    return order[np.unique(group[order], return_index=True)[1]]
+
+
+def _joined_spans(owner: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The spans of each owner, those that overlap or touch made one."""
+    order = np.lexsort((begin, owner))
+    base = owner[order].astype(np.int64) << np.int64(32)
+    low, high = base + begin[order], np.maximum.accumulate(base + end[order])
+    new = np.flatnonzero(np.concatenate([[True], low[1:] > high[:-1]]))
+    last = np.append(new[1:], len(order)) - 1
+    return owner[order][new], begin[order][new], high[last] - base[new]
+
+
 def _regions(shards: int, least: int):
     def run(table: pa.Table, asked: pa.Table) -> pa.Table:
-        """Texts of a block's repeated runs, each once, with the places where it stands."""
+        """Texts of a block's repeated runs, each once with the first place where it stands in the block.
+
+        All its other places repeat that one, so they are late whatever other blocks hold: a passage goes out once per block,
+        not once per copy. Runs of hot anchors are cut into windows, which are told apart in the same way.
+        """
         number: dict[tuple[int, bytes], int] = {}
         texts: list[bytes] = []
         keys: list[int] = []
         repeats: list[bool] = []
-        places: list[tuple] = []
-
-        def add(key: int, text: bytes, own_repeats: bool, place: tuple) -> None:
-            own = number.setdefault((key, text), len(texts))
-            if own == len(texts):
-                texts.append(text)
-                keys.append(key)
-                repeats.append(own_repeats)
-            places.append((own, *place))
-
+        hot: list[bool] = []
+        empty = np.zeros(0, dtype=np.int64)
+        region, owner, start = [empty], [empty], [empty]
+        documents: list[tuple[np.ndarray, ...]] = []
+        seen = 0
         for name, rows in blobs(table) if asked.num_rows else ():
             body = _texts(rows)
-            ids = rows.column("__id").to_pylist()
             runs = _Runs(body, least)
-            for hot, kept in ((False, _among(runs.key, asked, "many")), (True, _among(runs.key, asked, "hot"))):
-                at = np.flatnonzero(kept)
-                columns = (runs.row[at], runs.start[at], runs.count[at], runs.key[at], runs.repeats[at] > 1)
-                for row, start, count, key, again in zip(*(c.tolist() for c in columns)):
-                    text, doc_id = body[row], ids[row]
-                    if not hot:
-                        add(key, text[start : start + count - 1 + least], again, (doc_id, name, row, start))
-                        continue
-                    for one in range(start, start + count):
-                        window = text[one : one + least]
-                        add(xxhash.xxh64_intdigest(window) >> 1, window, False, (doc_id, name, row, one))
-        shard = (np.array(keys, dtype=np.int64).view(np.uint64) // np.uint64(7) % np.uint64(shards)).astype(np.int64)
-        fields = list(zip(*places)) if places else [()] * 5
-        own = np.array(fields[0], dtype=np.int64)
-        absent = np.array([i is None for i in fields[1]], dtype=bool)
-        ids = np.array([0 if i is None else i for i in fields[1]], dtype=np.int64)
-        names, row, start = (np.array(f, dtype=np.int64) for f in fields[2:])
-        order = np.argsort(shard[own], kind="stable") if len(own) else own
-        out_shards, data, members = [], [], []
-        block = table.column("block")[0].as_py() if table.num_rows else 0
-        cuts = np.flatnonzero(np.diff(shard[own[order]])) + 1 if len(own) else []
-        for piece in np.split(order, cuts):
-            if not len(piece):
-                continue
-            used, renamed = np.unique(own[piece], return_inverse=True)
-            out_shards.append(int(shard[used[0]]))
-            data.append(
-                _frame(
-                    key=np.array([keys[i] for i in used]),
-                    text=pa.array([texts[i] for i in used], pa.binary()),
-                    repeats=np.array([repeats[i] for i in used]),
+            is_hot = _among(runs.key, asked, "hot")
+            at = np.flatnonzero(is_hot | _among(runs.key, asked, "many"))
+            columns = (runs.row, runs.start, runs.count, runs.key, runs.repeats > 1, is_hot)
+            found = []
+            for row, first, count, key, again, many in zip(*(c[at].tolist() for c in columns)):
+                text = body[row][first : first + count - 1 + least]
+                own = number.setdefault((key, text), len(texts))
+                if own == len(texts):
+                    texts.append(text)
+                    keys.append(key)
+                    repeats.append(again)
+                    hot.append(many)
+                found.append(own)
+            region.append(np.array(found, dtype=np.int64))
+            owner.append(runs.row[at] + np.int64(seen))
+            start.append(runs.start[at])
+            ids = rows.column("__id")
+            documents.append(
+                (
+                    np.array(ids.is_null()),
+                    pc.fill_null(ids, 0).to_numpy(),
+                    np.full(len(body), name, dtype=np.int64),
+                    np.arange(len(body)),
                 )
             )
-            members.append(
-                _frame(region=renamed, absent=absent[piece], id=ids[piece], name=names[piece], row=row[piece], start=start[piece])
-            )
-        return pa.table(
-            {
-                "shard": pa.array(out_shards, pa.int32()),
-                "block": pa.array([block] * len(out_shards), pa.int32()),
-                "regions": pa.array(data, pa.binary()),
-                "members": pa.array(members, pa.binary()),
-            }
-        )
+            seen += len(body)
+        names = ("shard", "block", "regions", "members", "late")
+        types = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+        out: list[tuple] = []
+        if texts:
+            block = table.column("block")[0].as_py()
+            absent, ids, blob, row = (np.concatenate(c) for c in zip(*documents))
+            in_order = np.empty(seen, dtype=np.int64)
+            in_order[np.lexsort((row, blob, ids, absent))] = np.arange(seen)
+            region, owner, start = (np.concatenate(c) for c in (region, owner, start))
+            size = np.array([len(t) for t in texts], dtype=np.int64)
+            first = _earliest(region, (in_order[owner] << np.int64(32)) + start)
+            other = np.ones(len(region), dtype=bool)
+            other[first] = False
+            late = [(owner[other], start[other], start[other] + size[region[other]])]
+            owner, start = owner[first], start[first]
+            is_hot = np.array(hot)
+            whole, cut = np.flatnonzero(~is_hot), np.flatnonzero(is_hot)
+            windows: dict[bytes, int] = {}
+            member = [
+                windows.setdefault(texts[i][k : k + least], len(windows))
+                for i in cut.tolist()
+                for k in range(len(texts[i]) - least + 1)
+            ]
+            member = np.array(member, dtype=np.int64)
+            spread = size[cut] - least + 1
+            step = np.arange(len(member)) - np.repeat(np.cumsum(spread) - spread, spread)
+            w_owner, w_start = np.repeat(owner[cut], spread), np.repeat(start[cut], spread) + step
+            first = _earliest(member, (in_order[w_owner] << np.int64(32)) + w_start)
+            other = np.ones(len(member), dtype=bool)
+            other[first] = False
+            late.append((w_owner[other], w_start[other], w_start[other] + least))
+            key = np.array([keys[i] for i in whole] + [xxhash.xxh64_intdigest(w) >> 1 for w in windows], dtype=np.int64)
+            text = [texts[i] for i in whole] + list(windows)
+            again = np.concatenate([np.array(repeats)[whole], np.zeros(len(windows), dtype=bool)])
+            owner, start = np.concatenate([owner[whole], w_owner[first]]), np.concatenate([start[whole], w_start[first]])
+            shard = (key.view(np.uint64) // np.uint64(7) % np.uint64(shards)).astype(np.int64)
+            order = np.argsort(shard, kind="stable")
+            for piece in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
+                at = owner[piece]
+                data = _frame(key=key[piece], text=pa.array([text[i] for i in piece], pa.binary()), repeats=again[piece])
+                places = _frame(absent=absent[at], id=ids[at], name=blob[at], row=row[at], start=start[piece])
+                out.append((int(shard[piece[0]]), block, data, places, None))
+            spans = [np.concatenate(c) for c in zip(*late)]
+            if len(spans[0]):
+                at, begin, end = _joined_spans(*spans)
+                own_late = _frame(name=blob[at], row=row[at], begin=begin, end=end)
+                out.append((block % shards, block, None, None, own_late))
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 5, types)], names=list(names))
 
     return run
 
@@ -279,13 +324,18 @@ def repeated_windows(texts: list[bytes], rank: np.ndarray, start: np.ndarray, le
 
 def _sorted_shard(least: int):
     def run(table: pa.Table) -> pa.Table:
-        """Places in a shard's regions that repeat earlier ones, per block."""
+        """Places in a shard's regions that repeat earlier ones, per block; what blocks found late themselves goes along."""
         number: dict[tuple[int, bytes], int] = {}
         key_of, text_of, repeats, fields = [], [], [], []
-        for block, data, listed in zip(
+        found = table.filter(pc.is_valid(table.column("late")))
+        out_blocks, data = found.column("block").to_pylist(), found.column("late").to_pylist()
+        table = table.filter(pc.is_valid(table.column("regions")))
+        if not table.num_rows:
+            return pa.table({"b": pa.array(out_blocks, pa.int32()), "spans": pa.array(data, pa.binary())})
+        for block, listed, placed in zip(
             table.column("block").to_pylist(), table.column("regions"), table.column("members")
         ):
-            regions, members = _unframe(data), _unframe(listed)
+            regions, members = _unframe(listed), _unframe(placed)
             local = []
             for key, text, again in zip(*(regions.column(c).to_pylist() for c in ("key", "text", "repeats"))):
                 own = number.setdefault((key, text), len(text_of))
@@ -295,8 +345,7 @@ def _sorted_shard(least: int):
                     repeats.append(again)
                 local.append(own)
             columns = [_column(members, c) for c in ("absent", "id", "name", "row", "start")]
-            region = np.array(local, dtype=np.int64)[_column(members, "region")]
-            fields.append([region, np.full(len(region), block), *columns])
+            fields.append([np.array(local, dtype=np.int64), np.full(len(local), block), *columns])
         region, block, absent, ids, name, row, start = (np.concatenate(c) for c in zip(*fields))
         # Documents in their order: by id, rows without one last, rows with the same one in any fixed order.
         by_place = np.lexsort((start, row, name, ids, absent))
@@ -332,7 +381,6 @@ def _sorted_shard(least: int):
                         spans.append((np.full(len(begin), place), begin, end))
                 todo, held = [], 0
         place, begin, end = (np.concatenate(c) for c in zip(*spans))
-        out_blocks, data = [], []
         order = np.argsort(block[place], kind="stable")
         for piece in np.split(order, np.flatnonzero(np.diff(block[place][order])) + 1):
             if len(piece):
@@ -370,8 +418,8 @@ def repeated_spans(
     texts count as empty; texts shorter than ``least`` keep all bytes. Whole texts are searched, as UTF-8.
 
     Blocks of texts name the anchors of their windows; anchors met twice come back to the block, which sends the texts around
-    them, each once, to the shard of the anchor. There equal windows meet in one suffix array. An anchor met too often
-    for one shard is sent window by window.
+    them, each once per block, to the shard of the anchor. There equal windows meet in one suffix array. An anchor met too
+    often for one shard is sent window by window.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("__id"), F.col(f"`{text_col}`").cast("string").alias("__text"))
     blocks = block_count(docs, text_col, BLOCK_BYTES)
@@ -381,7 +429,7 @@ def repeated_spans(
     )
     asked = named.groupBy("part").applyInArrow(_repeated, "b int, many binary, hot binary")
     regions = store.groupBy("block").cogroup(asked.groupBy("b")).applyInArrow(
-        _regions(2 * blocks, least), "shard int, block int, regions binary, members binary"
+        _regions(2 * blocks, least), "shard int, block int, regions binary, members binary, late binary"
     )
     late = regions.groupBy("shard").applyInArrow(_sorted_shard(least), "b int, spans binary")
 

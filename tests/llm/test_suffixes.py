@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -86,3 +87,30 @@ def test_edge_rows(spark):
     assert by_id[8]["n_removed"] == by_id[8]["n_bytes"]
     assert by_id[9]["spans"] == [[2, 60_000]]
     assert suffixes.repeated_spans(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_a_block_sends_a_passage_once(hot):
+    texts = ["abcdefghij" * 3 + f"{i % 7} the same passage stands in every text of this block, " * 4 for i in range(300)]
+    rows = pa.table({"__id": pa.array([None, *range(299)], pa.int64()), "__text": texts})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as writer:
+        writer.write_table(rows)
+    block = pa.table({"block": pa.array([4], pa.int32()), "name": [9], "data": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+    keys = np.unique(suffixes._Runs([t.encode() for t in texts], 100).key).tobytes()
+    listed = {"many": [b"" if hot else keys], "hot": [keys if hot else b""]}
+    asked = pa.table({"b": pa.array([4], pa.int32()), **{k: pa.array(v, pa.binary()) for k, v in listed.items()}})
+    sent = suffixes._regions(3, 100)(block, asked)
+    windows = [t[i : i + 100] for t in set(texts) for i in range(len(t) - 99)]
+    places = sum(suffixes._unframe(data).num_rows for data in sent.column("members") if data.is_valid)
+    assert places <= len(set(windows))
+    late = suffixes._sorted_shard(100)(sent)
+    spans = {}
+    for data in late.column("spans"):
+        for s in suffixes._unframe(data).to_pylist():
+            spans.setdefault(s["row"], []).append((s["begin"], s["end"]))
+    found = [suffixes.merged(*map(np.array, zip(*spans[i]))) if i in spans else [] for i in range(300)]
+    order = [*range(1, 300), 0]
+    masks = repeated_bytes([(i, texts[row].encode()) for i, row in enumerate(order)], 100)
+    for row, mask in zip(order, masks):
+        assert sum(b - a for a, b in found[row]) == sum(mask)
