@@ -106,8 +106,8 @@ def judge_urls(
 
     A rule fits its host and all subdomains where the path starts with the rule's. The longest rule (host and path together)
     wins; of equally long ones that with more labels in its host, then a block. Urls that no rule fits, null ones and those
-    without ``://`` get ``default``. Every url stands in the sweep once per ancestor of its host, as a point among the
-    rules' intervals; both sides are dealt by ranges of keys, and ties are spread.
+    without ``://`` get ``default``. Every url stands in the sweep once per ancestor of its host that has no more labels than
+    some rule's, as a point among the rules' intervals; both sides are dealt by ranges of keys, and ties are spread.
     """
     width = shuffle_width(pages.sparkSession)
     url = F.col(f"`{url_col}`").cast("string")
@@ -121,8 +121,10 @@ def judge_urls(
     )
     prepared = cut_lineage(_prepared(rules))
     labels = F.reverse(F.split("host", r"\."))
+    # No rule fits an ancestor with more labels than any rule has, however many a host is made of.
+    deepest = prepared.agg(F.max("labels")).first()[0] or 1
     ancestors = F.transform(
-        F.sequence(F.lit(1), F.size("labels")),
+        F.sequence(F.lit(1), F.least(F.size("labels"), F.lit(deepest))),
         lambda n: canonical_key(F.slice(F.col("labels"), F.lit(1), n), F.col("path")),
     )
     points = (

@@ -9,7 +9,7 @@ URLS = [
     None, "", "no scheme", "http://", "http:///x", "HTTP://EXAMPLE.ORG/en/1", "http://example.org", "http://a.b.example.org/en/12?x#y",
     "http://notexample.org/es/1", "http://example.org/es/", "http://example.org?/es/", "x://y.com/fr/://z.org/", "http://fr.com/de/",
     "http://com/de/1", "http://..org/a", "http://example.org./en/1", "http://example.org/en/1", "http://example.org/en/1",
-    "http://user@example.org:80/en/1", "http://\u00c9XAMPLE.org/", "http://x.net/" + "y" * 5000, "http://example.com/de/#a",
+    "http://user@example.org:80/en/1", "http://\u00c9XAMPLE.org/", "http://x.net/" + "y" * 5000, "http://" + "a." * 20_000 + "example.org/es/1", "http://example.com/de/#a",
     "a\nb://c.org/d\ne",
 ]
 
