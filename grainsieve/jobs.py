@@ -53,7 +53,7 @@ def tokenize_corpus(
     """Tokenize all shards not tokenized yet."""
     documents = read_documents(spark, input_paths, input_format, schema, shard=True)
     documents = spread(documents) if spread_input else documents
-    write_shards(tokenize(documents, sentencepiece_model), output_dir, overwrite)
+    write_shards(tokenize(documents, sentencepiece_model), output_dir, overwrite, cluster=spread_input)
 
 
 def tokenize_corpus_with_vocabulary(

@@ -84,18 +84,15 @@ def _rows_in_buckets(placed: DataFrame, bounds: DataFrame) -> DataFrame:
     return rows.filter(F.col(_PLACE).startswith(F.col(_BUCKET)))
 
 
-def _small_buckets(placed: DataFrame, held: Column, rank_rows: int) -> DataFrame:
-    """Cut buckets of at most ``rank_rows`` rows. Only shards with a larger one are looked at again."""
+def _first_buckets(placed: DataFrame) -> DataFrame:
+    """Rows and tokens of each shard's buckets, from one pass over the table."""
     whole = Window.partitionBy("shard")
-    enough = (F.col("held_rows") > 0) & (F.col("held_rows") < F.col("rows"))
-    sums = (
-        F.count(F.lit(1)).alias("bucket_rows"),
-        F.coalesce(F.sum("tokens"), F.lit(0)).alias("bucket_tokens"),
-    )
-    digits = PASS_DIGITS
-    first = (
-        placed.groupBy("shard", F.substring(_PLACE, 1, digits).alias(_BUCKET))
-        .agg(*sums)
+    return (
+        placed.groupBy("shard", F.substring(_PLACE, 1, PASS_DIGITS).alias(_BUCKET))
+        .agg(
+            F.count(F.lit(1)).alias("bucket_rows"),
+            F.coalesce(F.sum("tokens"), F.lit(0)).alias("bucket_tokens"),
+        )
         .withColumns(
             {
                 "rows": F.sum("bucket_rows").over(whole),
@@ -104,9 +101,17 @@ def _small_buckets(placed: DataFrame, held: Column, rank_rows: int) -> DataFrame
                 "tokens_before": F.lit(0).cast("bigint"),
             }
         )
-        .withColumn("held_rows", held)
     )
-    bounds = cut_lineage(_cut_buckets(first, enough))
+
+
+def _small_buckets(
+    placed: DataFrame, held: Column, rank_rows: int, first: DataFrame | None = None
+) -> DataFrame:
+    """Cut buckets of at most ``rank_rows`` rows. Only shards with a larger one are looked at again."""
+    first = _first_buckets(placed) if first is None else first
+    enough = (F.col("held_rows") > 0) & (F.col("held_rows") < F.col("rows"))
+    digits = PASS_DIGITS
+    bounds = cut_lineage(_cut_buckets(first.withColumn("held_rows", held), enough))
     large = F.col("bucket_rows") > rank_rows
     while digits < _MOST_DIGITS and not bounds.filter(large).isEmpty():
         digits += PASS_DIGITS
@@ -133,17 +138,18 @@ def shard_cuts(
     short: str = "error",
     tokens_col: str | None = None,
     rank_rows: int = RANK_ROWS,
+    buckets: DataFrame | None = None,
 ) -> DataFrame:
     """Per shard: ``rows``, ``tokens``, ``held_rows``, ``held_tokens`` and the last held-out hash ``cut``.
 
     A shard with no more than ``n`` rows has no cut; with ``short="spare_one"`` all but one of its rows are
-    held out instead.
+    held out instead. ``buckets`` are those of ``_first_buckets``, where they have been counted already.
     """
     placed = _placed(df, shard_col, id_col, seed, tokens_col)
     held = F.lit(n).cast("bigint")
     if short == "spare_one":
         held = F.least(held, F.col("rows") - 1)
-    bounds = _small_buckets(placed, held, rank_rows)
+    bounds = _small_buckets(placed, held, rank_rows, buckets)
     candidates = _rows_in_buckets(
         placed,
         bounds.filter(F.col(_BUCKET).isNotNull()).select(
@@ -277,14 +283,16 @@ def sample_by_token_budget(
     train_budget, valid_budget = parse_size(train_tokens), parse_size(valid_tokens)
     if valid_budget <= 0:
         raise ValueError(f"the validation budget must be positive, not {valid_budget}")
-    shards = df.select(shard_col).distinct().count()
+    # The buckets do not depend on how many rows are held out, so they also tell the number of shards.
+    buckets = cut_lineage(_first_buckets(_placed(df, shard_col, id_col, seed, "num_tokens")))
+    shards = buckets.select("shard").distinct().count()
     columns = [name for name in df.columns if name != "split"]
     if not shards:
         return df.withColumn("split", F.lit(TRAIN))
     n = int(valid_budget / tokens_per_example / shards)
     if n <= 0:
         raise ValueError(f"a budget of {valid_budget} tokens gives no row to each of {shards} shards")
-    cuts = shard_cuts(df, n, shard_col, id_col, seed, short, "num_tokens")
+    cuts = shard_cuts(df, n, shard_col, id_col, seed, short, "num_tokens", buckets=buckets)
     decisions = cut_lineage(budget_decisions(cuts, train_budget, valid_budget, seed))
     if short == "error":
         _refuse_short(decisions, F.col("valid_active"), n)

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grainsieve.functions.identity import document_id
 from grainsieve.operators.holdout import TRAIN, VALIDATION
 from grainsieve.plans.durable import cut_lineage
-from grainsieve.plans.joins import BROADCAST_BYTES, BROADCAST_ROWS, attach
+from grainsieve.plans.joins import BROADCAST_BYTES, BROADCAST_ROWS, attach, fits_broadcast
+
+# Bits of a row of a bit table (fixed by Spark's bitmap functions), bits for each listed id, and most of them: 128 MiB.
+_ROW_BITS = 32_768
+_BITS_PER_ID = 8
+_MOST_BITS = 1 << 30
 
 
 def document_ids(df: DataFrame, key: str | None = None) -> DataFrame:
@@ -21,6 +26,29 @@ def distinct_ids(ids: DataFrame) -> DataFrame:
     return ids.select(F.col("id").cast("string").alias("id")).filter("id IS NOT NULL").distinct()
 
 
+def _place(column: str, bits: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(column)), F.lit(bits)) + 1
+
+
+def _with_chance(df: DataFrame, listed: DataFrame, column: str) -> DataFrame:
+    """Add ``__maybe``: false only for rows whose ``column`` is surely not in ``listed``.
+
+    A bit table over hashes of the listed values is broadcast; its size has a fixed bound, beyond which more rows
+    are let through.
+    """
+    bits = max(_ROW_BITS, min(_MOST_BITS, listed.count() * _BITS_PER_ID))
+    place = _place(column, bits)
+    table = listed.groupBy(F.bitmap_bucket_number(place).alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("__bits")
+    )
+    marked = df.withColumn("__at", F.bitmap_bit_position(_place(column, bits))).join(
+        F.broadcast(cut_lineage(table)), F.bitmap_bucket_number(_place(column, bits)) == F.col("__bucket"), "left"
+    )
+    byte = F.substring("__bits", (F.col("__at") / 8).cast("int") + 1, F.lit(1))
+    hit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (F.col("__at") % 8).cast("int")) == 1
+    return marked.select(*(F.col(f"`{c}`") for c in df.columns), F.coalesce(hit, F.lit(False)).alias("__maybe"))
+
+
 def split_by_ids(
     df: DataFrame,
     ids: DataFrame,
@@ -30,19 +58,24 @@ def split_by_ids(
 ) -> DataFrame:
     """Add ``split``: rows whose id is in ``ids`` are ``validation``, all others ``train``.
 
-    All copies of a listed document go together, and a row without an id stays in train.
+    All copies of a listed document go together, and a row without an id stays in train. Beyond the broadcast bound
+    ``df`` is read twice: rows that are surely not listed stay where they are, only the others are shuffled.
     """
     columns = [name for name in df.columns if name != "split"]
-    listed = cut_lineage(distinct_ids(ids)).withColumn("__listed", F.lit(True))
-    flagged = attach(
-        df.withColumn("__id", document_id(key)),
-        listed.withColumnRenamed("id", "__id"),
-        on=["__id"],
-        max_rows=max_rows,
-        max_bytes=max_bytes,
-    )
-    split = F.when(F.col("__listed"), F.lit(VALIDATION)).otherwise(F.lit(TRAIN))
-    return flagged.select(*(F.col(f"`{c}`") for c in columns), split.alias("split"))
+    listed = cut_lineage(distinct_ids(ids)).withColumn("__listed", F.lit(True)).withColumnRenamed("id", "__id")
+    rows = df.withColumn("__id", document_id(key).cast("string"))
+
+    def flagged(some: DataFrame) -> DataFrame:
+        found = attach(some, listed, on=["__id"], max_rows=max_rows, max_bytes=max_bytes)
+        split = F.when(F.col("__listed"), F.lit(VALIDATION)).otherwise(F.lit(TRAIN))
+        return found.select(*(F.col(f"`{c}`") for c in columns), split.alias("split"))
+
+    if fits_broadcast(listed, max_rows, max_bytes):
+        return flagged(rows)
+    rows = _with_chance(rows, listed.select("__id"), "__id")
+    others = rows.filter(~F.col("__maybe"))
+    train = others.select(*(F.col(f"`{c}`") for c in columns), F.lit(TRAIN).alias("split"))
+    return train.unionByName(flagged(rows.filter("__maybe").drop("__maybe")))
 
 
 def rows_in_list(df: DataFrame, column: str, allowed: DataFrame) -> DataFrame:

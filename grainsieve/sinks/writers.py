@@ -93,12 +93,18 @@ def write_filtered(df: DataFrame, path: str, overwrite: bool = False) -> bool:
 
 
 def write_shards(
-    df: DataFrame, path: str, overwrite: bool = False, fmt: str = "parquet", shard_col: str = "shard"
+    df: DataFrame,
+    path: str,
+    overwrite: bool = False,
+    fmt: str = "parquet",
+    shard_col: str = "shard",
+    cluster: bool = False,
 ) -> DataFrame:
     """Write one folder per shard and leave out the shards ``path`` already has; gives the rows written.
 
     Present shards are skipped before any work on their rows. With ``overwrite`` the shards of ``df`` replace
-    theirs and no others.
+    theirs and no others. ``cluster`` gathers the rows of a shard first, in parts of even size: for tables whose tasks hold
+    rows of many shards, which would each write a small file to every one of them.
     """
     if not overwrite:
         marker = f"{shard_col}="
@@ -113,7 +119,8 @@ def write_shards(
             named = [unquote(name) for name in present if name != NO_VALUE]
             missing = ~F.col(shard_col).isin(*named) if named else F.col(shard_col).isNotNull()
             df = df.filter(kept | F.coalesce(missing, F.lit(False)))
-    writer = df.write.partitionBy(shard_col).mode("overwrite")
+    stored = df.hint("rebalance", F.col(shard_col)) if cluster else df
+    writer = stored.write.partitionBy(shard_col).mode("overwrite")
     writer = writer.option("partitionOverwriteMode", "dynamic")
     if fmt != "parquet":
         writer = writer.option("ignoreNullFields", "false")

@@ -2,6 +2,7 @@
 
 import io
 import json
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -327,3 +328,12 @@ def test_leftovers_of_a_dead_job_are_no_output(spark, tmp_path):
         write_parquet(df, str(parts))
     assert write_parquet(df, str(parts), overwrite=True)
     assert not write_parquet(df, str(parts))
+
+
+def test_clustered_shards_have_few_files(spark, tmp_path):
+    rows = spark.range(400, numPartitions=8).selectExpr("id", "IF(id % 5 = 4, NULL, concat('s', id % 5)) AS shard")
+    path = str(tmp_path / "clustered")
+    write_shards(rows, path, cluster=True)
+    for folder in Path(path).glob("shard=*"):
+        assert len(list(folder.glob("*.parquet"))) == 1
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(400))

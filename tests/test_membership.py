@@ -3,6 +3,7 @@ import hashlib
 from pyspark.sql import functions as F
 
 import grainsieve as g
+from grainsieve.operators import membership
 from grainsieve.plans import joins
 from grainsieve.plans.joins import attach, fits_broadcast
 
@@ -108,3 +109,12 @@ def test_allow_list(spark):
     frame = spark.createDataFrame([("py", 1), ("C", 2), ("c", 3), (None, 4)], "ext STRING, n INT")
     allowed = spark.createDataFrame([("c",), ("c",), (None,), ("py",)], "e STRING")
     assert {r.n for r in g.rows_in_list(frame, "ext", allowed).collect()} == {1, 3}
+
+
+def test_only_rows_that_may_be_listed_are_shuffled(spark):
+    frame = spark.range(20_000).select(F.col("id").cast("string").alias("__id"))
+    listed = frame.filter("__id % 50 = 0")
+    marked = {r[0]: r[1] for r in membership._with_chance(frame, listed, "__id").collect()}
+    assert len(marked) == 20_000 and all(marked[str(i)] for i in range(0, 20_000, 50))
+    assert sum(marked.values()) < 3_000
+    assert not any(r[1] for r in membership._with_chance(frame, listed.limit(0), "__id").collect())

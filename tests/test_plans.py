@@ -102,6 +102,12 @@ def test_beyond_the_bound_ids_are_shuffled_with_a_salt(spark, sf_dir):
         text = plan(split)
         assert "SortMergeJoin" in text
         assert re.search(r"Exchange hashpartitioning\([^\n]*__salt", text)
+        # Texts that are surely not listed pass by.
+        assert re.search(r"\bUnion\b", text)
+        train = text[text.index("Union") :].split("\n")
+        depth = [len(line) - len(line.lstrip(" :+-")) for line in train]
+        second = next(i for i in range(2, len(train)) if depth[i] == depth[1])
+        assert not re.search(r"(?<!Broadcast)Exchange (hash|range|Single|RoundRobin)", "\n".join(train[1:second]))
         assert split.filter("split = 'validation'").count() >= 20
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
