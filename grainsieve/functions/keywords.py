@@ -84,3 +84,16 @@ def count_keywords(
     if pattern is None:
         return F.when(text.isNotNull(), F.lit(0))
     return F.regexp_count(text, F.lit(pattern))
+
+
+def at_most_keywords(
+    text: Column, words: Iterable[str], limit: int, katakana_bounded: bool = True
+) -> Column:
+    """Whether ``count_keywords`` gives at most ``limit``. A text is read no further than to the match beyond it.
+
+    Each match is an atomic group: once found it stands, so that the same matches are counted as when all are.
+    """
+    pattern = keyword_pattern(words, katakana_bounded)
+    if pattern is None or limit < 0:
+        return F.when(text.isNotNull(), F.lit(limit >= 0))
+    return ~text.rlike(rf"(?s)\A(?>.*?(?:{pattern})){{{limit + 1}}}")

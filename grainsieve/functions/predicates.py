@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from grainsieve.functions.compression import compression_score
-from grainsieve.functions.keywords import count_keywords
+from grainsieve.functions.keywords import at_most_keywords
 from grainsieve.functions.text import has_visible_text, host_suffix
 
 # Accepted last labels of a web host.
@@ -111,7 +111,7 @@ def has_few_keywords(
 ) -> Column:
     """At most ``max_allowed_num`` matches: adult, discrimination and violence lists."""
     text = _text() if text is None else text
-    return count_keywords(text, words, katakana_bounded) <= max_allowed_num
+    return at_most_keywords(text, words, max_allowed_num, katakana_bounded)
 
 
 def is_not_ad_content(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from grainsieve.functions import predicates as P
 from grainsieve.functions import text as T
-from grainsieve.functions.keywords import count_keywords, keyword_pattern
+from grainsieve.functions.keywords import at_most_keywords, count_keywords, keyword_pattern
 
 
 def column(spark, values, expression):
@@ -220,8 +220,17 @@ def test_keywords_like_plain_alternation(spark, seed):
     texts = random_texts("abcdefあいうえ漢字アカサーネ ", count=300, seed=seed)
     expected = [keywords_in(text, words) for text in texts]
     assert column(spark, texts, lambda c: count_keywords(c, words)) == expected
+    for limit in (-1, 0, 2, 5):
+        assert column(spark, texts, lambda c: at_most_keywords(c, words, limit)) == [n <= limit for n in expected]
 
 
 def test_keyword_limit_is_inclusive(spark):
     texts = ["x " * n for n in range(6)]
     assert column(spark, texts, lambda c: P.has_few_keywords(["x"], 3, c)) == [True] * 4 + [False] * 2
+
+
+def test_keyword_limit_on_long_texts_and_nothing(spark):
+    long = "\nno such word" * 200_000
+    texts = [long, long + "key\nkey", "key" + long + "key" + long + "key", None]
+    assert column(spark, texts, lambda c: at_most_keywords(c, ["key", "ke"], 2)) == [True, True, False, None]
+    assert column(spark, ["a", None], lambda c: at_most_keywords(c, [], 0)) == [True, None]
