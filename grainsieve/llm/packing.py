@@ -120,8 +120,8 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         import json
+        import re
 
-        import regex
         import tiktoken
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -130,8 +130,8 @@ class Encoder:
             spec = json.load(file)
         model, before = spec["model"], spec.get("pre_tokenizer") or {}
         special = [token["content"] for token in spec.get("added_tokens", ())]
-        self._special = regex.compile("|".join(map(regex.escape, special))) if special else None
-        self._long = regex.compile(rf"\S{{{self._LONG_WORD}}}|\s{{{self._LONG_WORD}}}")
+        self._special = re.compile("|".join(map(re.escape, special))) if special else None
+        self._blank = re.compile(rf"\s{{{self._LONG_WORD}}}")
         self._fast = None
         plain = before.get("type") == "ByteLevel" and not before.get("add_prefix_space")
         if plain and model.get("type") == "BPE" and spec.get("normalizer") is None:
@@ -153,8 +153,14 @@ class Encoder:
                 "bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
             )
 
+    def _is_slow(self, text: str) -> bool:
+        """Whether a word or a run of blanks is very long."""
+        if len(text) < self._LONG_WORD:
+            return False
+        return max(map(len, text.split()), default=0) >= self._LONG_WORD or bool(self._blank.search(text))
+
     def __call__(self, text: str) -> list[int]:
-        if self._fast is None or self._long.search(text) or (self._special and self._special.search(text)):
+        if self._fast is None or self._is_slow(text) or (self._special and self._special.search(text)):
             return self._exact.encode(text, add_special_tokens=False).ids
         return self._fast.encode_ordinary(text)
 
