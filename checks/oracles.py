@@ -177,7 +177,7 @@ WITH {WEB}, judged AS (
 SELECT *, {kept} AS kept FROM judged"""
 
 
-def _vocabulary() -> str:
+def _vocabulary(doc_id: str = "doc_id") -> str:
     pieces = rf"regexp_extract_all(text, '{inputs.PIECES}')"
     return f"""
 WITH vocabulary AS (
@@ -189,7 +189,7 @@ places AS (
 ids AS (
   SELECT doc_id, string_agg(CAST(coalesce(id, 0) AS VARCHAR), ' ' ORDER BY place) AS ids
   FROM places LEFT JOIN vocabulary USING (piece) GROUP BY doc_id)
-SELECT doc_id, array_to_string(tokens, '|') AS pieces, coalesce(ids, '') AS ids,
+SELECT {doc_id} AS doc_id, array_to_string(tokens, '|') AS pieces, coalesce(ids, '') AS ids,
   CAST(len(tokens) AS BIGINT) AS num_tokens
 FROM pieces LEFT JOIN ids USING (doc_id)"""
 
@@ -354,6 +354,8 @@ SELECT doc_id, array_to_string(tokens, '') AS pieces,
 FROM chars""",
     "tokenize_vocab": _vocabulary(),
     "tokenize_vocab_joined": _vocabulary(),
+    "tokenize_vocab_repeats": _vocabulary("CASE WHEN doc_id % 3 > 0 THEN doc_id % 50 END"),
+    "tokenize_vocab_repeats_joined": _vocabulary("CASE WHEN doc_id % 3 > 0 THEN doc_id % 50 END"),
     "tokens_per_shard": f"""
 WITH {COUNTED}
 SELECT shard, count(*) AS examples, CAST(sum(num_tokens) AS BIGINT) AS tokens

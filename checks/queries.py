@@ -344,10 +344,15 @@ def vocabulary(spark, sf_dir):
     return pieces.distinct().select("piece", number.alias("id"))
 
 
-def tokenize_vocabulary(**bounds):
+def repeated_id():
+    """An id that many documents share and every third one lacks."""
+    return F.when(F.col("doc_id") % 3 > 0, F.col("doc_id") % 50).alias("doc_id")
+
+
+def tokenize_vocabulary(doc_id="doc_id", **bounds):
     def run(spark, sf_dir):
         tokenized = g.tokenize_with_vocabulary(
-            inputs.documents(spark, sf_dir).select("doc_id", "text"),
+            inputs.documents(spark, sf_dir).select(doc_id() if callable(doc_id) else doc_id, "text"),
             vocabulary(spark, sf_dir),
             inputs.PIECES,
             unknown_id=0,
@@ -614,6 +619,8 @@ QUERIES = {
     "tokenize_subword": tokenize_subword,
     "tokenize_vocab": tokenize_vocabulary(),
     "tokenize_vocab_joined": tokenize_vocabulary(max_rows=0),
+    "tokenize_vocab_repeats": tokenize_vocabulary(repeated_id),
+    "tokenize_vocab_repeats_joined": tokenize_vocabulary(repeated_id, max_rows=0),
     "tokens_per_shard": tokens_per_shard,
     "corpus_totals": corpus_totals,
     "holdout_per_shard": holdout_per_shard,
