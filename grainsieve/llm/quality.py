@@ -17,9 +17,9 @@ from grainsieve.plans.joins import attach
 
 ORDER = 4  # bytes of the longest n-gram; 7 at most, so that a key is a positive long
 # A text is odd if its log-perplexity lies further above the median of held-out trusted texts than REACH times the way from there
-# to their QUANTILE.
-QUANTILE = 0.95
-REACH = 3.0
+# to their QUANTILE; 1 is the quantile itself.
+QUANTILE = 0.98
+REACH = 1.0
 # One in so many distinct trusted texts is held out of training, for the thresholds.
 HELD_OUT = 5
 # Bytes of a typical trusted text added to every document, so that a few odd ones do not condemn a short text.
@@ -252,7 +252,7 @@ def judge_quality(
     Trusted are documents that ``labels`` (doc_id, quality, toxic) call good and not toxic; where labels disagree the worst
     counts. One model per language (null and empty names are one) is trained on all of them but those held out by
     text hash. ``score`` is the perplexity per byte with ``prior_bytes`` of the language's median added. With m and q, the median and
-    ``quantile`` of the log-scores of its held-out texts, a language rejects what exceeds m + ``reach`` (q - m). Null and
+    ``quantile`` of the log-scores of its held-out texts, a language rejects what exceeds m + ``reach`` (q - m): q with ``reach`` 1. Null and
     empty texts and languages without held-out or trained text are kept, with null figures: nothing speaks against them.
     """
     good = (
@@ -287,7 +287,8 @@ def judge_quality(
         (prior_bytes * F.col("typical") - F.col("logp")) / (F.col("n_units") + prior_bytes),
     )
     half, high = middle("logscore", 0.5, quantile)
-    limits = smoothed.filter(sure).groupBy("lang").agg((half + reach * (high - half)).alias("limit"))
+    limit = high if reach == 1 else half + reach * (high - half)
+    limits = smoothed.filter(sure).groupBy("lang").agg(limit.alias("limit"))
     judged = attach(smoothed, cut_lineage(limits), ["lang"]).select(
         "doc_id",
         "lang",
