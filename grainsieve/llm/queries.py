@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainsieve.llm import exact, licenses, mixing, neighbours, packing, quality, sharding, simhash, suffixes, urls
+from grainsieve.llm import (
+    exact,
+    language,
+    licenses,
+    mixing,
+    neighbours,
+    packing,
+    periods,
+    quality,
+    sharding,
+    simhash,
+    suffixes,
+    urls,
+    variants,
+)
 from grainsieve.llm.oracles import ORACLES as ORACLES
 
 SHARDS = 40
@@ -83,6 +97,19 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeated_spans(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_languages(_table(spark, sf_dir, "documents"))
+
+
+def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.run_report(periods.periodic_runs(_table(spark, sf_dir, "documents"), prepare=periods.plant))
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = variants.word_counts(_table(spark, sf_dir, "documents"), change=variants.planted_typo)
+    return variants.spelling_variants(counts)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -100,5 +127,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_exact": op9_exact,
     "op10_suffixes": op10_suffixes,
+    "op11_language": op11_language,
+    "op12_periods": op12_periods,
+    "op13_variants": op13_variants,
     "pipeline": pipeline,
 }
