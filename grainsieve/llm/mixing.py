@@ -113,13 +113,12 @@ def _fit_source(rows: pd.DataFrame) -> pd.DataFrame:
     return rows[["source", "size", "rows", "source_size", "target", "copies", "part"]]
 
 
-def mix_plan(
+def fitted_lengths(
     sized: DataFrame, weights: Sequence[float] = WEIGHTS, most_copies: int = MOST_COPIES
 ) -> DataFrame:
-    """A row per source and exact size, from (``source``, ``size``, ``draw``, ``tie``) of every document.
+    """A row per source and exact size, from (``source``, ``size``) of every document.
 
-    ``copies`` of all its documents are taken, and one more of those with ``draw`` up to ``cutoff`` (all if
-    ``part`` equals ``rows``, none if it is 0).
+    ``copies`` of all its documents are taken, and one more of ``part`` of its ``rows``.
     """
     lengths = sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("rows"))
     lengths = cut_lineage(lengths)
@@ -131,26 +130,47 @@ def mix_plan(
     schema = (
         "source string, size long, rows long, source_size long, target double, copies long, part long"
     )
-    fitted = cut_lineage(
+    return cut_lineage(
         lengths.join(renamed, F.col("source").eqNullSafe(F.col("__source")))
         .drop("__source")
         .groupBy("source")
         .applyInPandas(_fit_source, schema)
     )
-    ranked = numbered(sized.select("source", "size", "draw", "tie"), ["source", "size"], ["draw", "tie"], "__no")
-    cut = ranked.join(
-        fitted.filter((F.col("part") > 0) & (F.col("part") < F.col("rows"))).select(
-            F.col("source").alias("__s"), F.col("size").alias("__l"), "part"
-        ),
-        F.col("source").eqNullSafe(F.col("__s"))
-        & (F.col("size") == F.col("__l"))
-        & (F.col("__no") == F.col("part") - 1),
-    ).select("__s", "__l", F.col("draw").alias("cutoff"))
-    return cut_lineage(
-        fitted.join(
-            cut, F.col("source").eqNullSafe(F.col("__s")) & (F.col("size") == F.col("__l")), "left"
-        ).drop("__s", "__l")
+
+
+def _ranked(sized: DataFrame) -> DataFrame:
+    """``sized`` with ``__no``, the place of a row among those of its source and size in the order of the draw.
+
+    Rows that are equal throughout have places of their own, so that a cut goes through them as through any others.
+    """
+    return numbered(sized, ["source", "size"], ["draw", "tie"], "__no", equal_rows=True)
+
+
+def mix_plan(
+    sized: DataFrame, weights: Sequence[float] = WEIGHTS, most_copies: int = MOST_COPIES
+) -> DataFrame:
+    """``fitted_lengths`` with the ``cutoff`` of the draw, for (``source``, ``size``, ``draw``, ``tie``) of every document.
+
+    Rows with ``draw`` below it are among the ``part``, and of the ``tied`` rows that have the cutoff itself, ``tied_part``. It is
+    null where all rows or none are.
+    """
+    fitted = fitted_lengths(sized, weights, most_copies)
+    keys = ["source", "size"]
+    ranked = cut_lineage(_ranked(sized.select("source", "size", "draw", "tie")))
+    open_ = fitted.filter((F.col("part") > 0) & (F.col("part") < F.col("rows"))).select(*keys, "part")
+    near = attach(ranked, cut_lineage(open_), keys, "inner")
+    cut = cut_lineage(near.filter(F.col("__no") == F.col("part") - 1).select(*keys, F.col("draw").alias("cutoff")))
+    tied = (
+        attach(near, cut, keys, "inner")
+        .filter(F.col("draw") == F.col("cutoff"))
+        .groupBy(*keys)
+        .agg(
+            F.first("cutoff").alias("cutoff"),
+            F.count(F.lit(1)).alias("tied"),
+            F.count(F.when(F.col("__no") < F.col("part"), 1)).alias("tied_part"),
+        )
     )
+    return cut_lineage(attach(fitted, cut_lineage(tied), keys))
 
 
 def _drawn(docs: DataFrame, id_col: str, text_col: str, seed: int) -> list[Column]:
@@ -162,9 +182,8 @@ def _drawn(docs: DataFrame, id_col: str, text_col: str, seed: int) -> list[Colum
     ]
 
 
-def _copies() -> Column:
-    more = (F.col("part") == F.col("rows")) | F.coalesce(F.col("draw") <= F.col("cutoff"), F.lit(False))
-    wanted = F.col("copies") + F.when((F.col("part") > 0) & more, 1).otherwise(0)
+def _copies(once_more: Column) -> Column:
+    wanted = F.col("copies") + F.when(F.coalesce(once_more, F.lit(False)), 1).otherwise(0)
     return F.when(F.col("size") > 0, wanted).otherwise(0).cast("long")
 
 
@@ -183,7 +202,7 @@ def mix_report(
     Sources share all sizes by weight in the order of their names, null last; no target exceeds ``most_copies`` times its
     source's size. A source's taken words come below its target by less than can be told apart by the sizes
     left. Null and empty texts have size 0 and are not taken. Documents are chosen by a seeded hash of
-    id and text, so reruns agree; rows equal in both are chosen together. An empty table gives no rows.
+    id and text, so reruns agree; of rows equal in both, as many are taken as are needed, each for itself. An empty table gives no rows.
     """
     sized = cut_lineage(
         docs.select(
@@ -192,9 +211,9 @@ def mix_report(
             *_drawn(docs, id_col, text_col, seed),
         )
     )
-    plan = mix_plan(sized, weights, most_copies)
-    return attach(sized, plan, ["source", "size"]).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * _copies()).alias("taken")
+    plan = fitted_lengths(sized, weights, most_copies)
+    return attach(_ranked(sized), plan, ["source", "size"]).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * _copies(F.col("__no") < F.col("part"))).alias("taken")
     )
 
 
@@ -208,17 +227,26 @@ def mix(
     most_copies: int = MOST_COPIES,
     seed: int = SEED,
 ) -> DataFrame:
-    """The rows of ``docs``, each as often as ``mix_report`` takes it. Texts are not shuffled."""
+    """The rows of ``docs``, each as often as ``mix_report`` takes it. Texts are not shuffled, but for repeated rows through which a cut goes."""
     drawn = docs.select(
         F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("__row"),
         F.col(source_col).cast("string").alias("source"),
         *_drawn(docs, id_col, text_col, seed),
     )
     plan = mix_plan(cut_lineage(drawn.select("source", "size", "draw", "tie")), weights, most_copies)
+    planned = attach(drawn, plan, ["source", "size"])
+    divided = (F.col("draw") == F.col("cutoff")) & (F.col("tied_part") < F.col("tied"))
+    whole = (F.col("part") > 0) & ((F.col("part") == F.col("rows")) | (F.col("draw") <= F.col("cutoff")))
+    copies = _copies(whole)
+    if not plan.filter(F.col("tied_part") < F.col("tied")).isEmpty():
+        repeated = cut_lineage(planned.filter(divided))
+        repeated = numbered(repeated, ["source", "size"], [], "__no", equal_rows=True)
+        more = repeated.select("__row", _copies(F.col("__no") < F.col("tied_part")).alias("__copies"))
+        planned = planned.filter(~F.coalesce(divided, F.lit(False))).select("__row", copies.alias("__copies")).unionByName(more)
+    else:
+        planned = planned.select("__row", copies.alias("__copies"))
     return (
-        attach(drawn, plan, ["source", "size"])
-        .withColumn("__copies", _copies())
-        .filter(F.col("__copies") > 0)
+        planned.filter(F.col("__copies") > 0)
         .select("__row", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))).alias("__copy"))
         .select("__row.*")
     )

@@ -240,7 +240,7 @@ def pack(
     )
     plan = plan[np.lexsort((plan[:, 1], plan[:, 0]))]
     shared = spark.sparkContext.broadcast(plan)
-    counted = numbered(pieces, ["length"], ["__tie", "doc_id", "piece"], "__no").drop("__tie")
+    counted = numbered(pieces, ["length"], ["__tie", "doc_id", "piece"], "__no", equal_rows=True).drop("__tie")
     names = [name for name in counted.columns if name != "__no"]
     schema = ", ".join(f"{name} {counted.schema[name].dataType.simpleString()}" for name in names)
 

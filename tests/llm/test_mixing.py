@@ -69,6 +69,24 @@ def test_edge_rows(spark):
     assert mixing.mix(empty(spark)).count() == 0
 
 
+def test_repeated_rows_meet_their_target(spark):
+    """300 rows equal throughout, of ten words each: as many are taken as the target asks for, within one text."""
+    rows = [(7, "one two three four five six seven eight nine ten", "en", "a", 1)] * 300
+    rows += [(1000 + i, "x " * (1 + i % 3), "en", "b", 1) for i in range(500)]
+    rows += [(None, None, None, None, None)] * 40 + [(8, "y y y", None, None, 2)] * 200
+    docs = documents(spark, rows).repartition(5)
+    found = mixing.mix_report(docs).collect()
+    _check(found, [(r[0], r[1], r[3]) for r in rows], 10)
+    equal = Counter(r["taken"] for r in found if r["doc_id"] == 7)
+    assert sum(equal.values()) == 300 and len(equal) <= 2
+    mixed = Counter(r["doc_id"] for r in mixing.mix(docs).collect())
+    wanted = Counter()
+    for r in found:
+        if r["taken"]:
+            wanted[r["doc_id"]] += r["taken"] // r["size"]
+    assert mixed == wanted
+
+
 def test_texts_without_words(spark):
     df = spark.createDataFrame([(1, "", "a"), (2, None, None)], "doc_id long, text string, source string")
     assert {(r["doc_id"], r["target"], r["taken"]) for r in mixing.mix_report(df).collect()} == {(1, 0.0, 0), (2, 0.0, 0)}
