@@ -19,13 +19,14 @@ SAMPLE = 4096
 # The next so many by hash are held out of the fit; they tell how many partitions have to be probed.
 HELD_OUT = 1024
 # Vectors of a partition, if the sample allows: no partition is learned from fewer than LEARNED sample vectors.
-PARTITION_ROWS = 8192
+PARTITION_ROWS = 256
 LEARNED = 64
-# Vectors of one partition that are searched by one task.
+# Vectors of one partition, and queries sent there, that meet in one task.
 CHUNK = 8192
+QUERIES = 4096
 GRAPH_NEIGHBOURS = 10
 # Share of the held-out vectors' nearest sample vectors that the probed partitions have to hold.
-COVERAGE = 0.96
+COVERAGE = 0.93
 SEED = 7
 
 
@@ -154,9 +155,9 @@ def with_probes(router: Router, vectors: np.ndarray, held: np.ndarray, k: int) -
 
 
 def fit_router(vectors: DataFrame, rows: int, neighbours: int = 20) -> Router | None:
-    """Router over ``vectors`` (id, vector), from a bounded sample; None if there is too little to partition."""
+    """Router over ``vectors`` (uid, vector), from a bounded sample; None if there are too few for two partitions."""
     sample = (
-        vectors.orderBy(F.xxhash64(F.lit(SEED), "id"), "id").limit(SAMPLE + HELD_OUT).select("vector").toArrow()
+        vectors.orderBy(F.xxhash64(F.lit(SEED), "uid"), "uid").limit(SAMPLE + HELD_OUT).select("vector").toArrow()
     )
     if sample.num_rows < 2 * LEARNED:
         return None
@@ -164,9 +165,7 @@ def fit_router(vectors: DataFrame, rows: int, neighbours: int = 20) -> Router |
     # A fifth of a small sample is held out.
     cut = min(SAMPLE, len(matrix) * 4 // 5)
     matrix, held = matrix[:cut], matrix[cut:]
-    parts = max(1, min(-(-rows // PARTITION_ROWS), len(matrix) // LEARNED))
-    if parts == 1:
-        return None
+    parts = max(2, min(-(-rows // PARTITION_ROWS), len(matrix) // LEARNED))
     near = _nearest(matrix, min(neighbours, len(matrix) - 1))
     label = partition_graph(matrix, near[:, :GRAPH_NEIGHBOURS], parts)
     router = train_router(matrix, label, parts, near)
@@ -175,14 +174,16 @@ def fit_router(vectors: DataFrame, rows: int, neighbours: int = 20) -> Router |
 
 
 def _search(queries: pa.Table, base: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The ``k`` nearest of ``base`` for each query: (query, id, score), the query's own id left out.
+    """The ``k`` nearest of ``base`` for each query: (uid of the query, row of ``base``, score), the query's own row left out.
 
-    Equal vectors are searched once and then stand for their smallest ids, so that ties are decided by id alone.
+    Equal vectors are searched once and then stand for their smallest ids, those without id last, so that ties are decided by id alone.
     """
-    ids = base.column("id").to_numpy()
-    vectors = np.stack(base.column("vector").to_numpy()).astype(np.float64) + 0.0
-    order = np.argsort(ids, kind="stable")
-    ids, vectors = ids[order], vectors[order]
+    ids = base.column("id")
+    missing = np.asarray(ids.is_null())
+    known, own_rows = ids.fill_null(0).to_numpy(), base.column("uid").to_numpy()
+    order = np.lexsort((own_rows, known, missing))
+    uids = own_rows[order]
+    vectors = np.stack(base.column("vector").to_numpy())[order].astype(np.float64) + 0.0
     _, first, group = np.unique(
         vectors.view(np.dtype((np.void, vectors.shape[1] * 8))).ravel(), return_index=True, return_inverse=True
     )
@@ -190,7 +191,7 @@ def _search(queries: pa.Table, base: pa.Table, k: int) -> tuple[np.ndarray, np.n
     starts = np.searchsorted(group[by_group], np.arange(len(first) + 1))
     different = vectors[first]
     out: tuple[list, list, list] = ([], [], [])
-    own = queries.column("query_id").to_numpy()
+    own = queries.column("query_uid").to_numpy()
     asked = np.stack(queries.column("query").to_numpy()).astype(np.float64)
     for at in range(0, len(asked), 256):
         dots = asked[at : at + 256] @ different.T
@@ -203,14 +204,14 @@ def _search(queries: pa.Table, base: pa.Table, k: int) -> tuple[np.ndarray, np.n
                 near = np.arange(len(row))
             # Scores are taken anew in one fixed order of adding, so that equal vectors score equally.
             exact = (different[near] * query).sum(axis=1)
-            members = [ids[by_group[starts[g] : min(starts[g + 1], starts[g] + k + 1)]] for g in near.tolist()]
+            members = [by_group[starts[g] : min(starts[g + 1], starts[g] + k + 1)] for g in near.tolist()]
             found = np.concatenate(members)
             score = np.repeat(exact, [len(m) for m in members])
-            keep = found != own[at + i]
+            keep = uids[found] != own[at + i]
             found, score = found[keep], score[keep]
             best = np.lexsort((found, -score))[:k]
             out[0].append(np.full(len(best), own[at + i]))
-            out[1].append(found[best])
+            out[1].append(order[found[best]])
             out[2].append(score[best])
     return tuple(np.concatenate(x) for x in out)
 
@@ -227,17 +228,20 @@ def nearest(
     """(query_id, rank, vec_id, score) of the ``k`` largest inner products for rows where ``queries`` holds.
 
     Every valid vector is indexed in its most probable partition; a query is sent to the router's ``probes`` most probable ones,
-    where it is compared with all vectors in double precision. Ties go to the smaller id. Vectors that are null, zero
-    or hold null or non-finite components take no part, nor do rows without id; of vectors of several lengths, those
-    of the most common one (the shortest of equally common) take part. A large partition is searched in chunks.
+    where it is compared with all vectors in double precision. Only a table too small for two partitions is searched whole. Ties go to
+    the smaller id. Every row stands for itself: of repeated rows each is asked, each has its list, and each is a candidate of the others;
+    a row without id is a candidate as well, behind those equally near. Vectors that are null, zero or hold null or non-finite components take no
+    part; of vectors of several lengths, those of the most common one (the shortest of equally common) do. A large partition is searched
+    in chunks, by slices of its queries, so no task meets more than ``CHUNK`` vectors and ``QUERIES`` queries or so.
     """
     spark = vectors.sparkSession
     column = F.col(f"`{vector_col}`")
     rows = vectors.select(
+        F.monotonically_increasing_id().alias("uid"),
         F.col(f"`{id_col}`").cast("long").alias("id"),
         F.coalesce(queries, F.lit(False)).alias("asked"),
         column.cast(T.ArrayType(T.DoubleType())).alias("vector"),
-    ).filter(F.col("id").isNotNull() & valid_vector(F.col("vector")))
+    ).filter(valid_vector(F.col("vector")))
     rows = cut_lineage(rows)
     lengths = rows.groupBy(F.size("vector").alias("d")).agg(F.count(F.lit(1)).alias("n"))
     common = lengths.orderBy(F.desc("n"), "d").first()
@@ -246,10 +250,10 @@ def nearest(
         return spark.createDataFrame([], schema)
     rows = rows.filter(F.size("vector") == common["d"])
     if router is None:
-        router = fit_router(rows.select("id", "vector"), common["n"])
+        router = fit_router(rows.select("uid", "vector"), common["n"])
     if router is None:
         placed = rows.withColumn("part", F.lit(0))
-        routed = rows.filter("asked").select("id", "vector", F.lit(0).alias("part"))
+        routed = rows.filter("asked").withColumn("part", F.lit(0))
     else:
         shared = spark.sparkContext.broadcast(router)
 
@@ -261,26 +265,38 @@ def nearest(
                     matrix = np.stack(batch.column("vector").to_numpy(zero_copy_only=False))
                     best = shared.value.best(matrix, count).astype(np.int32)
                     parts = pa.array(list(best), pa.list_(pa.int32()))
-                    columns = [batch.column(name) for name in ("id", "asked", "vector")]
-                    yield pa.RecordBatch.from_arrays([*columns, parts], names=["id", "asked", "vector", "parts"])
+                    columns = [batch.column(name) for name in ("uid", "id", "vector")]
+                    yield pa.RecordBatch.from_arrays([*columns, parts], names=["uid", "id", "vector", "parts"])
 
             return run
 
-        shape = "id long, asked boolean, vector array<double>, parts array<int>"
-        placed = rows.mapInArrow(route(1), shape).select("id", "vector", F.explode("parts").alias("part"))
-        routed = (
-            rows.filter("asked").mapInArrow(route(router.probes), shape).select("id", "vector", F.explode("parts").alias("part"))
-        )
-    placed = cut_lineage(placed.select("id", "vector", "part"))
-    chunks = cut_lineage(
-        placed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
-    )
-    base = attach(placed, chunks, ["part"]).select(
-        "part", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"), "id", "vector"
+        shape = "uid long, id long, vector array<double>, parts array<int>"
+        slim = rows.select("uid", "id", "vector", "asked")
+        placed = slim.drop("asked").mapInArrow(route(1), shape)
+        routed = slim.filter("asked").drop("asked").mapInArrow(route(router.probes), shape)
+        placed, routed = (df.select("uid", "id", "vector", F.explode("parts").alias("part")) for df in (placed, routed))
+    placed = cut_lineage(placed.select("uid", "id", "vector", "part"))
+    routed = cut_lineage(routed.select("uid", "id", "vector", "part"))
+
+    def pieces(df: DataFrame, size: int, name: str) -> DataFrame:
+        return df.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
+
+    sizes = cut_lineage(pieces(placed, CHUNK, "chunks").join(pieces(routed, QUERIES, "slices"), "part"))
+
+    def dealt(count: str) -> Column:
+        return F.pmod(F.xxhash64("uid"), F.col(count)).cast("int")
+
+    def every(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    base = attach(placed, sizes, ["part"], "inner").select(
+        "part", dealt("chunks").alias("chunk"), every("slices").alias("slice"), "uid", "id", "vector"
     )
-    asked = attach(routed, chunks, ["part"], "inner").select(
+    asked = attach(routed, sizes, ["part"], "inner").select(
         F.col("part").alias("p"),
-        F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("c"),
+        every("chunks").alias("c"),
+        dealt("slices").alias("s"),
+        F.col("uid").alias("query_uid"),
         F.col("id").alias("query_id"),
         F.col("vector").alias("query"),
     )
@@ -289,11 +305,19 @@ def nearest(
         empty = not (left.num_rows and right.num_rows)
         none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
         query, found, score = none if empty else _search(left, right, k)
-        return pa.table({"query_id": pa.array(query), "vec_id": pa.array(found), "score": pa.array(score)})
-
-    found = asked.groupBy("p", "c").cogroup(base.groupBy("part", "chunk")).applyInArrow(
-        search, "query_id long, vec_id long, score double"
+        names = dict(zip(left.column("query_uid").to_pylist(), left.column("query_id").to_pylist()))
+        columns = {
+            "query_uid": pa.array(query),
+            "query_id": pa.array([names[uid] for uid in query.tolist()], pa.int64()),
+            "uid": right.column("uid").take(pa.array(found)),
+            "vec_id": right.column("id").take(pa.array(found)),
+            "score": pa.array(score),
+        }
+        return pa.table(columns)
+
+    found = asked.groupBy("p", "c", "s").cogroup(base.groupBy("part", "chunk", "slice")).applyInArrow(
+        search, "query_uid long, query_id long, uid long, vec_id long, score double"
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_uid").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "uid")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
