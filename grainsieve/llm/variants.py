@@ -8,14 +8,13 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import reduce
 
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from grainsieve.llm.numbering import numbered
+from grainsieve.llm.numbering import shuffle_width
 from grainsieve.plans.durable import cut_lineage
 
 SHORTEST = 5
@@ -92,139 +91,162 @@ def word_counts(
     return parts.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
 
-@F.pandas_udf(T.IntegerType())
-def _shared(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Code points that two strings share at their beginnings."""
+def _sorted(strings: DataFrame, column: str) -> DataFrame:
+    """Rows in the order of ``column``, over ranges of it, kept: running ids over it follow that order."""
+    ranges = strings.repartitionByRange(shuffle_width(strings.sparkSession), column).sortWithinPartitions(column)
+    return cut_lineage(ranges.withColumn("at", F.monotonically_increasing_id()))
 
-    def of(a: str, b: str) -> int:
-        low, high = 0, min(len(a), len(b))
-        while low < high:
-            middle = (low + high + 1) // 2
-            if a[low:middle] == b[low:middle]:
-                low = middle
-            else:
-                high = middle - 1
-        return low
 
-    return pd.Series([of(a, b) for a, b in zip(left, right)], dtype="int32")
+def _shared(a: str, b: str) -> int:
+    """Code points that two strings share at their beginnings."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
 
 
 def _with_before(strings: DataFrame) -> DataFrame:
-    """Each of the distinct strings ``s`` with how much it ``shares`` with the one before it in order (0 for the first)."""
-    ranked = cut_lineage(numbered(strings, [], ["s"], "place"))
-    before = ranked.select(F.col("s").alias("before"), (F.col("place") + 1).alias("place"))
-    return ranked.join(before, "place", "left").select(
-        "s", _shared(F.col("s"), F.coalesce("before", F.lit(""))).alias("shares")
-    )
+    """Each of the distinct strings ``s`` with how much it ``shares`` with the one before it in order (0 for the first).
+
+    Each task looks along its own range; what stands before a range is the last string of an earlier one, of which there are as many
+    as ranges.
+    """
+    dealt = _sorted(strings, "s").withColumn("part", F.shiftright("at", 33).cast("int")).select("part", "s")
+    lasts = sorted((r[0], r[1]) for r in dealt.groupBy("part").agg(F.max("s")).collect())
+    before = {part: last for (part, _), (_, last) in zip(lasts[1:], lasts)}
+    shared = strings.sparkSession.sparkContext.broadcast(before)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if last is None:
+                last = shared.value.get(batch.column("part")[0].as_py(), "")
+            shares = []
+            for s in batch.column("s").to_pylist():
+                shares.append(_shared(last, s))
+                last = s
+            yield pa.RecordBatch.from_arrays([batch.column("s"), pa.array(shares, pa.int32())], names=["s", "shares"])
+
+    return dealt.mapInArrow(run, "s string, shares int")
 
 
 def trie_edges(words: DataFrame, starts: DataFrame) -> DataFrame:
-    """(node, label, child, child_n) of the trie over ``words`` (s, n) with further nodes ``starts`` (s), paths without branch made one edge.
+    """(node, label, child, child_id, child_n) of the trie over ``words`` (s, id, n) with further nodes ``starts`` (s), paths without branch made one edge.
 
-    A node is named by the string it stands for. Of strings in order, neighbours share exactly the branches of the trie, and a node shares
-    with the one before it its parent.
+    A node is named by the string it stands for; children that are no words have no id. Of strings in order, neighbours share exactly the branches of the
+    trie, and a node shares with the one before it its parent.
     """
     branches = _with_before(words.select("s")).select(F.substring("s", F.lit(1), F.col("shares")).alias("s"))
-    nodes = branches.unionByName(starts).unionByName(words.select("s")).filter(F.col("s") != "").distinct()
-    placed = _with_before(nodes)
-    edges = placed.select(
+    named = words.select("s", "id", "n")
+    none = [F.lit(None).cast("long").alias(name) for name in ("id", "n")]
+    nodes = named.unionByName(branches.unionByName(starts).filter(F.col("s") != "").select("s", *none))
+    nodes = cut_lineage(nodes.groupBy("s").agg(F.max("id").alias("id"), F.max("n").alias("n")))
+    edges = _with_before(nodes.select("s")).filter(F.col("shares") > 0)
+    return edges.join(nodes, "s").select(
         F.substring("s", F.lit(1), F.col("shares")).alias("node"),
         F.expr("substring(s, shares + 1)").alias("label"),
         F.col("s").alias("child"),
-    ).filter(F.col("node") != "")
-    counts = words.select(F.col("s").alias("child"), F.col("n").alias("child_n"))
-    return edges.join(counts, "child", "left").select("node", "label", "child", "child_n")
+        F.col("id").alias("child_id"),
+        F.col("n").alias("child_n"),
+    )
+
+
+def _salt(node: Column, by: Column) -> Column:
+    return F.when(F.length(node) < SHALLOW, F.pmod(F.xxhash64(by), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
 
 
-def _salt(node: Column, word: Column) -> Column:
-    return F.when(F.length(node) < SHALLOW, F.pmod(F.xxhash64(word), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
+# What has been edited on a state's way: nothing, a letter exchanged, a letter inserted.
+_PLAIN, _EXCHANGED, _INSERTED = 0, 1, 2
 
 
 def _step(frontier: DataFrame, edges: DataFrame) -> DataFrame:
-    """All states one edge further.
+    """All states one edge further; ``rest`` is what is left of the word behind its position.
 
     Without an edit yet, a state also leaves its word's path: along another edge one letter is exchanged, or inserted. A letter
     left out is the same as one inserted from the other word's side.
     """
-    joined = frontier.withColumn("salt", _salt(F.col("node"), F.col("s"))).join(edges, ["node", "salt"])
-    size = F.length("label")
-    rest, position = F.expr("substring(label, 2)"), F.col("position")
-    own = F.expr("substring(s, position + 1, length(label))") == F.col("label")
-    leaves = (F.col("edits") == 0) & (F.substring("label", 1, 1) != F.expr("substring(s, position + 1, 1)"))
-    exchanged = leaves & (position < F.length("s")) & (F.expr("substring(s, position + 2, length(label) - 1)") == rest)
-    inserted = leaves & (F.expr("substring(s, position + 1, length(label) - 1)") == rest)
+    joined = frontier.withColumn("salt", _salt(F.col("node"), F.col("id"))).join(edges, ["node", "salt"])
+    tail = F.expr("substring(label, 2)")
+    own = F.col("rest").startswith(F.col("label"))
+    leaves = (F.col("edit") == _PLAIN) & (F.substring("label", 1, 1) != F.substring("rest", 1, 1))
+    exchanged = leaves & (F.length("rest") > 0) & F.expr("substring(rest, 2)").startswith(tail)
+    inserted = leaves & F.col("rest").startswith(tail)
 
-    def state(when: Column, at: Column, edits: Column) -> Column:
-        return F.when(when, F.struct(at.cast("int").alias("position"), edits.cast("int").alias("edits")))
+    def state(when: Column, eaten: str, edit: Column) -> Column:
+        return F.when(when, F.struct(F.expr(f"substring(rest, {eaten})").alias("rest"), edit.cast("byte").alias("edit")))
 
     moves = F.array(
-        state(own, position + size, F.col("edits")),
-        state(exchanged, position + size, F.lit(1)),
-        state(inserted, position + size - 1, F.lit(1)),
+        state(own, "length(label) + 1", F.col("edit")),
+        state(exchanged, "length(label) + 1", F.lit(_EXCHANGED)),
+        state(inserted, "length(label)", F.lit(_INSERTED)),
     )
     return (
         joined.filter(own | exchanged | inserted)
-        .select("s", "n", F.explode(moves).alias("move"), F.col("child").alias("node"), F.col("child_n").alias("node_n"))
+        .select("id", "n", F.explode(moves).alias("move"), F.col("child").alias("node"), "child_id", "child_n")
         .filter(F.col("move").isNotNull())
-        .select("s", "n", "move.position", "move.edits", "node", "node_n")
+        .select("id", "n", "move.rest", "move.edit", "node", "child_id", "child_n")
     )
 
 
 def near_words(words: DataFrame) -> DataFrame:
-    """(word, near, near_n) of ``words`` (word, n) that differ by one inserted, deleted or replaced code point; every pair both ways, once.
+    """(id, near, near_n) of ``words`` (word, id, n) that differ by one inserted, deleted or replaced code point; every pair both ways, once.
 
     One edit leaves the first or the second half of a word as it is. Words go into the trie as they are and backwards, and the
-    frontier starts at the half of each: (word, position, node, edits) is joined with the edges level by level, where
-    paths fork. A state that ends with its word in one edit at a word's node has found a neighbour. Words of any length and any number of
+    frontier starts at the half of each: states of word, position, node and edit are joined with the edges level by level, where
+    paths fork. A state that ends with its word, after one edit, at a word's node has found a neighbour. Words of any length and any number of
     neighbours are found whole.
     """
-    half = F.floor(F.length("word") / 2)
+    half = F.floor(F.length("word") / 2).cast("int")
     ways = [
-        words.select(F.concat(F.lit(">"), "word").alias("s"), "n", (1 + half).cast("int").alias("position")),
-        words.select(
-            F.concat(F.lit("<"), F.reverse("word")).alias("s"), "n", (1 + F.length("word") - half).cast("int").alias("position")
-        ),
+        words.select(F.concat(F.lit(">"), "word").alias("s"), "id", "n", (1 + half).alias("position")),
+        words.select(F.concat(F.lit("<"), F.reverse("word")).alias("s"), "id", "n", (1 + F.length("word") - half).alias("position")),
     ]
-    both = cut_lineage(ways[0].unionByName(ways[1]))
-    first = both.withColumn("node", F.substring("s", F.lit(1), F.col("position")))
-    edges = trie_edges(both.select("s", "n"), first.select(F.col("node").alias("s")).distinct())
+    both = ways[0].unionByName(ways[1])
+    frontier = both.select(
+        "id", "n", F.expr("substring(s, position + 1)").alias("rest"), F.lit(_PLAIN).cast("byte").alias("edit"),
+        F.expr("substring(s, 1, position)").alias("node"),
+    )
+    edges = trie_edges(both.drop("position"), frontier.select(F.col("node").alias("s")).distinct())
     salts = F.when(F.length("node") < SHALLOW, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    # Dealt once for all levels. What an executor loses of it is made again from the checkpoint below.
     edges = cut_lineage(edges.withColumn("salt", F.explode(salts)))
-    frontier = first.select("s", "n", "position", F.lit(0).alias("edits"), "node")
+    edges = edges.repartition(shuffle_width(words.sparkSession), "node", "salt").sortWithinPartitions("node", "salt")
+    edges = edges.persist(StorageLevel.DISK_ONLY)
     found = []
     while True:
         states = cut_lineage(_step(frontier, edges))
-        ended = (F.col("edits") == 1) & (F.col("position") == F.length("s"))
-        found.append(states.filter(ended & F.col("node_n").isNotNull()).select("s", "n", "node", "node_n"))
-        frontier = states.filter(~ended).drop("node_n")
+        ended = (F.col("edit") != _PLAIN) & (F.col("rest") == "")
+        found.append(states.filter(ended & F.col("child_id").isNotNull()).select("id", "n", "edit", "child_id", "child_n"))
+        frontier = states.filter(~ended).drop("child_id", "child_n")
         if frontier.isEmpty():
             break
-
-    def plain(name: str) -> Column:
-        bare = F.expr(f"substring({name}, 2)")
-        return F.when(F.col(name).startswith(">"), bare).otherwise(F.reverse(bare))
-
-    pairs = reduce(DataFrame.unionByName, found).select(plain("s").alias("word"), "n", plain("node").alias("near"), "node_n")
-    there = F.struct("word", "near", F.col("node_n").alias("near_n"))
-    back = F.struct(F.col("near").alias("word"), F.col("word").alias("near"), F.col("n").alias("near_n"))
-    longer = F.length("near") > F.length("word")
+    edges.unpersist()
+    there = F.struct("id", F.col("child_id").alias("near"), F.col("child_n").alias("near_n"))
+    back = F.struct(F.col("child_id").alias("id"), F.col("id").alias("near"), F.col("n").alias("near_n"))
+    pairs = reduce(DataFrame.unionByName, found)
     return (
-        pairs.select(F.explode(F.when(longer, F.array(there, back)).otherwise(F.array(there))).alias("pair"))
+        pairs.select(F.explode(F.when(F.col("edit") == _INSERTED, F.array(there, back)).otherwise(F.array(there))).alias("pair"))
         .select("pair.*")
-        .repartition("word")
+        .repartition("id")
         .distinct()
     )
 
 
 def _roots(forms: DataFrame) -> DataFrame:
-    """(word, root): the end of the chain of forms from each word of ``forms`` (word, form). Each round doubles what is followed."""
-    links = cut_lineage(forms.select("word", F.col("form").alias("root")))
+    """(id, root): the end of the chain of forms from each word of ``forms`` (id, form). Each round doubles what is followed."""
+    links = cut_lineage(forms.select("id", F.col("form").alias("root")))
     while True:
-        ahead = links.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        longer = cut_lineage(links.join(ahead, "root", "left").select("word", "root", "next"))
+        ahead = links.select(F.col("id").alias("root"), F.col("root").alias("next"))
+        longer = cut_lineage(links.join(ahead, "root", "left").select("id", "root", "next"))
         if longer.filter(F.col("next").isNotNull()).isEmpty():
-            return links
-        links = longer.select("word", F.coalesce("next", "root").alias("root"))
+            return longer.select("id", "root")
+        links = longer.select("id", F.coalesce("next", "root").alias("root"))
 
 
 def spelling_variants(counts: DataFrame, *, ratio: int = FORM_RATIO) -> DataFrame:
@@ -233,21 +255,25 @@ def spelling_variants(counts: DataFrame, *, ratio: int = FORM_RATIO) -> DataFram
     A word's form is its most frequent near word (ties: the smallest) if that is at least ``ratio`` times as frequent; ``root`` follows forms
     to the last, which is the word itself where there is none. An empty table gives no rows.
     """
-    counts = cut_lineage(counts.select(F.col("word").cast("string").alias("word"), F.col("n").cast("long").alias("n")))
-    near = near_words(counts).groupBy("word").agg(
+    plain = counts.select(F.col("word").cast("string").alias("word"), F.col("n").cast("long").alias("n"))
+    # Ids follow the order of the words, so the smallest word has the smallest id.
+    words = _sorted(plain, "word").withColumnRenamed("at", "id")
+    near = near_words(words).groupBy("id").agg(
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("last"), "near")).alias("best")
     )
-    enough = -F.col("best.last") >= ratio * F.col("n")
-    judged = cut_lineage(
-        counts.join(near, "word", "left").select(
-            "word",
-            F.when(enough, F.col("best.near")).alias("form"),
-            "n",
-            F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
-            F.when(enough, -F.col("best.last")).alias("form_n"),
+    judged = cut_lineage(near.select("id", "n_near", F.col("best.near").alias("form"), (-F.col("best.last")).alias("form_n")))
+    enough = F.col("form_n") >= ratio * F.col("n")
+    forms = cut_lineage(
+        words.join(judged, "id", "left").select(
+            "id", "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
+            *(F.when(enough, F.col(name)).alias(name) for name in ("form", "form_n")),
         )
     )
-    roots = _roots(judged.filter(F.col("form").isNotNull()))
-    return judged.join(roots, "word", "left").select(
-        "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
+    changed = forms.filter(F.col("form").isNotNull())
+    names = [words.select(F.col("id").alias(key), F.col("word").alias(name)) for key, name in (("form", "f"), ("root", "r"))]
+    # Words without a form, which are most, need no join.
+    named = changed.join(_roots(changed), "id").join(names[0], "form").join(names[1], "root")
+    alone = forms.filter(F.col("form").isNull()).select(
+        "word", F.lit(None).cast("string").alias("form"), F.col("word").alias("root"), "n", "n_near", "form_n"
     )
+    return alone.unionByName(named.select("word", F.col("f").alias("form"), F.col("r").alias("root"), "n", "n_near", "form_n"))
