@@ -442,6 +442,17 @@ SELECT word, count(*) AS places, min(ratio) AS least, max(ratio) AS most FROM pl
     "compression_words_band": f"""{PLAIN_WORDS}
 SELECT word, count(*) AS places FROM plain
 WHERE ratio + 0.01 * ln(length(word)) BETWEEN 1.75 AND 2.5 GROUP BY word""",
+    "chunk_resume": f"""{KEPT_PAGES}
+SELECT doc_id AS id, text, split FROM pages""",
+    "named_shards": f"""
+WITH {COUNTED}, {HELD.format(n=5)}
+SELECT doc_id, CASE split WHEN 'train' THEN 'train_' ELSE 'validation_' END || shard AS output, num_tokens FROM held""",
+    "safe_overwrite": "SELECT doc_id + 1 AS doc_id, lang FROM documents",
+    "holdout_json_lines": """
+WITH sizes AS (SELECT source AS shard, count(*) AS n FROM documents GROUP BY source)
+SELECT shard, 'validation' AS split, CAST(5 AS BIGINT) AS documents, CAST(5 AS BIGINT) AS row_ids FROM sizes
+UNION ALL SELECT shard, 'train', n - 5, n - 5 FROM sizes""",
+    "split_by_ids_stored": f"{_BY_IDS} SELECT doc_id, split FROM flagged",
     "null_shards": """
 SELECT CASE WHEN source <> 'src3' THEN source END AS shard, count(*) AS documents FROM documents GROUP BY 1""",
     "job_filtered": f"""{KEPT_PAGES}

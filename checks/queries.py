@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,11 @@ from grainsieve.functions import text as text_functions
 from grainsieve.functions.compression import compression_ratio, compression_score
 from grainsieve.functions.keywords import count_keywords
 from grainsieve.operators.holdout import VALIDATION
+from grainsieve.operators.membership import split_stored_by_ids, store_by_id, store_ids
 from grainsieve.plans.durable import scratch_path
 from grainsieve.plans.recipes import META, NOT_EMPTY
+from grainsieve.sinks.chunks import plan_chunks, write_chunks
+from grainsieve.sinks.named import output_name, write_named
 from grainsieve.sinks.writers import (
     ingest,
     parquet_to_jsonl,
@@ -31,7 +35,8 @@ from grainsieve.sources.manifests import (
     write_manifest,
     write_manifest_table,
 )
-from grainsieve.sources.readers import read_documents, read_jsonl
+from grainsieve.sources.paths import file_sizes, split_files
+from grainsieve.sources.readers import read_documents, read_jsonl, read_split_files
 from grainsieve.streaming.recipes import filter_stream, stream_documents
 
 DOCUMENT_SCHEMA = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
@@ -249,15 +254,18 @@ def null_shards(spark, sf_dir):
     return stored.groupBy("shard").agg(F.count(F.lit(1)).alias("documents"))
 
 
-def _filtered_job(spark, sf_dir):
-    """Ingest, then the filter stage on what ingest wrote; gives the folder."""
+def _raw_pages(spark, sf_dir):
     part = F.col("doc_id") % 10
     split = F.when(part == 0, F.lit("test")).when(part == 1, F.lit("validation"))
-    rows = inputs.table(spark, sf_dir, "documents").select(
+    return inputs.documents(spark, sf_dir).select(
         F.col("doc_id").alias("id"), "text", F.coalesce(split, F.lit("train")).alias("split")
     )
+
+
+def _filtered_job(spark, sf_dir):
+    """Ingest, then the filter stage on what ingest wrote; gives the folder."""
     raw, out = scratch_path(spark, "raw"), scratch_path(spark, "filtered")
-    ingest(rows, raw)
+    ingest(_raw_pages(spark, sf_dir), raw)
     jobs.filter_corpus(spark, "en_wiki", raw, out, schema="id BIGINT, text STRING")
     return out
 
@@ -305,6 +313,77 @@ def job_sampled(spark, sf_dir):
     return stored.select("meta.id", "text")
 
 
+def chunk_resume(spark, sf_dir):
+    """The filter stage in some six chunks of input files: a first run dies behind the second chunk, the next one does the rest."""
+    raw, out = scratch_path(spark, "raw"), scratch_path(spark, "chunks")
+    ingest(_raw_pages(spark, sf_dir), raw)
+    files = split_files(spark, raw)
+    split_of = {path: split for split, own in files.items() for path in own}
+    started = []
+
+    def read(own):
+        started.append(own)
+        if len(started) == 3:
+            raise InterruptedError("the driver died")
+        by_split = {}
+        for path in own:
+            by_split.setdefault(split_of[path], []).append(path)
+        pages = read_split_files(spark, by_split, "id BIGINT, text STRING")
+        return g.apply_recipe(pages, g.recipe_for("en_wiki"), carry=("split",))
+
+    sizes = file_sizes(spark, list(split_of))
+    chunks = plan_chunks(spark, list(split_of), max(1, sum(size for _, size in sizes) // 6))
+    try:
+        write_chunks(spark, chunks, out, read, write_filtered)
+    except InterruptedError:
+        write_chunks(spark, chunks, out, read, write_filtered)
+    return spark.read.parquet(out).select("meta.id", "text", "split")
+
+
+def named_shards(spark, sf_dir):
+    """Both sides of a split under the names of their shards, read back by these; the first run stores only some."""
+    path = scratch_path(spark, "named")
+    counted = inputs.counted(spark, sf_dir).withColumn("shard", F.concat(F.lit("train_"), "shard"))
+    split = g.holdout_per_shard(counted, 5, "shard", "doc_id")
+    name = output_name(F.col("shard"), F.col("split"))
+    write_named(split.filter("shard < 'train_src2'"), path, name, drop=("shard", "split"))
+    write_named(split, path, name, drop=("shard", "split"))
+    return read_documents(spark, [path], shard=True).select("doc_id", F.col("shard").alias("output"), "num_tokens")
+
+
+def safe_overwrite(spark, sf_dir):
+    """Of two overwriting jobs the first fails half-way; what is stored then is the second's, made from the rows it replaces."""
+    path = scratch_path(spark, "overwritten")
+    rows = inputs.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    write_parquet(rows, path)
+    broken = F.when(F.col("doc_id") % 100 == 99, F.raise_error(F.lit("half-way")).cast("long")).otherwise(0)
+    try:
+        write_parquet(rows.limit(0).unionByName(rows.withColumn("doc_id", broken)), path, overwrite=True)
+    except Exception:  # noqa: BLE001
+        stored = spark.read.parquet(path)
+        write_parquet(stored.withColumn("doc_id", F.col("doc_id") + 1), path, overwrite=True)
+    return spark.read.parquet(path)
+
+
+def holdout_json_lines(spark, sf_dir):
+    """Rows held out of JSON lines, told apart by file and number of their line."""
+    lines = scratch_path(spark, "lines")
+    write_jsonl(inputs.table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("shard")), lines)
+    stored = read_documents(spark, [lines], "jsonl", "doc_id BIGINT, shard STRING", row_id=True)
+    split = g.holdout_per_shard(stored, 5, "shard", "row_id")
+    return split.groupBy("shard", "split").agg(
+        F.count(F.lit(1)).alias("documents"), F.count_distinct("row_id").alias("row_ids")
+    )
+
+
+def split_by_ids_stored(spark, sf_dir):
+    """Documents and ids kept by id, then split bucket by bucket."""
+    documents, ids = (f"stored_{name}_{uuid.uuid4().hex}" for name in ("documents", "ids"))
+    store_by_id(inputs.counted(spark, sf_dir), documents, buckets=16, path=scratch_path(spark, "documents"))
+    store_ids(_held_out_hashes(spark, sf_dir), ids, buckets=16, path=scratch_path(spark, "ids"))
+    return split_stored_by_ids(spark, documents, ids).select("doc_id", "split")
+
+
 def text_sizes(spark, sf_dir):
     size = F.octet_length("text")
     return inputs.table(spark, sf_dir, "documents").select(
@@ -612,6 +691,11 @@ QUERIES = {
     "job_tokens": job_tokens,
     "job_by_ids": job_by_ids,
     "job_sampled": job_sampled,
+    "chunk_resume": chunk_resume,
+    "named_shards": named_shards,
+    "safe_overwrite": safe_overwrite,
+    "holdout_json_lines": holdout_json_lines,
+    "split_by_ids_stored": split_by_ids_stored,
     "text_sizes": text_sizes,
     "extract_japanese": transform_query(text_functions.extract_japanese_text),
     "strip_footnotes": transform_query(text_functions.remove_wikipedia_footnote),

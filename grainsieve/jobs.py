@@ -12,6 +12,8 @@ from grainsieve.operators.membership import document_ids, split_by_ids
 from grainsieve.operators.scoring import recipe_quality, with_label_shares
 from grainsieve.operators.tokenizing import tokenize, tokenize_with_vocabulary
 from grainsieve.plans.recipes import ID_KEYS, KeywordLists, apply_recipe, recipe_for
+from grainsieve.sinks.chunks import plan_chunks, write_chunks
+from grainsieve.sinks.named import write_named
 from grainsieve.sinks.writers import (
     parquet_to_jsonl,
     write_counted,
@@ -19,7 +21,8 @@ from grainsieve.sinks.writers import (
     write_shards,
 )
 from grainsieve.sources.manifests import read_ids, write_manifest, write_manifest_table
-from grainsieve.sources.readers import read_documents, read_jsonl, read_splits, spread
+from grainsieve.sources.paths import file_sizes, split_files
+from grainsieve.sources.readers import read_documents, read_jsonl, read_split_files, read_splits, spread
 
 
 def filter_corpus(
@@ -32,12 +35,35 @@ def filter_corpus(
     keywords: KeywordLists | None = None,
     schema: str | T.StructType | None = None,
     spread_input: bool = False,
+    chunk_bytes: int | str | None = None,
 ) -> bool:
-    """Filter and clean the split files of a collection. ``spread_input`` deals few large files over all cores first."""
-    documents = read_splits(spark, input_dir, schema)
-    documents = spread(documents) if spread_input else documents
-    kept = apply_recipe(documents, recipe_for(name, strict, keywords), carry=("split",))
-    return write_filtered(kept, output_dir, overwrite)
+    """Filter and clean the split files of a collection. ``spread_input`` deals few large files over all cores first.
+
+    With ``chunk_bytes`` the input is filtered in chunks of whole files, about that large, each finished by itself: after a failure the
+    same call reads only what is missing. Tells whether anything was written.
+    """
+    recipe = recipe_for(name, strict, keywords)
+
+    def filtered(documents: DataFrame) -> DataFrame:
+        documents = spread(documents) if spread_input else documents
+        return apply_recipe(documents, recipe, carry=("split",))
+
+    if chunk_bytes is None:
+        return write_filtered(filtered(read_splits(spark, input_dir, schema)), output_dir, overwrite)
+    split_of = {
+        path: split
+        for split, files in split_files(spark, input_dir).items()
+        for path, _ in file_sizes(spark, files)
+    }
+
+    def read(files: tuple[str, ...]) -> DataFrame:
+        by_split: dict[str, list[str]] = {}
+        for path in files:
+            by_split.setdefault(split_of[path], []).append(path)
+        return filtered(read_split_files(spark, by_split, schema))
+
+    chunks = plan_chunks(spark, list(split_of), chunk_bytes)
+    return bool(write_chunks(spark, chunks, output_dir, read, write_filtered, overwrite))
 
 
 def tokenize_corpus(
@@ -49,11 +75,19 @@ def tokenize_corpus(
     overwrite: bool = False,
     schema: str | T.StructType | None = None,
     spread_input: bool = False,
+    one_per_shard: bool = False,
 ) -> None:
-    """Tokenize all shards not tokenized yet."""
+    """Tokenize all shards not tokenized yet, into a folder for each, or with ``one_per_shard`` into one output named like the input file."""
     documents = read_documents(spark, input_paths, input_format, schema, shard=True)
     documents = spread(documents) if spread_input else documents
-    write_shards(tokenize(documents, sentencepiece_model), output_dir, overwrite, cluster=spread_input)
+    _write_tokens(tokenize(documents, sentencepiece_model), output_dir, overwrite, spread_input, one_per_shard)
+
+
+def _write_tokens(df: DataFrame, output_dir: str, overwrite: bool, cluster: bool, one_per_shard: bool) -> None:
+    if one_per_shard:
+        write_named(df, output_dir, F.col("shard"), overwrite=overwrite, drop=("shard",))
+    else:
+        write_shards(df, output_dir, overwrite, cluster=cluster)
 
 
 def tokenize_corpus_with_vocabulary(
@@ -65,12 +99,12 @@ def tokenize_corpus_with_vocabulary(
     unknown_id: int,
     input_format: str = "parquet",
     overwrite: bool = False,
+    one_per_shard: bool = False,
 ) -> None:
     """As ``tokenize_corpus``, with ids from a table ``(piece, id)``."""
     documents = read_documents(spark, input_paths, input_format, shard=True)
-    write_shards(
-        tokenize_with_vocabulary(documents, vocabulary, pattern, unknown_id), output_dir, overwrite
-    )
+    tokenized = tokenize_with_vocabulary(documents, vocabulary, pattern, unknown_id)
+    _write_tokens(tokenized, output_dir, overwrite, False, one_per_shard)
 
 
 def _train_rows(df: DataFrame) -> DataFrame:
@@ -89,11 +123,13 @@ def count_tokens(
     return shards, corpus_totals(shards)
 
 
-def _write_split(df: DataFrame, output_dir: str, output_format: str, overwrite: bool) -> DataFrame:
+def _write_split(
+    df: DataFrame, output_dir: str, output_format: str, overwrite: bool, one_per_shard: bool
+) -> DataFrame:
     """One pass writes both sides and counts them."""
     stored = df.drop("shard_path", "row_id")
     return write_counted(
-        stored, output_dir, output_format, ("split", "shard"), overwrite=overwrite
+        stored, output_dir, output_format, ("split", "shard"), overwrite=overwrite, one_per_shard=one_per_shard
     )
 
 
@@ -105,11 +141,12 @@ def sample_corpus(
     valid_token_size: str = "10M",
     output_format: str = "jsonl",
     overwrite: bool = False,
+    one_per_shard: bool = False,
 ) -> DataFrame:
     """Take train and validation rows up to token budgets; gives the totals of both."""
     documents = read_documents(spark, input_paths, shard=True, shard_path=True, row_id=True)
     sampled = sample_by_token_budget(_train_rows(documents), train_token_size, valid_token_size, "shard_path")
-    return _write_split(sampled, output_dir, output_format, overwrite)
+    return _write_split(sampled, output_dir, output_format, overwrite, one_per_shard)
 
 
 def split_corpus(
@@ -119,11 +156,16 @@ def split_corpus(
     valid_examples_per_shard: str = "81",
     output_format: str = "jsonl",
     overwrite: bool = False,
+    one_per_shard: bool = False,
+    input_format: str = "parquet",
+    schema: str | T.StructType | None = None,
 ) -> DataFrame:
-    """Hold out the same number of rows of every shard; gives the totals of both sides."""
-    documents = read_documents(spark, input_paths, shard=True, shard_path=True, row_id=True)
+    """Hold out the same number of rows of every shard, of Parquet or JSON lines; gives the totals of both sides."""
+    documents = read_documents(
+        spark, input_paths, input_format, schema, shard=True, shard_path=True, row_id=True
+    )
     split = holdout_per_shard(_train_rows(documents), valid_examples_per_shard, "shard_path")
-    return _write_split(split, output_dir, output_format, overwrite)
+    return _write_split(split, output_dir, output_format, overwrite, one_per_shard)
 
 
 def extract_ids(
@@ -148,11 +190,12 @@ def split_corpus_by_ids(
     valid_id_file: str,
     output_format: str = "jsonl",
     overwrite: bool = False,
+    one_per_shard: bool = False,
 ) -> DataFrame:
     """Send the documents a manifest (document or table) lists to validation, all others to train."""
     key, ids = read_ids(spark, valid_id_file)
     documents = read_documents(spark, input_paths, shard=True)
-    return _write_split(split_by_ids(_train_rows(documents), ids, key), output_dir, output_format, overwrite)
+    return _write_split(split_by_ids(_train_rows(documents), ids, key), output_dir, output_format, overwrite, one_per_shard)
 
 
 def evaluate_filter(

@@ -27,6 +27,9 @@ RANK_ROWS = 100_000
 PASS_DIGITS = 2
 _MOST_DIGITS = 8
 
+# Shards up to so many are listed in the plan of a budget sample, which keeps the others from being read.
+PRUNED_SHARDS = 100_000
+
 _PLACE = "__place"
 _BUCKET = "__bucket"
 
@@ -265,6 +268,21 @@ def budget_decisions(
     )
 
 
+def _active_rows(df: DataFrame, decisions: DataFrame, shard_col: str) -> DataFrame:
+    """``df`` without the shards past both budgets.
+
+    A shard told by its path (``shard_path`` of the reader) is then a file that is not opened: Spark holds the condition against the
+    paths before it plans the read.
+    """
+    feeds = F.col("valid_active") | F.col("train_active")
+    found = decisions.agg(F.count_if(feeds), F.count_if(~feeds), F.count_if(feeds & F.col("shard").isNull())).first()
+    if not found[1] or found[0] > PRUNED_SHARDS:
+        return df
+    names = [row[0] for row in decisions.filter(feeds).select("shard").collect() if row[0] is not None]
+    wanted = F.col(shard_col).isin(*names) if names else F.lit(False)
+    return df.filter(wanted | F.col(shard_col).isNull() if found[2] else wanted)
+
+
 def sample_by_token_budget(
     df: DataFrame,
     train_tokens: int | str = -1,
@@ -278,7 +296,7 @@ def sample_by_token_budget(
     """Rows that reach the train or validation side of a token budget, with their ``split``.
 
     ``df`` has ``num_tokens``. Every shard offers ``valid_tokens / tokens_per_example / shards`` rows for
-    validation; shards past both budgets are left out.
+    validation; shards past both budgets are left out, and not read again where ``shard_col`` comes from the path.
     """
     train_budget, valid_budget = parse_size(train_tokens), parse_size(valid_tokens)
     if valid_budget <= 0:
@@ -297,7 +315,7 @@ def sample_by_token_budget(
     if short == "error":
         _refuse_short(decisions, F.col("valid_active"), n)
     flagged = attach(
-        df.withColumn("__shard", F.col(shard_col)),
+        _active_rows(df, decisions, shard_col).withColumn("__shard", F.col(shard_col)),
         decisions.select(F.col("shard").alias("__shard"), "cut", "valid_active", "train_active"),
         on=["__shard"],
         how="inner",

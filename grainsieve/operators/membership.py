@@ -2,20 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grainsieve.functions.identity import document_id
 from grainsieve.operators.holdout import TRAIN, VALIDATION
+from grainsieve.plans.bloom import with_chance
 from grainsieve.plans.durable import cut_lineage
 from grainsieve.plans.joins import BROADCAST_BYTES, BROADCAST_ROWS, attach, fits_broadcast
 
-# Bits of a row of a bit table (fixed by Spark's bitmap functions), bits for each listed id, and most of them: 128 MiB.
-_ROW_BITS = 32_768
-_BITS_PER_ID = 8
-_MOST_BITS = 1 << 30
-
-
 def document_ids(df: DataFrame, key: str | None = None) -> DataFrame:
     """One ``id`` per row, repeats kept: a content hash, or the ``meta`` field ``key``."""
     return df.select(document_id(key).alias("id"))
@@ -26,29 +21,6 @@ def distinct_ids(ids: DataFrame) -> DataFrame:
     return ids.select(F.col("id").cast("string").alias("id")).filter("id IS NOT NULL").distinct()
 
 
-def _place(column: str, bits: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(column)), F.lit(bits)) + 1
-
-
-def _with_chance(df: DataFrame, listed: DataFrame, column: str) -> DataFrame:
-    """Add ``__maybe``: false only for rows whose ``column`` is surely not in ``listed``.
-
-    A bit table over hashes of the listed values is broadcast; its size has a fixed bound, beyond which more rows
-    are let through.
-    """
-    bits = max(_ROW_BITS, min(_MOST_BITS, listed.count() * _BITS_PER_ID))
-    place = _place(column, bits)
-    table = listed.groupBy(F.bitmap_bucket_number(place).alias("__bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("__bits")
-    )
-    marked = df.withColumn("__at", F.bitmap_bit_position(_place(column, bits))).join(
-        F.broadcast(cut_lineage(table)), F.bitmap_bucket_number(_place(column, bits)) == F.col("__bucket"), "left"
-    )
-    byte = F.substring("__bits", (F.col("__at") / 8).cast("int") + 1, F.lit(1))
-    hit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (F.col("__at") % 8).cast("int")) == 1
-    return marked.select(*(F.col(f"`{c}`") for c in df.columns), F.coalesce(hit, F.lit(False)).alias("__maybe"))
-
-
 def split_by_ids(
     df: DataFrame,
     ids: DataFrame,
@@ -72,7 +44,7 @@ def split_by_ids(
 
     if fits_broadcast(listed, max_rows, max_bytes):
         return flagged(rows)
-    rows = _with_chance(rows, listed.select("__id"), "__id")
+    rows = with_chance(rows, listed.select("__id"), "__id")
     others = rows.filter(~F.col("__maybe"))
     train = others.select(*(F.col(f"`{c}`") for c in columns), F.lit(TRAIN).alias("split"))
     return train.unionByName(flagged(rows.filter("__maybe").drop("__maybe")))
@@ -92,3 +64,38 @@ def rows_with_ids(df: DataFrame, ids: DataFrame, key: str | None = None) -> Data
 def rows_without_ids(df: DataFrame, ids: DataFrame, key: str | None = None) -> DataFrame:
     """The train side of ``split_by_ids``."""
     return split_by_ids(df, ids, key).filter(F.col("split") == TRAIN).drop("split")
+
+
+def store_by_id(
+    df: DataFrame, table: str, key: str | None = None, buckets: int = 200, path: str | None = None
+) -> None:
+    """Keep ``df`` as the table ``table``, bucketed and sorted by ``id`` (see ``document_ids``), for splits by many id lists.
+
+    The rows are shuffled once, here; ``buckets`` should leave each one small enough for a task. A table of that name is replaced. It lies in
+    the warehouse, or in ``path``.
+    """
+    rows = df.withColumn("id", document_id(key).cast("string"))
+    _bucketed(rows, table, buckets, path)
+
+
+def store_ids(ids: DataFrame, table: str, buckets: int = 200, path: str | None = None) -> None:
+    """Keep the distinct ids as the table ``table``, with the buckets of the documents they are for."""
+    _bucketed(distinct_ids(ids), table, buckets, path)
+
+
+def _bucketed(rows: DataFrame, table: str, buckets: int, path: str | None) -> None:
+    # One task per bucket, so that a bucket is one file; equal ids meet in one, as the join needs them to.
+    dealt = rows.repartition(buckets, "id")
+    writer = dealt.write.bucketBy(buckets, "id").sortBy("id").mode("overwrite").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
+def split_stored_by_ids(spark: SparkSession, documents: str, ids: str) -> DataFrame:
+    """``split_by_ids`` for tables of ``store_by_id`` and ``store_ids`` with as many buckets: bucket meets bucket, and nothing is shuffled."""
+    rows = spark.table(documents)
+    listed = spark.table(ids).select(F.col("id").alias("__id"), F.lit(True).alias("__listed"))
+    split = F.when(F.col("__listed"), F.lit(VALIDATION)).otherwise(F.lit(TRAIN))
+    # Ids differ, so the join keeps the rows of the documents as they are.
+    found = rows.join(listed.hint("merge"), F.col("id") == F.col("__id"), "left")
+    kept = [F.col(f"`{name}`") for name in rows.columns if name not in {"id", "split"}]
+    return found.select(*kept, split.alias("split"))

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 
 from grainsieve.operators.counting import split_totals
+from grainsieve.sinks.named import LISTED_NAMES, output_name, write_named
+from grainsieve.sinks.staging import recover, replace
 from grainsieve.sources.paths import SPLIT_MARKS, child_names
 
 logger = logging.getLogger(__name__)
@@ -33,7 +35,9 @@ def _write(
     max_rows: int | None,
     on_exists: str,
 ) -> bool:
-    names = child_names(df.sparkSession, path)
+    spark = df.sparkSession
+    recover(spark, path)
+    names = child_names(spark, path)
     if names and not overwrite:
         if on_exists == "error":
             raise FileExistsError(f"{path} holds an earlier result; pass overwrite=True to write it anew")
@@ -47,7 +51,11 @@ def _write(
         writer = writer.partitionBy(*partition_by)
     if max_rows:
         writer = writer.option("maxRecordsPerFile", max_rows)
-    writer.format(fmt).mode("overwrite").save(path)
+    if DONE in names:
+        # The earlier result goes when the new one is whole.
+        replace(spark, path, lambda staging: writer.format(fmt).save(staging))
+    else:
+        writer.format(fmt).mode("overwrite").save(path)
     return True
 
 
@@ -61,7 +69,8 @@ def write_parquet(
 ) -> bool:
     """Write unless ``path`` holds a finished output; tells whether it wrote. ``on_exists="error"`` raises instead.
 
-    What a dead job left in ``_temporary`` is replaced; other files without ``_SUCCESS`` are an error.
+    What a dead job left in ``_temporary`` is replaced; other files without ``_SUCCESS`` are an error. With ``overwrite`` a finished output
+    stays until the new one is whole, and for good if the job fails; ``df`` may read it.
     """
     return _write(df.write, df, path, "parquet", partition_by, overwrite, max_rows, on_exists)
 
@@ -92,6 +101,16 @@ def write_filtered(df: DataFrame, path: str, overwrite: bool = False) -> bool:
     return write_parquet(df, path, ("split",), overwrite, max_rows=CHUNK_ROWS)
 
 
+def _without(df: DataFrame, column: str, names: list[str], null_too: bool) -> DataFrame:
+    """Rows whose ``column`` is not among ``names``, nor null with ``null_too``. Files are left out at once where it comes from their path."""
+    if len(names) <= LISTED_NAMES:
+        other = F.coalesce(~F.col(column).isin(*names), F.lit(True)) if names else F.lit(True)
+        return df.filter(other & F.col(column).isNotNull() if null_too else other)
+    present = df.sparkSession.createDataFrame([(name,) for name in names], "__present STRING")
+    rest = df.join(present, F.col(column).cast("string") == F.col("__present"), "left_anti")
+    return rest.filter(F.col(column).isNotNull()) if null_too else rest
+
+
 def write_shards(
     df: DataFrame,
     path: str,
@@ -115,10 +134,8 @@ def write_shards(
         ]
         if present:
             logger.error("%d shards of %s already exist and are skipped", len(present), path)
-            kept = F.col(shard_col).isNull() if NO_VALUE not in present else F.lit(False)
             named = [unquote(name) for name in present if name != NO_VALUE]
-            missing = ~F.col(shard_col).isin(*named) if named else F.col(shard_col).isNotNull()
-            df = df.filter(kept | F.coalesce(missing, F.lit(False)))
+            df = _without(df, shard_col, named, NO_VALUE in present)
     stored = df.hint("rebalance", F.col(shard_col)) if cluster else df
     writer = stored.write.partitionBy(shard_col).mode("overwrite")
     writer = writer.option("partitionOverwriteMode", "dynamic")
@@ -140,11 +157,13 @@ def write_counted(
     splits: tuple[str, ...] = SPLITS,
     overwrite: bool = False,
     on_exists: str = "skip",
+    one_per_shard: bool = False,
 ) -> DataFrame:
     """Write, and give ``split``, ``examples`` and ``tokens`` (NULL without ``num_tokens``) of what ``path`` holds.
 
     The rows are counted while they are written. They are read again only if nothing was written,
-    or a split has another name than those in ``splits``.
+    or a split has another name than those in ``splits``. With ``one_per_shard`` there are no folders: each ``shard`` becomes an output of its
+    name, its validation rows one beside it; present ones are skipped, but their rows are counted.
     """
     known = "num_tokens" in df.columns
     counts: list[Column] = [F.count(F.lit(1)).alias("rows")]
@@ -155,9 +174,14 @@ def write_counted(
         counts.append(tokens.cast("bigint").alias(f"tokens_{place}"))
     observation = Observation()
     spark = df.sparkSession
-    wrote = writer_for(fmt)(
-        df.observe(observation, *counts), path, partition_by, overwrite, on_exists=on_exists
-    )
+    observed = df.observe(observation, *counts)
+    if one_per_shard:
+        name = output_name(F.col("shard"), F.col("split"))
+        wrote = bool(write_named(observed, path, name, fmt, overwrite, drop=("shard", "split")))
+        if not wrote:
+            return split_totals(df)
+    else:
+        wrote = writer_for(fmt)(observed, path, partition_by, overwrite, on_exists=on_exists)
     if wrote:
         seen = observation.get
         rows = [
@@ -165,7 +189,7 @@ def write_counted(
             for place, split in enumerate(splits)
             if seen[f"examples_{place}"]
         ]
-        if sum(examples for _, examples, _ in rows) == seen["rows"]:
+        if one_per_shard or sum(examples for _, examples, _ in rows) == seen["rows"]:
             return spark.createDataFrame(rows, "split STRING, examples BIGINT, tokens BIGINT")
     if fmt == "parquet":
         return split_totals(spark.read.parquet(path))

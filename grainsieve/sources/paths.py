@@ -36,6 +36,24 @@ def child_names(spark: SparkSession, directory: str) -> list[str]:
     return [path.rsplit("/", 1)[-1] for path in _glob(spark, f"{directory.rstrip('/')}/*")]
 
 
+def file_sizes(spark: SparkSession, paths: Iterable[str]) -> list[tuple[str, int]]:
+    """Path and bytes of every file that ``paths`` (files, folders or patterns) stand for, folders taken whole but for hidden files."""
+    found = []
+    for name in paths:
+        pattern = spark._jvm.org.apache.hadoop.fs.Path(name)
+        system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+        for status in system.globStatus(pattern) or ():
+            if status.isFile():
+                found.append((status.getPath().toString(), status.getLen()))
+                continue
+            files = system.listFiles(status.getPath(), True)
+            while files.hasNext():
+                one = files.next()
+                if not one.getPath().getName().startswith(("_", ".")):
+                    found.append((one.getPath().toString(), one.getLen()))
+    return found
+
+
 def input_paths(
     spark: SparkSession, paths: Iterable[str], extension: str = "parquet"
 ) -> list[str]:

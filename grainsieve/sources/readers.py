@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grainsieve.functions.text import file_stem
+from grainsieve.plans.durable import cut_lineage
+from grainsieve.plans.joins import attach
 from grainsieve.plans.recipes import KeywordLists
 from grainsieve.sources.paths import EXTENSIONS, SPLIT_MARKS, input_paths, split_files
 
@@ -85,6 +87,36 @@ def _shard_path() -> Column:
     return F.coalesce(F.nullif(folder, F.lit("")), path)
 
 
+def _with_line_numbers(df: DataFrame, *extra: dict[str, Column]) -> DataFrame:
+    """``df``, a scan of text files, with ``extra`` columns and ``row_id``: path and number of each row in its file, blank lines not counted.
+
+    Spark deals a file out in blocks. The rows of each are counted first; a row's number is what stands in the earlier blocks of its file
+    plus its place in its own, which follows from the running id of the task that reads it. Both reads are planned alike, as they
+    list the same files; should one differ, the query fails.
+    """
+    path, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    marked = df.select(
+        "*", path.alias("__path"), block.alias("__block"), F.monotonically_increasing_id().alias("__running"),
+        *(column.alias(name) for columns in extra for name, column in columns.items()),
+    )
+    # A column of the rows is looked at, so that lines are taken for rows by the same rules in both passes.
+    seen = F.count(F.struct(F.col(f"`{df.columns[0]}`")))
+    counted = cut_lineage(marked.groupBy("__path", "__block").agg(F.min("__running").alias("__first"), seen.alias("__rows")))
+    earlier = Window.partitionBy("__path").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = cut_lineage(
+        counted.select("__path", "__block", "__first", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before"))
+    )
+    found = attach(marked, blocks, ["__path", "__block"])
+    place = F.col("__running") - F.col("__first")
+    same_task = F.shiftright("__running", 33) == F.shiftright("__first", 33)
+    moved = F.raise_error(F.lit("the files have changed between two reads")).cast("long")
+    number = F.when(same_task & (place >= 0), F.col("__before") + place).otherwise(moved)
+    row_id = F.concat_ws(":", "__path", number.cast("string"))
+    hidden = {"__path", "__block", "__running"}
+    kept = [F.col(f"`{name}`") for name in marked.columns if name not in hidden]
+    return found.select(*kept, row_id.alias("row_id"))
+
+
 def read_documents(
     spark: SparkSession,
     paths: list[str],
@@ -99,7 +131,7 @@ def read_documents(
 
     ``shard`` adds the file's stem, the name its output gets; ``shard_path`` its full path, which two files of
     the same name do not share. ``row_id`` adds file and row number, which tells any two rows apart and
-    stays the same when a task is run again (Parquet only). ``merge_schema`` reads the columns of all Parquet
+    stays the same when a task is run again; in JSON lines, rows are counted in a pass of their own first. ``merge_schema`` reads the columns of all Parquet
     files, not those of one, at the price of a look at every footer.
     """
     found = input_paths(spark, paths, EXTENSIONS[input_format])
@@ -112,17 +144,16 @@ def read_documents(
         df = reader.option("mergeSchema", merge_schema).parquet(*found)
     else:
         df = read_jsonl(spark, found, schema, tolerant=input_format == "pandas-jsonl")
+    number = F.col("_metadata.row_index") if row_id and input_format == "parquet" else None
+    if row_id and number is None:
+        return _with_line_numbers(df, {"shard": _shard()} if shard else {}, {"shard_path": _shard_path()} if shard_path else {})
     extra = {}
     if shard:
         extra["shard"] = _shard()
     if shard_path:
         extra["shard_path"] = _shard_path()
     if row_id:
-        if input_format != "parquet":
-            raise ValueError("row_id needs Parquet input")
-        extra["row_id"] = F.concat_ws(
-            ":", F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string")
-        )
+        extra["row_id"] = F.concat_ws(":", F.col("_metadata.file_path"), number.cast("string"))
     kept = [F.col(f"`{name}`") for name in df.columns if name not in extra]
     return df.select(*kept, *(column.alias(name) for name, column in extra.items()))
 
@@ -135,7 +166,16 @@ def read_splits(
     single: bool = False,
 ) -> DataFrame:
     """The split files of a directory as one table with a ``split`` column."""
-    files = split_files(spark, directory, extension, single)
+    return read_split_files(spark, split_files(spark, directory, extension, single), schema, extension)
+
+
+def read_split_files(
+    spark: SparkSession,
+    files: dict[str, list[str]],
+    schema: str | T.StructType | None = None,
+    extension: str = "jsonl",
+) -> DataFrame:
+    """Files of each split (all of them or some) as one table with a ``split`` column."""
     paths = [path for group in files.values() for path in group]
     df = spark.read.parquet(*paths) if extension == "parquet" else read_jsonl(spark, paths, schema)
     name, path = F.col("_metadata.file_name"), F.col("_metadata.file_path")

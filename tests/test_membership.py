@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 import grainsieve as g
 from grainsieve.operators import membership
-from grainsieve.plans import joins
+from grainsieve.plans import bloom, joins
 from grainsieve.plans.joins import attach, fits_broadcast
 
 
@@ -82,19 +82,29 @@ def test_missing_keys_match_a_missing_entry(spark):
         assert joined.count() == 1000 and joined.filter("v <> 7").count() == 0
 
 
-def test_too_many_hot_keys_raise_the_limit(spark, monkeypatch):
-    frame = spark.range(2000).select((F.col("id") % 100).alias("k"))
-    side = spark.createDataFrame([(5, "x")], "k BIGINT, v STRING")
-    measured = []
+def test_hot_keys_beyond_the_bound_are_dealt_as_well(spark, monkeypatch):
+    """300 keys are hot, ten of them may be broadcast: the others are found by a Bloom filter and dealt over several tasks."""
+    frame = spark.range(6000).select(F.when(F.col("id") < 200, F.lit(-1)).otherwise(F.col("id") % 300).alias("k"), "id")
+    side = spark.createDataFrame([(-1, "y"), *((i, f"x{i}") for i in range(0, 310, 2))], "k BIGINT, v STRING")
 
     def never_more_than_ten(table, *bounds):
-        measured.append(table.count())
-        return measured[-1] <= 10 and not bounds
+        return table.count() <= 10 and not bounds
 
     monkeypatch.setattr(joins, "fits_broadcast", never_more_than_ten)
-    joined = attach(frame, side, ["k"], max_rows=0, hot_rows=3)
-    assert joined.filter("v = 'x'").count() == 20 and joined.count() == 2000
-    assert measured[1:] == [100, 0]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = attach(frame.repartition(7), side, ["k"], max_rows=0, hot_rows=9)
+        want = {(i, -1 if i < 200 else i % 300) for i in range(6000)}
+        found = joined.collect()
+        assert len(found) == 6000 and {(r.id, r.k) for r in found} == want
+        assert all(r.v == ("y" if r.k == -1 else None if r.k % 2 else f"x{r.k}") for r in found)
+        tasks = joined.filter("k = 4").select(F.spark_partition_id().alias("task")).distinct().count()
+        assert tasks > 1
+        assert attach(frame, side, ["k"], "inner", max_rows=0, hot_rows=9).count() == sum(1 for _, k in want if k == -1 or k % 2 == 0)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
 
 
 def test_bound_is_measured(spark):
@@ -111,10 +121,44 @@ def test_allow_list(spark):
     assert {r.n for r in g.rows_in_list(frame, "ext", allowed).collect()} == {1, 3}
 
 
-def test_only_rows_that_may_be_listed_are_shuffled(spark):
-    frame = spark.range(20_000).select(F.col("id").cast("string").alias("__id"))
-    listed = frame.filter("__id % 50 = 0")
-    marked = {r[0]: r[1] for r in membership._with_chance(frame, listed, "__id").collect()}
-    assert len(marked) == 20_000 and all(marked[str(i)] for i in range(0, 20_000, 50))
-    assert sum(marked.values()) < 3_000
-    assert not any(r[1] for r in membership._with_chance(frame, listed.limit(0), "__id").collect())
+def test_few_rows_pass_the_bloom_filter(spark):
+    frame = spark.range(200_000).select(F.col("id").cast("string").alias("__id"))
+    listed = frame.filter("__id % 4 = 0")
+    passed = bloom.with_chance(frame, listed, "__id").filter("__maybe")
+    assert passed.join(listed, "__id", "left_semi").count() == 50_000
+    # Under two in a hundred of those not listed.
+    assert passed.count() - 50_000 < 0.02 * 150_000
+    assert bloom.with_chance(frame, listed.limit(0), "__id").filter("__maybe").isEmpty()
+    nulls = spark.createDataFrame([(None,), ("0",), ("1",)], "__id STRING")
+    assert {r[0]: r[1] for r in bloom.with_chance(nulls, nulls.limit(2), "__id").collect()}[None] is False
+
+
+def test_fewer_bits_let_more_pass_but_lose_none(spark, monkeypatch):
+    monkeypatch.setattr(bloom, "MOST_BITS", bloom.BLOCK_BITS)
+    frame = spark.range(60_000).select(F.col("id").cast("string").alias("__id"))
+    listed = frame.filter("__id % 2 = 0")
+    passed = bloom.with_chance(frame, listed, "__id").filter("__maybe")
+    assert passed.join(listed, "__id", "left_semi").count() == 30_000 and passed.count() < 60_000
+
+
+def test_stored_tables_are_split_without_an_exchange(spark):
+    frame = spark.createDataFrame(
+        [(f"text {i % 70}", {"doc": str(i)}, 1) for i in range(300)] + [(None, None, 2)],
+        "text STRING, meta MAP<STRING, STRING>, n INT",
+    )
+    lists = [g.document_ids(frame.filter(F.col("text").isin("text 3", "text 5", "nowhere"))), g.document_ids(frame.limit(0))]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        membership.store_by_id(frame, "stored_documents", buckets=5)
+        for ids in lists:
+            membership.store_ids(ids, "stored_ids", buckets=5)
+            split = membership.split_stored_by_ids(spark, "stored_documents", "stored_ids")
+            text = split._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in text and "Exchange" not in text
+            want = g.split_by_ids(frame, ids)
+            rows = [sorted((str(r.text), r.n, r.split) for r in table.collect()) for table in (split, want)]
+            assert rows[0] == rows[1] and split.columns == want.columns
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS stored_documents")
+        spark.sql("DROP TABLE IF EXISTS stored_ids")
