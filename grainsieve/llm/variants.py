@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grainsieve.llm.numbering import shuffle_width
-from grainsieve.plans.durable import cut_lineage
+from grainsieve.plans.durable import cut_lineage, scratch_path
 
 SHORTEST = 5
 LEAST_COUNT = 3
@@ -91,10 +91,16 @@ def word_counts(
     return parts.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
 
-def _sorted(strings: DataFrame, column: str) -> DataFrame:
-    """Rows in the order of ``column``, over ranges of it, kept: running ids over it follow that order."""
-    ranges = strings.repartitionByRange(shuffle_width(strings.sparkSession), column).sortWithinPartitions(column)
-    return cut_lineage(ranges.withColumn("at", F.monotonically_increasing_id()))
+def _kept(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again: a lineage cut whose copy is compressed."""
+    path = scratch_path(df.sparkSession, f"variants-{label}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _ranges(strings: DataFrame, column: str) -> DataFrame:
+    """Rows dealt out by ranges of ``column``, in its order."""
+    return strings.repartitionByRange(shuffle_width(strings.sparkSession), column).sortWithinPartitions(column)
 
 
 def _shared(a: str, b: str) -> int:
@@ -109,51 +115,74 @@ def _shared(a: str, b: str) -> int:
     return low
 
 
+# Rows inside a range, its first one, and a last one that repeats the end of it.
+_INSIDE, _FIRST, _LAST = 0, 1, 2
+
+
 def _with_before(strings: DataFrame) -> DataFrame:
     """Each of the distinct strings ``s`` with how much it ``shares`` with the one before it in order (0 for the first).
 
-    Each task looks along its own range; what stands before a range is the last string of an earlier one, of which there are as many
-    as ranges.
+    Each task looks along its own range. What stands before a range is the last string of an earlier one; of these there are as many
+    as ranges, and the driver joins them up.
     """
-    dealt = _sorted(strings, "s").withColumn("part", F.shiftright("at", 33).cast("int")).select("part", "s")
-    lasts = sorted((r[0], r[1]) for r in dealt.groupBy("part").agg(F.max("s")).collect())
-    before = {part: last for (part, _), (_, last) in zip(lasts[1:], lasts)}
-    shared = strings.sparkSession.sparkContext.broadcast(before)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
+        last = part = None
         for batch in batches:
-            if not batch.num_rows:
+            rows = batch.column("s").to_pylist()
+            if not rows:
                 continue
-            if last is None:
-                last = shared.value.get(batch.column("part")[0].as_py(), "")
+            kinds = [_INSIDE] * len(rows)
             shares = []
-            for s in batch.column("s").to_pylist():
-                shares.append(_shared(last, s))
+            for s in rows:
+                shares.append(0 if last is None else _shared(last, s))
                 last = s
-            yield pa.RecordBatch.from_arrays([batch.column("s"), pa.array(shares, pa.int32())], names=["s", "shares"])
-
-    return dealt.mapInArrow(run, "s string, shares int")
+            if part is None:
+                part, kinds[0] = batch.column("part")[0].as_py(), _FIRST
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("part"), batch.column("s"), pa.array(shares, pa.int32()), pa.array(kinds, pa.int32())],
+                names=["part", "s", "shares", "kind"],
+            )
+        if part is not None:
+            columns = [pa.array([part], pa.int32()), pa.array([last]), pa.array([0], pa.int32()), pa.array([_LAST], pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["part", "s", "shares", "kind"])
+
+    dealt = _ranges(strings, "s").select(F.spark_partition_id().alias("part"), "s")
+    found = _kept(dealt.mapInArrow(run, "part int, s string, shares int, kind int"), "order")
+    marks = sorted((r["part"], r["kind"], r["s"]) for r in found.filter(F.col("kind") != _INSIDE).collect())
+    firsts, before = [], ""
+    for _, kind, s in marks:
+        if kind == _FIRST:
+            firsts.append((s, _shared(before, s)))
+        before = s
+    inside = found.filter(F.col("kind") == _INSIDE).select("s", "shares")
+    return inside.unionByName(strings.sparkSession.createDataFrame(firsts, "s string, shares int"))
 
 
 def trie_edges(words: DataFrame, starts: DataFrame) -> DataFrame:
-    """(node, label, child, child_id, child_n) of the trie over ``words`` (s, id, n) with further nodes ``starts`` (s), paths without branch made one edge.
+    """(node, label, child, child_id, child_n, child_letters) of the trie over ``words`` (s, id, n) with further nodes ``starts`` (s).
 
-    A node is named by the string it stands for; children that are no words have no id. Of strings in order, neighbours share exactly the branches of the
-    trie, and a node shares with the one before it its parent.
+    Paths without branch are one edge. A node is named by the string it stands for; children that are no words have no id, ``child_letters`` are those its
+    own edges begin with. Of strings in order, neighbours share exactly the branches of the trie, and a node shares with the one
+    before it its parent.
     """
     branches = _with_before(words.select("s")).select(F.substring("s", F.lit(1), F.col("shares")).alias("s"))
     named = words.select("s", "id", "n")
     none = [F.lit(None).cast("long").alias(name) for name in ("id", "n")]
     nodes = named.unionByName(branches.unionByName(starts).filter(F.col("s") != "").select("s", *none))
-    nodes = cut_lineage(nodes.groupBy("s").agg(F.max("id").alias("id"), F.max("n").alias("n")))
-    edges = _with_before(nodes.select("s")).filter(F.col("shares") > 0)
-    return edges.join(nodes, "s").select(
-        F.substring("s", F.lit(1), F.col("shares")).alias("node"),
-        F.expr("substring(s, shares + 1)").alias("label"),
+    nodes = _kept(nodes.groupBy("s").agg(F.max("id").alias("id"), F.max("n").alias("n")), "nodes")
+    placed = _with_before(nodes.select("s")).filter(F.col("shares") > 0).select(
+        "s", F.substring("s", F.lit(1), F.col("shares")).alias("node"), F.expr("substring(s, shares + 1)").alias("label")
+    )
+    letters = placed.groupBy("node").agg(F.array_join(F.collect_set(F.substring("label", 1, 1)), "").alias("child_letters"))
+    edges = placed.join(nodes, "s").join(letters.withColumnRenamed("node", "s"), "s", "left")
+    return edges.select(
+        "node",
+        "label",
         F.col("s").alias("child"),
         F.col("id").alias("child_id"),
         F.col("n").alias("child_n"),
+        F.coalesce("child_letters", F.lit("")).alias("child_letters"),
     )
 
 
@@ -169,7 +198,7 @@ def _step(frontier: DataFrame, edges: DataFrame) -> DataFrame:
     """All states one edge further; ``rest`` is what is left of the word behind its position.
 
     Without an edit yet, a state also leaves its word's path: along another edge one letter is exchanged, or inserted. A letter
-    left out is the same as one inserted from the other word's side.
+    left out is the same as one inserted from the other word's side. Of the states reached, those are kept that are at an end or have an edge to go on by.
     """
     joined = frontier.withColumn("salt", _salt(F.col("node"), F.col("id"))).join(edges, ["node", "salt"])
     tail = F.expr("substring(label, 2)")
@@ -188,9 +217,17 @@ def _step(frontier: DataFrame, edges: DataFrame) -> DataFrame:
     )
     return (
         joined.filter(own | exchanged | inserted)
-        .select("id", "n", F.explode(moves).alias("move"), F.col("child").alias("node"), "child_id", "child_n")
+        .select(
+            "id", "n", F.explode(moves).alias("move"), F.col("child").alias("node"), "child_id", "child_n", "child_letters"
+        )
         .filter(F.col("move").isNotNull())
-        .select("id", "n", "move.rest", "move.edit", "node", "child_id", "child_n")
+        .select("id", "n", "move.rest", "move.edit", "node", "child_id", "child_n", "child_letters")
+        .filter(
+            F.when((F.col("edit") == _PLAIN), F.col("child_letters") != "")
+            .when(F.col("rest") == "", F.col("child_id").isNotNull())
+            .otherwise(F.contains("child_letters", F.substring("rest", 1, 1)))
+        )
+        .drop("child_letters")
     )
 
 
@@ -214,13 +251,13 @@ def near_words(words: DataFrame) -> DataFrame:
     )
     edges = trie_edges(both.drop("position"), frontier.select(F.col("node").alias("s")).distinct())
     salts = F.when(F.length("node") < SHALLOW, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    # Dealt once for all levels. What an executor loses of it is made again from the checkpoint below.
-    edges = cut_lineage(edges.withColumn("salt", F.explode(salts)))
+    # Dealt once for all levels. What an executor loses of it is made again from the table below.
+    edges = _kept(edges.withColumn("salt", F.explode(salts)), "edges")
     edges = edges.repartition(shuffle_width(words.sparkSession), "node", "salt").sortWithinPartitions("node", "salt")
     edges = edges.persist(StorageLevel.DISK_ONLY)
     found = []
     while True:
-        states = cut_lineage(_step(frontier, edges))
+        states = _kept(_step(frontier, edges), "states")
         ended = (F.col("edit") != _PLAIN) & (F.col("rest") == "")
         found.append(states.filter(ended & F.col("child_id").isNotNull()).select("id", "n", "edit", "child_id", "child_n"))
         frontier = states.filter(~ended).drop("child_id", "child_n")
@@ -257,17 +294,18 @@ def spelling_variants(counts: DataFrame, *, ratio: int = FORM_RATIO) -> DataFram
     """
     plain = counts.select(F.col("word").cast("string").alias("word"), F.col("n").cast("long").alias("n"))
     # Ids follow the order of the words, so the smallest word has the smallest id.
-    words = _sorted(plain, "word").withColumnRenamed("at", "id")
+    words = _kept(_ranges(plain, "word").withColumn("id", F.monotonically_increasing_id()), "words")
     near = near_words(words).groupBy("id").agg(
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("last"), "near")).alias("best")
     )
-    judged = cut_lineage(near.select("id", "n_near", F.col("best.near").alias("form"), (-F.col("best.last")).alias("form_n")))
+    judged = _kept(near.select("id", "n_near", F.col("best.near").alias("form"), (-F.col("best.last")).alias("form_n")), "near")
     enough = F.col("form_n") >= ratio * F.col("n")
-    forms = cut_lineage(
+    forms = _kept(
         words.join(judged, "id", "left").select(
             "id", "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
             *(F.when(enough, F.col(name)).alias(name) for name in ("form", "form_n")),
-        )
+        ),
+        "forms",
     )
     changed = forms.filter(F.col("form").isNotNull())
     names = [words.select(F.col("id").alias(key), F.col("word").alias(name)) for key, name in (("form", "f"), ("root", "r"))]
