@@ -229,10 +229,12 @@ flagged AS (
     CASE WHEN sha256(text) IN (SELECT id FROM ids) THEN 'validation' ELSE 'train' END AS split
   FROM counted)"""
 
-_QUALITY = f"""
+
+def _quality(kept: str) -> str:
+    return f"""
 WITH {LABELLED},
 judged AS (
-  SELECT label, {visible("text")} AND {matches("text", inputs.WORDS)} <= 30 AND source <> 'src1' AS kept
+  SELECT label, {kept} AS kept
   FROM labelled),
 counts AS (
   SELECT count(*) FILTER (NOT kept AND label <> '0') AS tp,
@@ -251,6 +253,11 @@ quality AS (
   SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0.0) AS f1 FROM rated)"""
 
 
+_QUALITY = _quality(f"{visible('text')} AND {matches('text', inputs.WORDS)} <= 30 AND source <> 'src1'")
+_SHARES = """acceptable / nullif(kept, 0) AS acceptable_share, harmful / nullif(kept, 0) AS harmful_share,
+  low_quality / nullif(kept, 0) AS low_quality_share"""
+
+
 PLAIN_WORDS = """
 WITH words AS (SELECT unnest(regexp_extract_all(text, '[A-Za-z]+')) AS word FROM documents),
   threes AS (
@@ -398,8 +405,7 @@ FROM labelled""",
     "recipe_quality": f"{_QUALITY} SELECT * FROM quality",
     "label_shares": f"""
 {_QUALITY}
-SELECT acceptable / nullif(kept, 0) AS acceptable_share, harmful / nullif(kept, 0) AS harmful_share,
-  low_quality / nullif(kept, 0) AS low_quality_share
+SELECT {_SHARES}
 FROM quality""",
     "jsonl_roundtrip": """
 SELECT conv_id, turn, CASE WHEN turn > 0 THEN role END AS role, text FROM conversations""",
@@ -453,6 +459,34 @@ WITH sizes AS (SELECT source AS shard, count(*) AS n FROM documents GROUP BY sou
 SELECT shard, 'validation' AS split, CAST(5 AS BIGINT) AS documents, CAST(5 AS BIGINT) AS row_ids FROM sizes
 UNION ALL SELECT shard, 'train', n - 5, n - 5 FROM sizes""",
     "split_by_ids_stored": f"{_BY_IDS} SELECT doc_id, split FROM flagged",
+    "token_report": f"""
+WITH {COUNTED}, {HELD.format(n=7)}
+SELECT CASE WHEN grouping(shard) = 0 THEN 'shard' WHEN grouping(split) = 0 THEN 'split' ELSE 'corpus' END AS level,
+  split, shard, count(DISTINCT shard) AS shards, count(*) AS examples, CAST(sum(num_tokens) AS BIGINT) AS tokens
+FROM held GROUP BY GROUPING SETS ((shard), (split), ())""",
+    "manifest_ordered": """
+SELECT 'hash' AS key, sha256(text) AS id, row_number() OVER (ORDER BY doc_id) - 1 AS place FROM documents""",
+    "quarantine": """
+WITH lines AS (
+  SELECT doc_id, lang, '{"doc_id":' || doc_id || ',"lang":"' || lang || '"}' AS line FROM documents)
+SELECT CASE WHEN doc_id % 9 > 0 THEN 'good' ELSE 'bad' END AS output,
+  CASE WHEN doc_id % 9 > 0 THEN doc_id END AS doc_id,
+  CASE WHEN doc_id % 9 > 0 THEN lang END AS lang,
+  CASE WHEN doc_id % 9 = 0 THEN substring(line, 1, 9) END AS _corrupt
+FROM lines""",
+    "stream_token_counts": f"""
+WITH {COUNTED}
+SELECT shard, count(*) AS examples, CAST(sum(num_tokens) AS BIGINT) AS tokens FROM counted GROUP BY shard""",
+    "filter_evaluation": f"""
+{_quality(f"{visible('text')} AND source <> 'src1'")}
+SELECT *, {_SHARES} FROM quality""",
+    "collection_ids": """
+SELECT c.collection, CASE c.key WHEN 'id' THEN CAST(doc_id AS VARCHAR) WHEN 'hexsha' THEN reverse(md5(text)) ELSE sha256(text) END AS id
+FROM documents, (VALUES ('ja_wiki', 'id'), ('en_wiki', 'id'), ('ja_cc', 'hash'), ('en_pile', 'hash'), ('code_stack', 'hexsha')) AS c(collection, key)""",
+    "keyword_files": f"""
+WITH {ANNOTATED}
+SELECT doc_id, {matches('text', inputs.KEYWORDS.adult)} AS adult, {matches('text', ('ouou',), ('カナ',))} AS violence
+FROM annotated""",
     "null_shards": """
 SELECT CASE WHEN source <> 'src3' THEN source END AS shard, count(*) AS documents FROM documents GROUP BY 1""",
     "job_filtered": f"""{KEPT_PAGES}

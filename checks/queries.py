@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +19,10 @@ from grainsieve.functions.keywords import count_keywords
 from grainsieve.operators.holdout import VALIDATION
 from grainsieve.operators.membership import split_stored_by_ids, store_by_id, store_ids
 from grainsieve.plans.durable import scratch_path
-from grainsieve.plans.recipes import META, NOT_EMPTY
+from grainsieve.plans.recipes import ID_KEYS, META, NOT_EMPTY
 from grainsieve.sinks.chunks import plan_chunks, write_chunks
 from grainsieve.sinks.named import output_name, write_named
+from grainsieve.sinks.quarantine import ingest_lines
 from grainsieve.sinks.writers import (
     ingest,
     parquet_to_jsonl,
@@ -32,11 +34,14 @@ from grainsieve.sinks.writers import (
 from grainsieve.sources.manifests import (
     read_manifest,
     read_manifest_table,
+    read_ordered_manifest,
     write_manifest,
     write_manifest_table,
+    write_ordered_manifest,
 )
 from grainsieve.sources.paths import file_sizes, split_files
-from grainsieve.sources.readers import read_documents, read_jsonl, read_split_files
+from grainsieve.sources.readers import read_documents, read_jsonl, read_keyword_lists, read_split_files
+from grainsieve.streaming.counts import count_stream, stream_counts
 from grainsieve.streaming.recipes import filter_stream, stream_documents
 
 DOCUMENT_SCHEMA = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
@@ -384,6 +389,82 @@ def split_by_ids_stored(spark, sf_dir):
     return split_stored_by_ids(spark, documents, ids).select("doc_id", "split")
 
 
+def token_report(spark, sf_dir):
+    split = g.holdout_per_shard(inputs.counted(spark, sf_dir).drop("text"), 7, "shard", "doc_id")
+    return g.token_report(split)
+
+
+def manifest_ordered(spark, sf_dir):
+    """Hashes of all documents in their order, repeats kept, as one document in parts, read back with their places."""
+    path = scratch_path(spark, "ordered")
+    ids = inputs.table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("id"))
+    write_ordered_manifest(ids, ["doc_id"], path, None)
+    key, found = read_ordered_manifest(spark, path)
+    return found.withColumn("key", F.lit(key))
+
+
+def quarantine(spark, sf_dir):
+    """Every ninth document is cut short on its way to the file; both outputs are read back."""
+    lines, good, bad = (scratch_path(spark, name) for name in ("lines", "good", "bad"))
+    row = F.to_json(F.struct("doc_id", "lang"))
+    damaged = F.when(F.col("doc_id") % 9 == 0, F.substring(row, 1, 9)).otherwise(row)
+    inputs.table(spark, sf_dir, "documents").select(damaged.alias("value")).write.text(lines)
+    files = [path for path, _ in file_sizes(spark, [lines])]
+    ingest_lines(spark, files, "doc_id BIGINT, lang STRING", good, bad)
+    stored = spark.read.parquet(good).select(F.lit("good").alias("output"), "doc_id", "lang", "_corrupt")
+    return stored.unionByName(
+        spark.read.parquet(bad).select(F.lit("bad").alias("output"), "doc_id", "lang", "_corrupt")
+    )
+
+
+def stream_token_counts(spark, sf_dir):
+    """Shards counted as their files arrive, in two runs of one query."""
+    landing, path, state = (scratch_path(spark, name) for name in ("landing", "counts", "counts-state"))
+    counted = inputs.counted(spark, sf_dir).select("doc_id", "shard", "num_tokens")
+    for part in (0, 1):
+        counted.filter(F.col("doc_id") % 2 == part).write.mode("append").json(landing)
+        arriving = stream_documents(spark, landing, "shard STRING, num_tokens INT")
+        count_stream(arriving, path, state).awaitTermination()
+    return stream_counts(spark, path)
+
+
+def filter_evaluation(spark, sf_dir):
+    """The score of a recipe on labelled JSON lines, from path to path."""
+    path = scratch_path(spark, "labelled")
+    source = F.col("meta.source")
+    named = F.when(source == "src1", F.lit("Books3")).otherwise(source)
+    labelled = inputs.labelled(spark, sf_dir)
+    write_jsonl(labelled.select("text", F.struct("meta.label", named.alias("pile_set_name")).alias("meta")), path)
+    schema = "text STRING, meta STRUCT<label: STRING, pile_set_name: STRING>"
+    return jobs.evaluate_filter(spark, "en_pile", f"{path}/*.json", schema=schema)
+
+
+def collection_ids(spark, sf_dir):
+    """Ids of the same documents by the rule of each collection."""
+    rows = inputs.table(spark, sf_dir, "documents").select(
+        "text", F.struct(F.col("doc_id").alias("id"), F.reverse(F.md5("text")).alias("hexsha")).alias("meta")
+    )
+    tables = [g.document_ids(rows, key).withColumn("collection", F.lit(name)) for name, key in ID_KEYS.items()]
+    return reduce(DataFrame.unionByName, tables)
+
+
+def keyword_files(spark, sf_dir):
+    """Documents few enough keywords are in, with the lists read from files."""
+    paths = {}
+    for name in ("ads", "adult", "discrimination", "violence"):
+        paths[name] = scratch_path(spark, name)
+        entries = [(word,) for word in getattr(inputs.KEYWORDS, name)]
+        spark.createDataFrame(entries, "value STRING").coalesce(1).write.text(paths[name])
+    lists = read_keyword_lists(spark, **{name: f"{path}/part-*" for name, path in paths.items()})
+    return inputs.annotated(spark, sf_dir).select(
+        "doc_id",
+        *(
+            count_keywords(F.col("text"), words).cast("bigint").alias(name)
+            for name, words in (("adult", lists.adult), ("violence", lists.violence))
+        ),
+    )
+
+
 def text_sizes(spark, sf_dir):
     size = F.octet_length("text")
     return inputs.table(spark, sf_dir, "documents").select(
@@ -696,6 +777,13 @@ QUERIES = {
     "safe_overwrite": safe_overwrite,
     "holdout_json_lines": holdout_json_lines,
     "split_by_ids_stored": split_by_ids_stored,
+    "token_report": token_report,
+    "manifest_ordered": manifest_ordered,
+    "quarantine": quarantine,
+    "stream_token_counts": stream_token_counts,
+    "filter_evaluation": filter_evaluation,
+    "collection_ids": collection_ids,
+    "keyword_files": keyword_files,
     "text_sizes": text_sizes,
     "extract_japanese": transform_query(text_functions.extract_japanese_text),
     "strip_footnotes": transform_query(text_functions.remove_wikipedia_footnote),

@@ -6,6 +6,7 @@ from grainsieve.operators.counting import (
     corpus_totals,
     rows_per_split,
     split_totals,
+    token_report,
     tokens_per_shard,
     with_token_count,
 )
@@ -59,6 +60,7 @@ __all__ = [
     "sample_by_token_budget",
     "split_by_ids",
     "split_totals",
+    "token_report",
     "tokenize",
     "tokenize_with_vocabulary",
     "tokens_per_shard",

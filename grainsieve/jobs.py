@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from grainsieve.functions.identity import document_id
 from grainsieve.operators.counting import corpus_totals, tokens_per_shard
 from grainsieve.operators.holdout import TRAIN, holdout_per_shard, sample_by_token_budget
 from grainsieve.operators.membership import document_ids, split_by_ids
@@ -20,7 +21,12 @@ from grainsieve.sinks.writers import (
     write_filtered,
     write_shards,
 )
-from grainsieve.sources.manifests import read_ids, write_manifest, write_manifest_table
+from grainsieve.sources.manifests import (
+    read_ids,
+    write_manifest,
+    write_manifest_table,
+    write_ordered_manifest,
+)
 from grainsieve.sources.paths import file_sizes, split_files
 from grainsieve.sources.readers import read_documents, read_jsonl, read_split_files, read_splits, spread
 
@@ -176,9 +182,19 @@ def extract_ids(
     input_format: str = "jsonl",
     overwrite: bool = True,
     as_table: bool = True,
+    ordered: bool = False,
+    schema: str | T.StructType | None = None,
 ) -> bool:
-    """Write the ids of all documents as a table of any length, or as one manifest document."""
-    ids = document_ids(read_documents(spark, input_paths, input_format), ID_KEYS[name])
+    """Write the ids of all documents as a table of any length, as one manifest document, or as an ``ordered`` one of any length: by file, then row."""
+    if ordered:
+        documents = read_documents(spark, input_paths, input_format, schema, row_id=True)
+        ids = documents.select(
+            document_id(ID_KEYS[name]).alias("id"),
+            F.regexp_extract("row_id", "^(.*):", 1).alias("file"),
+            F.substring_index("row_id", ":", -1).cast("long").alias("number"),
+        )
+        return write_ordered_manifest(ids, ["file", "number"], output_file, ID_KEYS[name], overwrite)
+    ids = document_ids(read_documents(spark, input_paths, input_format, schema), ID_KEYS[name])
     write = write_manifest_table if as_table else write_manifest
     return write(ids, output_file, ID_KEYS[name], overwrite)
 

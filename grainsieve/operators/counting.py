@@ -45,3 +45,24 @@ def split_totals(df: DataFrame, split_col: str = "split") -> DataFrame:
 
 def rows_per_split(df: DataFrame, split_col: str = "split") -> DataFrame:
     return df.groupBy(F.col(split_col).alias("split")).agg(F.count(F.lit(1)).alias("examples"))
+
+
+def token_report(df: DataFrame, shard_col: str = "shard", split_col: str = "split") -> DataFrame:
+    """``level``, ``split``, ``shard``, ``shards``, ``examples``, ``tokens`` of every shard, every split and the whole, from one pass.
+
+    ``level`` is ``shard``, ``split`` or ``corpus``; what a level sums over is NULL, which a missing split or shard is too. A shard counts in each split that has
+    rows of it, and once in the corpus.
+    """
+    cells = with_token_count(df).groupBy(F.col(split_col).alias("split"), F.col(shard_col).alias("shard")).agg(
+        F.count(F.lit(1)).alias("examples"), F.coalesce(F.sum("num_tokens"), F.lit(0)).alias("tokens")
+    )
+    # Told apart by the grouping, not by NULL. The cells are one row per split and shard.
+    named = cells.withColumn("__shard", F.struct("shard"))
+    level = F.grouping_id("shard", "split")
+    sets = [[F.col("shard")], [F.col("split")], []]
+    return named.groupingSets(sets, "shard", "split").agg(
+        F.when(level == 1, F.lit("shard")).when(level == 2, F.lit("split")).otherwise(F.lit("corpus")).alias("level"),
+        F.count_distinct("__shard").alias("shards"),
+        F.sum("examples").alias("examples"),
+        F.sum("tokens").alias("tokens"),
+    ).select("level", "split", "shard", "shards", "examples", "tokens")

@@ -89,14 +89,16 @@ def tokenize(df: DataFrame, model: bytes | str, text_col: str = "text") -> DataF
 
 
 def _lookup(vocabulary: pa.Array, ids: pa.Array, unknown_id: int):
-    def look_up(pieces: pa.Array) -> pa.Array:
-        places = pc.index_in(pieces.flatten(), value_set=vocabulary)
-        found = ids.take(places).fill_null(unknown_id)
-        lengths = pc.list_value_length(pieces).fill_null(0).to_numpy(zero_copy_only=False)
-        offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
-        return pa.ListArray.from_arrays(
-            pa.array(offsets), found.cast(pa.int32()), mask=pieces.is_null()
-        )
+    def look_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = {piece: number for piece, number in zip(vocabulary.to_pylist(), ids.to_pylist()) if number is not None}
+        for pieces in batches:
+            # Each different piece of a batch is looked up once.
+            coded = pieces.flatten().dictionary_encode()
+            numbers = np.array([known.get(piece, unknown_id) for piece in coded.dictionary.to_pylist()], dtype=np.int32)
+            lengths = pc.list_value_length(pieces).fill_null(0).to_numpy(zero_copy_only=False)
+            offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+            found = pa.array(numbers[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else numbers)
+            yield pa.ListArray.from_arrays(pa.array(offsets), found, mask=pieces.is_null())
 
     return F.arrow_udf(look_up, "array<int>")
 

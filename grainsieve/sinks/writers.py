@@ -88,6 +88,11 @@ def write_jsonl(
     return _write(writer, df, path, "json", partition_by, overwrite, max_rows, on_exists)
 
 
+def write_text(df: DataFrame, path: str, overwrite: bool = False, on_exists: str = "skip") -> bool:
+    """As ``write_parquet``, the lines of a one-column table."""
+    return _write(df.write, df, path, "text", (), overwrite, None, on_exists)
+
+
 def writer_for(fmt: str):
     if fmt == "parquet":
         return write_parquet

@@ -87,12 +87,13 @@ def _shard_path() -> Column:
     return F.coalesce(F.nullif(folder, F.lit("")), path)
 
 
-def _with_line_numbers(df: DataFrame, *extra: dict[str, Column]) -> DataFrame:
+def with_line_numbers(df: DataFrame, *extra: dict[str, Column], place: bool = False) -> DataFrame:
     """``df``, a scan of text files, with ``extra`` columns and ``row_id``: path and number of each row in its file, blank lines not counted.
 
     Spark deals a file out in blocks. The rows of each are counted first; a row's number is what stands in the earlier blocks of its file
     plus its place in its own, which follows from the running id of the task that reads it. Both reads are planned alike, as they
-    list the same files; should one differ, the query fails.
+    list the same files; should one differ, the query fails. With ``place`` the number runs on through all files, in the order of their paths,
+    and is the column ``place`` instead.
     """
     path, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
     marked = df.select(
@@ -102,19 +103,21 @@ def _with_line_numbers(df: DataFrame, *extra: dict[str, Column]) -> DataFrame:
     # A column of the rows is looked at, so that lines are taken for rows by the same rules in both passes.
     seen = F.count(F.struct(F.col(f"`{df.columns[0]}`")))
     counted = cut_lineage(marked.groupBy("__path", "__block").agg(F.min("__running").alias("__first"), seen.alias("__rows")))
-    earlier = Window.partitionBy("__path").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    # A row per block of a file meets here, not the rows.
+    order = Window.orderBy("__path", "__block") if place else Window.partitionBy("__path").orderBy("__block")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     blocks = cut_lineage(
         counted.select("__path", "__block", "__first", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before"))
     )
     found = attach(marked, blocks, ["__path", "__block"])
-    place = F.col("__running") - F.col("__first")
+    inside = F.col("__running") - F.col("__first")
     same_task = F.shiftright("__running", 33) == F.shiftright("__first", 33)
     moved = F.raise_error(F.lit("the files have changed between two reads")).cast("long")
-    number = F.when(same_task & (place >= 0), F.col("__before") + place).otherwise(moved)
-    row_id = F.concat_ws(":", "__path", number.cast("string"))
+    number = F.when(same_task & (inside >= 0), F.col("__before") + inside).otherwise(moved)
+    named = number.alias("place") if place else F.concat_ws(":", "__path", number.cast("string")).alias("row_id")
     hidden = {"__path", "__block", "__running"}
     kept = [F.col(f"`{name}`") for name in marked.columns if name not in hidden]
-    return found.select(*kept, row_id.alias("row_id"))
+    return found.select(*kept, named)
 
 
 def read_documents(
@@ -146,7 +149,7 @@ def read_documents(
         df = read_jsonl(spark, found, schema, tolerant=input_format == "pandas-jsonl")
     number = F.col("_metadata.row_index") if row_id and input_format == "parquet" else None
     if row_id and number is None:
-        return _with_line_numbers(df, {"shard": _shard()} if shard else {}, {"shard_path": _shard_path()} if shard_path else {})
+        return with_line_numbers(df, {"shard": _shard()} if shard else {}, {"shard_path": _shard_path()} if shard_path else {})
     extra = {}
     if shard:
         extra["shard"] = _shard()
