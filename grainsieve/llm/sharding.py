@@ -9,8 +9,6 @@ from grainsieve.llm.numbering import numbered
 from grainsieve.plans.durable import cut_lineage
 from grainsieve.plans.joins import attach
 
-ROUNDS = 6
-
 
 def _quota(total: int, shards: int) -> list[int]:
     """Rows of each shard: at most one apart."""
@@ -43,14 +41,26 @@ def _pair_quotas(wishes: dict[tuple[int, int], int], room: list[int]) -> list[tu
     return [tuple(quota) for quota in quotas if quota[2]]
 
 
-def _propagate(linked: DataFrame, caps: list[int], rounds: int) -> DataFrame:
-    """``linked`` (uid, hub, shard) after rounds in which rows move to where most of their hub is.
+def _home(place: Column, linked: int, total: int, shards: int) -> Column:
+    """The shard of linked row number ``place`` if these rows, in order, take of every shard the same share of its rows."""
+    base, extra = divmod(total, shards)
+    spread = F.floor(place * F.lit(total).cast("decimal(20,0)") / F.lit(linked))
+    edge = extra * (base + 1)
+    first = F.floor(spread / F.lit(base + 1))
+    return (F.when(spread < edge, first).otherwise(extra + F.floor((spread - edge) / F.lit(base))) if base else first).cast("int")
+
+
+def _propagate(linked: DataFrame, caps: list[int], rounds: int | None) -> DataFrame:
+    """``linked`` (uid, hub, shard) after rounds in which rows move to where most of their hub is, until no round moves any.
 
     The counts of wished moves per pair of shards set the quotas, so that no shard ever outgrows its own; within a pair the
-    rows with the largest pull go first.
+    rows with the largest pull go first, those of a hub together. Every move adds a row to the fullest shard of its hub and so lowers the
+    cut: the rounds end by themselves.
     """
     spark = linked.sparkSession
-    for _ in range(rounds):
+    done = 0
+    while rounds is None or done < rounds:
+        done += 1
         votes = linked.groupBy("hub", "shard").agg(F.count(F.lit(1)).alias("n"))
         # The fullest shard of a hub; of equally full ones, a hash of both decides, so that no shard is preferred.
         turn = F.xxhash64("hub", "shard")
@@ -88,12 +98,13 @@ def shard_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     link: Column | None = None,
-    rounds: int = ROUNDS,
+    rounds: int | None = None,
 ) -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot) of every document.
 
     Documents with the same ``link`` (default: the same text) are linked and moved into one shard; groups too large
-    for half a shard are linked in parts that fit. All shards get the same number of rows, but for one. ``size`` is
+    for half a shard are linked in parts that fit. Groups start whole, side by side, so that only those at the edge of a shard are divided, and
+    rows move until no shard has room for what would lower the cut (or for ``rounds``). All shards get the same number of rows, but for one. ``size`` is
     the text's UTF-8 bytes plus 16; a null text has none and is linked to no other. ``slot`` counts a shard's rows from 0. Texts are
     read once; an empty table gives no rows.
     """
@@ -118,8 +129,9 @@ def shard_documents(
     chunked = numbered(linked, ["hub"], ["uid"], "place").select(
         "uid", F.xxhash64("hub", F.floor(F.col("place") / part)).alias("hub")
     )
-    start = numbered(chunked.withColumn("draw", F.xxhash64("uid")), [], ["draw", "uid"], "place").select(
-        "uid", "hub", (F.col("place") % shards).cast("int").alias("shard")
+    chunked = cut_lineage(chunked)
+    start = numbered(chunked, [], ["hub", "uid"], "place").select(
+        "uid", "hub", _home(F.col("place"), max(1, chunked.count()), total, shards).alias("shard")
     )
     settled = _propagate(cut_lineage(start), caps, rounds)
     taken = _per_shard(settled, shards)
