@@ -487,6 +487,16 @@ FROM documents, (VALUES ('ja_wiki', 'id'), ('en_wiki', 'id'), ('ja_cc', 'hash'),
 WITH {ANNOTATED}
 SELECT doc_id, {matches('text', inputs.KEYWORDS.adult)} AS adult, {matches('text', ('ouou',), ('カナ',))} AS violence
 FROM annotated""",
+    "keyword_one_pass": f"""
+WITH {ANNOTATED}
+SELECT doc_id, {matches('text', ('ing', 'in'))} AS ads, {matches('text', inputs.WORDS)} AS adult,
+  {matches('text', ('東京', '東', '見て'), ('カナ', 'カナダ'))} AS discrimination, {matches('text', inputs.MANY_WORDS)} AS violence
+FROM annotated""",
+    "keyword_limits": f"""
+WITH {ANNOTATED}
+SELECT doc_id FROM annotated
+WHERE {matches('text', ('ing', 'in'))} <= 200 AND {matches('text', inputs.WORDS)} <= 60
+  AND {matches('text', ('東京', '東', '見て'), ('カナ', 'カナダ'))} <= 1 AND {matches('text', inputs.MANY_WORDS)} <= 4000""",
     "null_shards": """
 SELECT CASE WHEN source <> 'src3' THEN source END AS shard, count(*) AS documents FROM documents GROUP BY 1""",
     "job_filtered": f"""{KEPT_PAGES}

@@ -15,6 +15,7 @@ from grainsieve import jobs
 from grainsieve.functions import predicates as P
 from grainsieve.functions import text as text_functions
 from grainsieve.functions.compression import compression_ratio, compression_score
+from grainsieve.functions.keyword_scan import keyword_counts, within_limits
 from grainsieve.functions.keywords import count_keywords
 from grainsieve.operators.holdout import VALIDATION
 from grainsieve.operators.membership import split_stored_by_ids, store_by_id, store_ids
@@ -448,6 +449,22 @@ def collection_ids(spark, sf_dir):
     return reduce(DataFrame.unionByName, tables)
 
 
+_LISTS = {"ads": ("ing", "in"), "adult": inputs.WORDS, "discrimination": inputs.KANA_WORDS, "violence": inputs.MANY_WORDS}
+
+
+def keyword_one_pass(spark, sf_dir):
+    """Matches of four lists from one reading of each text."""
+    counted = inputs.annotated(spark, sf_dir).select("doc_id", keyword_counts(F.col("text"), _LISTS).alias("found"))
+    return counted.select("doc_id", *(F.col(f"found.{name}").cast("bigint").alias(name) for name in _LISTS))
+
+
+def keyword_limits(spark, sf_dir):
+    """Documents in which none of four lists passes its limit."""
+    limits = {"ads": 200, "adult": 60, "discrimination": 1, "violence": 4000}
+    kept = inputs.annotated(spark, sf_dir).filter(within_limits(F.col("text"), _LISTS, limits))
+    return kept.select("doc_id")
+
+
 def keyword_files(spark, sf_dir):
     """Documents few enough keywords are in, with the lists read from files."""
     paths = {}
@@ -784,6 +801,8 @@ QUERIES = {
     "filter_evaluation": filter_evaluation,
     "collection_ids": collection_ids,
     "keyword_files": keyword_files,
+    "keyword_one_pass": keyword_one_pass,
+    "keyword_limits": keyword_limits,
     "text_sizes": text_sizes,
     "extract_japanese": transform_query(text_functions.extract_japanese_text),
     "strip_footnotes": transform_query(text_functions.remove_wikipedia_footnote),
