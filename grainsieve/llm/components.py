@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grainsieve.plans.durable import cut_lineage
+from grainsieve.plans.joins import attach
+
+# Nodes whose smallest neighbours are sent to every task instead of being joined, and links of one node that a task may get.
+SENT_NODES = 100_000
+HOT_LINKS = 100_000
 
 
 def _star(edges: DataFrame, both: bool) -> DataFrame:
@@ -17,15 +22,14 @@ def _star(edges: DataFrame, both: bool) -> DataFrame:
         links = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         links = edges
-    least = links.groupBy("u").agg(F.min("v").alias("m")).select(
-        F.col("u").alias("n"), F.least("u", "m").alias("m")
-    )
-    joined = links.join(least, F.col("u") == F.col("n"))
+    least = cut_lineage(links.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+    # The centre of a large component has most of its links.
+    joined = attach(links, least, ["u"], "inner", max_rows=SENT_NODES, hot_rows=HOT_LINKS)
     if both:
         moved = joined.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         moved = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            least.select(F.col("n").alias("u"), F.col("m").alias("v"))
+            least.select("u", F.col("m").alias("v"))
         )
     return moved.filter(F.col("u") != F.col("v")).distinct()
 

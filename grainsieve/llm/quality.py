@@ -16,10 +16,11 @@ from grainsieve.plans.durable import cut_lineage
 from grainsieve.plans.joins import attach
 
 ORDER = 4  # bytes of the longest n-gram; 7 at most, so that a key is a positive long
-# A text is odd if its log-perplexity lies further above the median of held-out trusted texts than REACH times the way from there
-# to their QUANTILE; 1 is the quantile itself.
-QUANTILE = 0.98
-REACH = 1.0
+# A text is odd if its log-score lies above this quantile of its language's held-out trusted texts.
+QUANTILE = 0.97
+# So many held-out texts of any language count in each language's quantile, by how far they lie from the median of their own: a quantile of a few
+# texts alone is that of one or two odd ones.
+POOLED = 400
 # One in so many distinct trusted texts is held out of training, for the thresholds.
 HELD_OUT = 5
 # Bytes of a typical trusted text added to every document, so that a few odd ones do not condemn a short text.
@@ -244,16 +245,17 @@ def judge_quality(
     lang_col: str = "lang",
     order: int = ORDER,
     quantile: float = QUANTILE,
-    reach: float = REACH,
+    pooled: float = POOLED,
     prior_bytes: int = PRIOR_BYTES,
 ) -> DataFrame:
     """(doc_id, lang, text_hash, n_bytes, perplexity, score, threshold, kept) of every document.
 
     Trusted are documents that ``labels`` (doc_id, quality, toxic) call good and not toxic; where labels disagree the worst
     counts. One model per language (null and empty names are one) is trained on all of them but those held out by
-    text hash. ``score`` is the perplexity per byte with ``prior_bytes`` of the language's median added. With m and q, the median and
-    ``quantile`` of the log-scores of its held-out texts, a language rejects what exceeds m + ``reach`` (q - m): q with ``reach`` 1. Null and
-    empty texts and languages without held-out or trained text are kept, with null figures: nothing speaks against them.
+    text hash. ``score`` is the perplexity per byte with ``prior_bytes`` of the language's median added. The limit of a language is the
+    ``quantile`` of the log-scores of its n different held-out texts, weighing n, and its median plus that quantile of all languages' distances from
+    their medians, weighing ``pooled``. Null and empty texts and languages without held-out or trained text are kept, with null figures:
+    nothing speaks against them.
     """
     good = (
         labels.groupBy(F.col("doc_id").alias("doc_id"))
@@ -281,14 +283,24 @@ def judge_quality(
         return [F.percentile_approx(column, share, 10_000) for share in shares]
 
     plain = scored.withColumn("own", -F.col("logp") / F.col("n_units"))
-    typical = plain.filter(sure).groupBy("lang").agg(middle("own", 0.5)[0].alias("typical"))
-    smoothed = attach(plain, cut_lineage(typical), ["lang"]).withColumn(
-        "logscore",
-        (prior_bytes * F.col("typical") - F.col("logp")) / (F.col("n_units") + prior_bytes),
-    )
+    # Copies of a text count once. Their scores are the same.
+    trusted = plain.filter(sure).select("lang", "text_hash", "own", "logp", "n_units").dropDuplicates(["lang", "text_hash"])
+    typical = cut_lineage(trusted.groupBy("lang").agg(middle("own", 0.5)[0].alias("typical")))
+
+    def smooth(df: DataFrame) -> DataFrame:
+        weighed = (prior_bytes * F.col("typical") - F.col("logp")) / (F.col("n_units") + prior_bytes)
+        return attach(df, typical, ["lang"]).withColumn("logscore", weighed)
+
+    smoothed, trusted = smooth(plain), cut_lineage(smooth(trusted).select("lang", "logscore"))
     half, high = middle("logscore", 0.5, quantile)
-    limit = high if reach == 1 else half + reach * (high - half)
-    limits = smoothed.filter(sure).groupBy("lang").agg(limit.alias("limit"))
+    own = cut_lineage(
+        trusted.groupBy("lang").agg(half.alias("half"), high.alias("high"), F.count(F.lit(1)).alias("texts"))
+    )
+    away = attach(trusted, own.select("lang", "half"), ["lang"]).withColumn("away", F.col("logscore") - F.col("half"))
+    usual = away.agg(middle("away", quantile)[0].alias("usual")).first()["usual"]
+    share = F.col("texts") / (F.col("texts") + F.lit(float(pooled)))
+    limit = share * F.col("high") + (1 - share) * (F.col("half") + F.lit(usual).cast("double"))
+    limits = own.select("lang", limit.alias("limit"))
     judged = attach(smoothed, cut_lineage(limits), ["lang"]).select(
         "doc_id",
         "lang",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from grainsieve.llm.numbering import shuffle_width
 from grainsieve.plans.durable import cut_lineage
+from grainsieve.plans.joins import attach
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*).*$"
@@ -149,8 +150,8 @@ def judge_urls(
     # The rules open at a point are those of the last start's stack that have not ended before it.
     ended = F.filter("stack", lambda s: F.startswith(F.col("key"), s["outer"]))
     best = (
-        at.select("uid", "key", "open")
-        .join(stacks.withColumnRenamed("key", "k"), F.col("open") == F.col("k"))
+        # One rule may be open at most of the points.
+        attach(at.select("uid", "key", "open"), stacks.withColumnRenamed("key", "open"), ["open"], "inner")
         .select("uid", F.explode(ended).alias("s"))
         .groupBy("uid")
         .agg(

@@ -88,3 +88,16 @@ def test_long_chains_are_one_component(spark):
     assert len(found) == len(roots)
     assert {roots[i] for i in range(301)} == {0}
     assert [roots[i] for i in (600, 601, 602)] == [600] * 3 and 500 not in roots
+
+
+def test_hot_centres_are_spread(spark, monkeypatch):
+    """Stars whose centres have most links, beyond what may be sent to every task."""
+    from grainsieve.llm import components as module
+
+    monkeypatch.setattr(module, "SENT_NODES", 0)
+    monkeypatch.setattr(module, "HOT_LINKS", 20)
+    edges = [(1, i) for i in range(2, 150)] + [(200, i) for i in range(201, 300)] + [(400, 401), (299, 402)]
+    found = module.components(spark.createDataFrame(edges, "u long, v long").repartition(6)).collect()
+    roots = {r["node"]: r["root"] for r in found}
+    assert len(found) == len(roots) == 149 + 101 + 2
+    assert {roots[i] for i in range(1, 150)} == {1} and {roots[i] for i in (200, 250, 299, 402)} == {200} and roots[401] == 400
