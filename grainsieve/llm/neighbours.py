@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -25,8 +26,10 @@ LEARNED = 64
 CHUNK = 8192
 QUERIES = 4096
 GRAPH_NEIGHBOURS = 10
-# Share of the held-out vectors' nearest sample vectors that the probed partitions have to hold.
+# Share of the held-out vectors' nearest sample vectors that the probed partitions have to hold, on all levels together.
 COVERAGE = 0.93
+# A partition of more vectors is divided once more, by a router of its own.
+DIVIDED_ROWS = 65_536
 SEED = 7
 
 
@@ -142,26 +145,22 @@ def train_router(vectors: np.ndarray, label: np.ndarray, parts: int, near: np.nd
     return Router(mean, scale, (weights[0], weights[1]), (weights[2], weights[3]), parts)
 
 
-def with_probes(router: Router, vectors: np.ndarray, held: np.ndarray, k: int) -> Router:
-    """The router with as many probes as find ``COVERAGE`` of the ``k`` nearest of ``vectors`` for held-out ones."""
+def with_probes(router: Router, vectors: np.ndarray, held: np.ndarray, k: int, coverage: float) -> Router:
+    """The router with as many probes as find ``coverage`` of the ``k`` nearest of ``vectors`` for held-out ones."""
     parts = router.probes
     dots = held @ vectors.T
     near = np.argpartition(-dots, k - 1, axis=1)[:, :k]
     place = np.argsort(router.best(held, parts), axis=1)
     wanted = place[np.arange(len(held))[:, None], router.best(vectors, 1)[near, 0]]
     covered = [(wanted < probes).mean() for probes in range(1, parts + 1)]
-    probes = next((i for i, share in enumerate(covered, 1) if share >= COVERAGE), parts)
+    probes = next((i for i, share in enumerate(covered, 1) if share >= coverage), parts)
     return replace(router, probes=probes)
 
 
-def fit_router(vectors: DataFrame, rows: int, neighbours: int = 20) -> Router | None:
-    """Router over ``vectors`` (uid, vector), from a bounded sample; None if there are too few for two partitions."""
-    sample = (
-        vectors.orderBy(F.xxhash64(F.lit(SEED), "uid"), "uid").limit(SAMPLE + HELD_OUT).select("vector").toArrow()
-    )
-    if sample.num_rows < 2 * LEARNED:
+def fit_matrix(matrix: np.ndarray, rows: int, neighbours: int, coverage: float) -> Router | None:
+    """Router from the sample ``matrix`` of ``rows`` vectors; None if it is too small for two partitions."""
+    if len(matrix) < 2 * LEARNED:
         return None
-    matrix = np.stack(sample.column("vector").to_numpy()).astype(np.float64)
     # A fifth of a small sample is held out.
     cut = min(SAMPLE, len(matrix) * 4 // 5)
     matrix, held = matrix[:cut], matrix[cut:]
@@ -170,7 +169,73 @@ def fit_router(vectors: DataFrame, rows: int, neighbours: int = 20) -> Router |
     label = partition_graph(matrix, near[:, :GRAPH_NEIGHBOURS], parts)
     router = train_router(matrix, label, parts, near)
     # The nearest of all rows are about as far away as so many of the sample.
-    return with_probes(router, matrix, held, max(1, round(neighbours * cut / rows)))
+    return with_probes(router, matrix, held, max(1, round(neighbours * cut / rows)), coverage)
+
+
+def _levels(rows: int) -> int:
+    """Two if the partitions of one level would be too large."""
+    return 1 + (rows / (SAMPLE // LEARNED) > DIVIDED_ROWS)
+
+
+def fit_router(vectors: DataFrame, rows: int, neighbours: int = 20) -> Router | None:
+    """Router over ``vectors`` (uid, vector), from a bounded sample; None if there are too few for two partitions."""
+    sample = (
+        vectors.orderBy(F.xxhash64(F.lit(SEED), "uid"), "uid").limit(SAMPLE + HELD_OUT).select("vector").toArrow()
+    )
+    if not sample.num_rows:
+        return None
+    matrix = np.stack(sample.column("vector").to_numpy()).astype(np.float64)
+    return fit_matrix(matrix, rows, neighbours, COVERAGE ** (1 / _levels(rows)))
+
+
+def _divided(placed: DataFrame, routed: DataFrame, neighbours: int) -> tuple[DataFrame, DataFrame]:
+    """Both tables (uid, id, vector, part) with the partitions of more than ``DIVIDED_ROWS`` divided by routers of their own.
+
+    Each is fitted by a task, from a bounded sample of its partition. A query sent to such a partition goes on to its most probable parts.
+    """
+    spark = placed.sparkSession
+    counts = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > DIVIDED_ROWS).collect()
+    if not counts:
+        return placed, routed
+    bounds = [(r["part"], r["n"], int(min(1.0, (SAMPLE + HELD_OUT) / r["n"]) * 2**31)) for r in counts]
+    large = F.broadcast(spark.createDataFrame(bounds, "part int, n long, bound long"))
+    drawn = F.pmod(F.xxhash64(F.lit(SEED + 1), "uid"), F.lit(2**31))
+    sample = placed.join(large, "part").filter(drawn < F.col("bound")).select("part", "n", "uid", "vector")
+
+    def fit(table: pa.Table) -> pa.Table:
+        table = table.sort_by("uid")
+        matrix = np.stack(table.column("vector").to_numpy()).astype(np.float64)
+        router = fit_matrix(matrix, table.column("n")[0].as_py(), neighbours, COVERAGE**0.5)
+        return pa.table({"part": table.column("part")[:1], "router": pa.array([pickle.dumps(router)], pa.binary())})
+
+    fitted = sample.groupBy("part").applyInArrow(fit, "part int, router binary").collect()
+    shared = spark.sparkContext.broadcast({r["part"]: pickle.loads(r["router"]) for r in fitted})
+
+    def route(probe: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                part = batch.column("part").to_numpy()
+                cells: list[np.ndarray] = [np.array([p], dtype=np.int32) for p in part.tolist()]
+                for one in np.unique(part).tolist():
+                    router = shared.value.get(one)
+                    if router is not None:
+                        at = np.flatnonzero(part == one)
+                        own = batch.column("vector").take(pa.array(at))
+                        best = router.best(np.stack(own.to_numpy(zero_copy_only=False)), router.probes if probe else 1)
+                        # Numbers of divided partitions are not used by any whole one.
+                        numbers = (1 + one) * (SAMPLE // LEARNED + 1) + best
+                        for i, row in zip(at.tolist(), numbers.astype(np.int32)):
+                            cells[i] = row
+                columns = [batch.column(name) for name in ("uid", "id", "vector")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(cells, pa.list_(pa.int32()))], names=["uid", "id", "vector", "parts"])
+
+        return run
+
+    shape = "uid long, id long, vector array<double>, parts array<int>"
+    return tuple(
+        df.mapInArrow(route(probe), shape).select("uid", "id", "vector", F.explode("parts").alias("part"))
+        for df, probe in ((placed, False), (routed, True))
+    )
 
 
 def _search(queries: pa.Table, base: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -229,7 +294,7 @@ def nearest(
 
     Every valid vector is indexed in its most probable partition; a query is sent to the router's ``probes`` most probable ones,
     where it is compared with all vectors in double precision. Only a table too small for two partitions is searched whole. Ties go to
-    the smaller id. Every row stands for itself: of repeated rows each is asked, each has its list, and each is a candidate of the others;
+    the smaller id. A partition that has grown large is divided once more by a router of its own. Every row stands for itself: of repeated rows each is asked, each has its list, and each is a candidate of the others;
     a row without id is a candidate as well, behind those equally near. Vectors that are null, zero or hold null or non-finite components take no
     part; of vectors of several lengths, those of the most common one (the shortest of equally common) do. A large partition is searched
     in chunks, by slices of its queries, so no task meets more than ``CHUNK`` vectors and ``QUERIES`` queries or so.
@@ -277,6 +342,9 @@ def nearest(
         placed, routed = (df.select("uid", "id", "vector", F.explode("parts").alias("part")) for df in (placed, routed))
     placed = cut_lineage(placed.select("uid", "id", "vector", "part"))
     routed = cut_lineage(routed.select("uid", "id", "vector", "part"))
+    divided = _divided(placed, routed, k)
+    if divided[0] is not placed:
+        placed, routed = map(cut_lineage, divided)
 
     def pieces(df: DataFrame, size: int, name: str) -> DataFrame:
         return df.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))

@@ -98,6 +98,18 @@ def test_router_finds_most_and_scores_exactly(spark):
         assert found[q] == sorted(found[q], key=lambda x: (-x[1], x[0]))
 
 
+def test_large_partitions_are_divided(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "DIVIDED_ROWS", 400)
+    monkeypatch.setattr(neighbours, "PARTITION_ROWS", 600)
+    random = np.random.default_rng(6)
+    centres = 3 * random.normal(size=(16, 12))
+    rows = [(i, (centres[i % 16] + 0.5 * random.normal(size=12)).tolist()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    found, exact = _found(nearest(df, F.col("vec_id") % 20 == 0)), _exact(rows, 20, lambda i: i % 20 == 0)
+    assert _recall(rows, found, exact) >= 0.9
+    assert all(len(own) == 20 and len({i for i, _ in own}) == 20 for own in found.values())
+
+
 @pytest.mark.parametrize("table", ["sf0.01", "sf0.1", "check_s"])
 def test_recall_through_the_router(spark, table):
     df = spark.read.parquet(f"/root/testdata/{table}/embeddings.parquet")
