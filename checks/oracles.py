@@ -497,6 +497,8 @@ WITH {ANNOTATED}
 SELECT doc_id FROM annotated
 WHERE {matches('text', ('ing', 'in'))} <= 200 AND {matches('text', inputs.WORDS)} <= 60
   AND {matches('text', ('東京', '東', '見て'), ('カナ', 'カナダ'))} <= 1 AND {matches('text', inputs.MANY_WORDS)} <= 4000""",
+    "job_listed": f"""{KEPT_PAGES}
+SELECT doc_id AS id, CASE WHEN doc_id % 7 = 0 THEN 'validation' ELSE 'train' END AS split FROM pages WHERE split = 'train'""",
     "null_shards": """
 SELECT CASE WHEN source <> 'src3' THEN source END AS shard, count(*) AS documents FROM documents GROUP BY 1""",
     "job_filtered": f"""{KEPT_PAGES}

@@ -308,6 +308,16 @@ def job_by_ids(spark, sf_dir):
     return first.join(second, "id").select("id", (F.col("first") == F.col("split")).alias("agrees"))
 
 
+def job_listed(spark, sf_dir):
+    """Kept pages split by a manifest of the ids of some of them, written in order and in parts."""
+    pages = _filtered_job(spark, sf_dir)
+    some, ids, out = (scratch_path(spark, name) for name in ("some", "ids", "listed"))
+    write_parquet(spark.read.parquet(pages).filter(F.col("meta.id") % 7 == 0), some)
+    jobs.extract_ids(spark, "en_wiki", [some], ids, "parquet", ordered=True)
+    jobs.split_corpus_by_ids(spark, [pages], out, ids, "parquet")
+    return spark.read.parquet(out).select("meta.id", F.col("split").cast("string").alias("split"))
+
+
 def job_sampled(spark, sf_dir):
     """Without a train budget every train row is on one side; both are stored, converted and read."""
     sampled, lines = scratch_path(spark, "sampled"), scratch_path(spark, "lines")
@@ -788,6 +798,7 @@ QUERIES = {
     "job_filtered": job_filtered,
     "job_tokens": job_tokens,
     "job_by_ids": job_by_ids,
+    "job_listed": job_listed,
     "job_sampled": job_sampled,
     "chunk_resume": chunk_resume,
     "named_shards": named_shards,

@@ -7,30 +7,24 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import SparkFiles
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grainsieve.plans.durable import cut_lineage
 from grainsieve.plans.joins import BROADCAST_BYTES, BROADCAST_ROWS, attach, fits_broadcast
 
-# Models up to this size travel with the task, larger ones are fetched once per node.
-SHIPPED_MODEL_BYTES = 32 * 1024 * 1024
-
 # Fixed value: texts encoded at a time.
 ENCODE_ROWS = 128
 
 _ENCODED = "struct<tokens:array<string>,token_ids:array<int>>"
 
 
-def _subword_encoder(model: bytes | None, file_name: str | None):
+def _subword_encoder(model: Broadcast[bytes]):
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         from sentencepiece import SentencePieceProcessor
 
-        if model is not None:
-            processor = SentencePieceProcessor(model_proto=model)
-        else:
-            processor = SentencePieceProcessor(model_file=SparkFiles.get(file_name))
+        processor = SentencePieceProcessor(model_proto=model.value)
         pieces = pa.array(processor.id_to_piece(list(range(processor.get_piece_size()))))
         for texts in batches:
             missing = np.asarray(texts.is_null())
@@ -69,23 +63,14 @@ def _with_tokens(df: DataFrame, encoded: Column) -> DataFrame:
 def tokenize(df: DataFrame, model: bytes | str, text_col: str = "text") -> DataFrame:
     """Append ``tokens``, ``token_ids`` and ``num_tokens`` of a sentencepiece model.
 
-    ``model`` is a path any executor's file system knows, or the model's bytes. Only the text
-    goes to the Python workers, which load the model once per task.
+    ``model`` is a path that Spark reads, or the model's bytes. Whatever its size, every node fetches it once, as a broadcast
+    variable; only the text goes to the Python workers, which load the model once per task.
     """
-    file_name = None
+    spark = df.sparkSession
     if isinstance(model, str):
-        spark = df.sparkSession
-        found = spark.read.format("binaryFile").load(model).select("path", "length").first()
-        if found.length > SHIPPED_MODEL_BYTES:
-            spark.sparkContext.addFile(model)
-            model, file_name = None, found.path.rsplit("/", 1)[-1]
-        else:
-            model = bytes(
-                spark.read.format("binaryFile").load(found.path).select("content").first().content
-            )
-    elif len(model) > SHIPPED_MODEL_BYTES:
-        raise ValueError("pass a model of this size as a path")
-    return _with_tokens(df, _subword_encoder(model, file_name)(F.col(text_col)))
+        model = bytes(spark.read.format("binaryFile").load(model).select("content").first().content)
+    shared = spark.sparkContext.broadcast(model)
+    return _with_tokens(df, _subword_encoder(shared)(F.col(text_col)))
 
 
 def _lookup(vocabulary: pa.Array, ids: pa.Array, unknown_id: int):

@@ -6,7 +6,6 @@ from sentencepiece import SentencePieceProcessor, SentencePieceTrainer
 
 import grainsieve as g
 from checks import inputs
-from grainsieve.operators import tokenizing
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +35,7 @@ def check(frame, processor, texts):
         assert rows[i].num_tokens == len(ids)
 
 
-def test_subword_model(spark, model, tmp_path, monkeypatch):
+def test_subword_model(spark, model, tmp_path):
     texts = ["corpus filter", "", None, "東京 カナ unknown ☃☃", "shard " * 5000]
     frame = spark.createDataFrame(list(enumerate(texts)), "i INT, text STRING").repartition(3)
     processor = SentencePieceProcessor(model_proto=model)
@@ -47,10 +46,6 @@ def test_subword_model(spark, model, tmp_path, monkeypatch):
     path = tmp_path / "own.model"
     path.write_bytes(model)
     check(g.tokenize(frame, str(path)), processor, texts)
-    monkeypatch.setattr(tokenizing, "SHIPPED_MODEL_BYTES", 10)
-    check(g.tokenize(frame, str(path)), processor, texts)
-    with pytest.raises(ValueError):
-        g.tokenize(frame, model)
 
 
 def test_subword_model_on_whole_documents(spark, sf_dir, model):
