@@ -118,3 +118,26 @@ near AS (
 ), ends AS (SELECT paths.word, target FROM paths JOIN judged ON target = judged.word WHERE judged.form IS NULL)
 SELECT word, form, coalesce(target, word) AS root, n, n_near, form_n FROM judged LEFT JOIN ends USING (word)
 """
+
+ORACLES["op10_suffixes"] = """
+WITH texts AS (
+  SELECT row_number() OVER (ORDER BY doc_id) AS doc, doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents
+), sized AS (SELECT doc, doc_id, digits, CAST(length(digits) // 2 AS BIGINT) AS n FROM texts),
+places AS (SELECT doc, digits, unnest(range(n - 99)) AS i FROM sized WHERE n >= 100),
+windows AS (SELECT doc, i, substring(digits, 2 * i + 1, 200) AS bytes FROM places),
+late AS (
+  SELECT doc, i FROM (SELECT doc, i, row_number() OVER (PARTITION BY bytes ORDER BY doc, i) AS r FROM windows) WHERE r > 1
+), marked AS (
+  SELECT doc, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc ORDER BY i) + 100 THEN 0 ELSE 1 END AS fresh FROM late
+), grouped AS (SELECT doc, i, sum(fresh) OVER (PARTITION BY doc ORDER BY i) AS span FROM marked),
+spans AS (SELECT doc, min(i) AS a, max(i) + 100 AS b FROM grouped GROUP BY doc, span),
+ends AS (SELECT doc, a, b FROM spans UNION ALL SELECT doc, n, n FROM sized),
+gaps AS (SELECT doc, coalesce(lag(b) OVER (PARTITION BY doc ORDER BY a, b), 0) AS start, a FROM ends),
+kept AS (
+  SELECT doc, string_agg(substring(digits, 2 * start + 1, 2 * (a - start)), '' ORDER BY start, a) AS digits
+  FROM gaps JOIN sized USING (doc) GROUP BY doc
+), removed AS (SELECT doc, count(*) AS n_spans, CAST(sum(b - a) AS BIGINT) AS n_removed FROM spans GROUP BY doc)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(kept.digits)) AS kept_sha256
+FROM sized JOIN kept USING (doc) LEFT JOIN removed USING (doc)
+"""
