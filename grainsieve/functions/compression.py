@@ -3,21 +3,52 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Batches up to so many bytes are searched for equal texts: those of short texts, which repeat.
+REPEAT_BYTES = 4 * 1024 * 1024
+
+# Different texts of such batches whose sizes a task keeps for the next ones, and the longest of them.
+KEPT_TEXTS = 100_000
+KEPT_LENGTH = 64
+
+
+def _deflated(value: pa.BinaryScalar) -> int | None:
+    data = value.as_buffer()
+    return None if data is None else len(zlib.compress(data, level=9))
+
+
+def _sizes_of_different(values: pa.Array, known: dict[bytes, int]) -> pa.Array:
+    """Each different text is deflated once; ``known`` has the sizes of short ones of earlier batches."""
+    coded = values.dictionary_encode()
+    sizes = []
+    for data in coded.dictionary.to_pylist():
+        size = known.get(data)
+        if size is None:
+            size = len(zlib.compress(data, level=9))
+            if len(data) <= KEPT_LENGTH:
+                if len(known) >= KEPT_TEXTS:
+                    known.clear()
+                known[data] = size
+        sizes.append(size)
+    return pa.array(sizes, pa.int64()).take(coded.indices)
+
 
 def deflated_size(text: Column) -> Column:
     """Bytes of the zlib stream (level 9) of the whole UTF-8 text."""
 
-    def sizes(texts: pa.Array) -> pa.Array:
-        values = (value.as_buffer() for value in texts.cast(pa.binary()))
-        return pa.array(
-            [None if value is None else len(zlib.compress(value, level=9)) for value in values],
-            pa.int64(),
-        )
+    def sizes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known: dict[bytes, int] = {}
+        for texts in batches:
+            values = texts.cast(pa.binary())
+            if values.nbytes <= REPEAT_BYTES:
+                yield _sizes_of_different(values, known)
+            else:
+                yield pa.array(map(_deflated, values), pa.int64())
 
     return F.arrow_udf(sizes, "bigint")(text)
 

@@ -54,3 +54,37 @@ def test_web_crawl_recipe_is_its_rules(spark, sf_dir):
         found = {row.doc_id for row in QUERIES[f"recipe_web_crawl{suffix}"](spark, sf_dir).collect()}
         assert found == without & good
         assert found
+
+
+def test_equal_texts_are_deflated_once(monkeypatch):
+    import pyarrow as pa
+
+    from grainsieve.functions import compression
+
+    seen = []
+
+    def compress(data, level):
+        seen.append(data)
+        return real(data, level=level)
+
+    real = zlib.compress
+    monkeypatch.setattr(compression.zlib, "compress", compress)
+    long = b"x" * (compression.KEPT_LENGTH + 1)
+    batch = [b"word", None, b"", b"word", long, b"other", long]
+    known = {}
+    for _ in range(2):
+        found = compression._sizes_of_different(pa.array(batch, pa.binary()), known).to_pylist()
+        assert found == [None if data is None else len(real(data, level=9)) for data in batch]
+    assert sorted(seen) == sorted([b"word", b"", long, b"other", long])
+
+
+def test_short_and_long_batches_agree(spark):
+    from grainsieve.functions.compression import REPEAT_BYTES, deflated_size
+
+    texts = ["a", None, "", "a", "é" * 100, "a", "é" * 100]
+    long = "b c" * REPEAT_BYTES
+    short = spark.createDataFrame([(t,) for t in texts], "text STRING").coalesce(1)
+    both = spark.createDataFrame([(t,) for t in [*texts, long]], "text STRING").coalesce(1)
+    expected = [None if t is None else len(zlib.compress(t.encode(), level=9)) for t in [*texts, long]]
+    assert [r[0] for r in short.select(deflated_size(F.col("text"))).collect()] == expected[:-1]
+    assert [r[0] for r in both.select(deflated_size(F.col("text"))).collect()] == expected
