@@ -17,6 +17,9 @@ from grainsieve.plans.joins import BROADCAST_BYTES, BROADCAST_ROWS, attach, fits
 # Fixed value: texts encoded at a time.
 ENCODE_ROWS = 128
 
+# Bytes of the distinct texts, on average, whose pieces are looked up together beyond the broadcast bound.
+BLOCK_BYTES = 4 * 1024 * 1024
+
 _ENCODED = "struct<tokens:array<string>,token_ids:array<int>>"
 
 
@@ -121,19 +124,45 @@ def tokenize_with_vocabulary(
         split = df.withColumn("__pieces", pieces)
         return _with_tokens(split, encoded).drop("__pieces")
     # Pieces follow from the text alone, so every text is looked up once, whatever its rows are called.
-    keyed = df.withColumn("__row", F.sha2(F.col(text_col), 256))
+    keyed = df.withColumn("__row", F.unhex(F.sha2(F.col(text_col), 256)))
+    found = _looked_up(keyed, vocabulary, pattern, unknown_id, text_col, max_rows, max_bytes)
+    joined = attach(keyed, found, on=["__row"], max_rows=max_rows, max_bytes=max_bytes)
+    token_ids = F.when(F.col(text_col).isNotNull(), F.coalesce("__ids", F.array().cast("array<int>")))
+    return _with_tokens(joined, F.struct(pieces.alias("tokens"), token_ids.alias("token_ids"))).drop("__row", "__ids")
+
+
+def _ids_of_block(unknown_id: int):
+    def look_up(texts: pa.Table, known: pa.Table) -> pa.Table:
+        pieces = texts["__pieces"].combine_chunks()
+        places = pc.index_in(pieces.flatten(), value_set=known["piece"].combine_chunks())
+        ids = known["id"].combine_chunks().take(places).fill_null(unknown_id)
+        lengths = pc.list_value_length(pieces).to_numpy(zero_copy_only=False)
+        offsets = pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32))
+        rows = texts["__row"].combine_chunks()
+        return pa.table({"__row": rows, "__ids": pa.ListArray.from_arrays(offsets, ids)})
+
+    return look_up
+
+
+def _looked_up(
+    keyed: DataFrame, vocabulary: DataFrame, pattern: str, unknown_id: int, text_col: str, max_rows: int, max_bytes: int
+) -> DataFrame:
+    """The ids of every distinct text of ``keyed``, by its hash ``__row``.
+
+    The texts are numbered and looked at in blocks: the different pieces of a block, not all places of all texts, meet the vocabulary, and
+    what they found goes back to the texts of the block.
+    """
     texts = keyed.filter(F.col("__row").isNotNull()).select("__row", F.col(text_col).alias("__text"))
-    distinct = texts.dropDuplicates(["__row"])
-    exploded = distinct.select(
-        "__row",
-        F.posexplode(F.regexp_extract_all(F.col("__text"), F.lit(pattern), F.lit(0))).alias("place", "piece"),
-    )
-    known = attach(exploded, vocabulary, on=["piece"], max_rows=max_rows, max_bytes=max_bytes)
-    pair = F.struct("place", F.coalesce("id", F.lit(unknown_id)).alias("id"))
-    looked_up = known.groupBy("__row").agg(F.array_sort(F.collect_list(pair)).alias("__pairs"))
-    found = F.coalesce(F.col("__pairs.id"), F.array().cast("array<int>"))
-    encoded = F.struct(
-        pieces.alias("tokens"), F.when(F.col(text_col).isNotNull(), found).alias("token_ids")
-    )
-    joined = attach(keyed, cut_lineage(looked_up), on=["__row"], max_rows=max_rows, max_bytes=max_bytes)
-    return _with_tokens(joined, encoded).drop("__row", "__pairs")
+    numbered = cut_lineage(texts.dropDuplicates(["__row"]).withColumn("__number", F.monotonically_increasing_id()))
+    mean = numbered.agg(F.avg(F.octet_length("__text"))).first()[0]
+    per_block = max(1, int(BLOCK_BYTES / max(1, mean or 0)))
+    place = F.col("__number").bitwiseAND(F.lit((1 << 33) - 1))
+    split = F.regexp_extract_all(F.col("__text"), F.lit(pattern), F.lit(0))
+    blocks = numbered.withColumn("__block", F.col("__number") - F.pmod(place, F.lit(per_block)))
+    different = cut_lineage(blocks.select("__block", F.explode(split).alias("piece")).distinct())
+    known = attach(different, vocabulary.filter("id IS NOT NULL"), ["piece"], "inner", max_rows=max_rows, max_bytes=max_bytes)
+    # The texts are brought into order before they are split, as the pieces take far more room.
+    ordered = blocks.repartition("__block").sortWithinPartitions("__block")
+    pieces = ordered.select("__block", "__row", split.alias("__pieces"))
+    found = pieces.groupBy("__block").cogroup(known.groupBy("__block"))
+    return cut_lineage(found.applyInArrow(_ids_of_block(unknown_id), "__row binary, __ids array<int>"))

@@ -86,3 +86,55 @@ def test_token_count_is_taken_from_tokens(spark):
     given = frame.withColumn("num_tokens", F.lit(9))
     assert g.corpus_totals(g.tokens_per_shard(given)).first() == (2, 3, 27)
     assert g.split_totals(frame.withColumn("split", F.lit("x"))).first() == ("x", 3, None)
+
+
+def test_empty_vocabulary_joined(spark):
+    frame = spark.createDataFrame([(1, "a b"), (2, None), (3, "")], "i INT, text STRING")
+    for vocabulary in ([], [("a", None)]):
+        entries = spark.createDataFrame(vocabulary, "piece STRING, id INT")
+        found = g.tokenize_with_vocabulary(frame, entries, r"\S+", 7, max_rows=0)
+        assert {r.i: r.token_ids for r in found.collect()} == {1: [7, 7], 2: None, 3: []}
+
+
+def test_no_texts_joined(spark):
+    vocabulary = spark.createDataFrame([("a", 5)], "piece STRING, id INT")
+    for rows in ([], [(1, None)]):
+        frame = spark.createDataFrame(rows, "i INT, text STRING")
+        found = g.tokenize_with_vocabulary(frame, vocabulary, r"\S+", 0, max_rows=0)
+        assert [tuple(r) for r in found.collect()] == [(1, None, None, None, None)] * len(rows)
+
+
+@pytest.mark.parametrize("block_bytes", [1, 40, 1 << 22])
+def test_joined_blocks_agree_with_broadcast(spark, monkeypatch, block_bytes):
+    from grainsieve.operators import tokenizing
+
+    monkeypatch.setattr(tokenizing, "BLOCK_BYTES", block_bytes)
+    texts = [" ".join(f"w{(i * j) % 23}" for j in range(i % 40)) for i in range(200)] + [None] * 3
+    frame = spark.createDataFrame(list(enumerate(texts)), "i INT, text STRING").repartition(3)
+    vocabulary = spark.createDataFrame([(f"w{i}", i) for i in range(0, 23, 2)], "piece STRING, id INT")
+    broadcast, joined = (
+        {r.i: (r.tokens, r.token_ids) for r in g.tokenize_with_vocabulary(frame, vocabulary, r"\S+", -1, **bounds).collect()}
+        for bounds in ({}, {"max_rows": 0})
+    )
+    assert joined == broadcast
+
+
+def test_repeated_pieces_meet_the_vocabulary_once_a_block(spark, monkeypatch):
+    from grainsieve.operators import tokenizing
+
+    met = []
+
+    def attach(df, side, on, *args, **bounds):
+        if list(on) == ["piece"]:
+            met.append(df.count())
+        return real(df, side, on, *args, **bounds)
+
+    real = tokenizing.attach
+    monkeypatch.setattr(tokenizing, "attach", attach)
+    texts = [f"{'a ' * 50}b {i}" for i in range(20)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i INT, text STRING").coalesce(1)
+    vocabulary = spark.createDataFrame([("a", 5), ("b", 6)], "piece STRING, id INT")
+    found = g.tokenize_with_vocabulary(frame, vocabulary, r"\S+", -1, max_rows=0)
+    assert {r.i: r.token_ids for r in found.collect()} == {i: [5] * 50 + [6, -1] for i in range(20)}
+    # At most a block for each partition of the distinct texts, and 20 pieces that differ.
+    assert len(met) == 1 and met[0] <= 2 * 4 + 20
