@@ -17,6 +17,9 @@ from grainsieve.plans.joins import BROADCAST_BYTES, BROADCAST_ROWS, attach, fits
 # Fixed value: texts encoded at a time.
 ENCODE_ROWS = 128
 
+# Fixed value: texts whose pieces are looked up at a time.
+LOOK_UP_ROWS = 256
+
 # Bytes of the distinct texts, on average, whose pieces are looked up together beyond the broadcast bound.
 BLOCK_BYTES = 4 * 1024 * 1024
 
@@ -76,17 +79,23 @@ def tokenize(df: DataFrame, model: bytes | str, text_col: str = "text") -> DataF
     return _with_tokens(df, _subword_encoder(shared)(F.col(text_col)))
 
 
+def _numbers(pieces: pa.ListArray, known: dict[str, int], unknown_id: int) -> pa.ListArray:
+    # Each different piece is looked up once.
+    coded = pieces.flatten().dictionary_encode()
+    numbers = np.array([known.get(piece, unknown_id) for piece in coded.dictionary.to_pylist()], dtype=np.int32)
+    lengths = pc.list_value_length(pieces).fill_null(0).to_numpy(zero_copy_only=False)
+    offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+    found = pa.array(numbers[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else numbers)
+    return pa.ListArray.from_arrays(pa.array(offsets), found, mask=pieces.is_null())
+
+
 def _lookup(vocabulary: pa.Array, ids: pa.Array, unknown_id: int):
     def look_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = {piece: number for piece, number in zip(vocabulary.to_pylist(), ids.to_pylist()) if number is not None}
         for pieces in batches:
-            # Each different piece of a batch is looked up once.
-            coded = pieces.flatten().dictionary_encode()
-            numbers = np.array([known.get(piece, unknown_id) for piece in coded.dictionary.to_pylist()], dtype=np.int32)
-            lengths = pc.list_value_length(pieces).fill_null(0).to_numpy(zero_copy_only=False)
-            offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
-            found = pa.array(numbers[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else numbers)
-            yield pa.ListArray.from_arrays(pa.array(offsets), found, mask=pieces.is_null())
+            # In parts, as what is made of a whole batch on the way takes several times its room.
+            for start in range(0, len(pieces), LOOK_UP_ROWS):
+                yield _numbers(pieces.slice(start, LOOK_UP_ROWS), known, unknown_id)
 
     return F.arrow_udf(look_up, "array<int>")
 

@@ -138,3 +138,24 @@ def test_repeated_pieces_meet_the_vocabulary_once_a_block(spark, monkeypatch):
     assert {r.i: r.token_ids for r in found.collect()} == {i: [5] * 50 + [6, -1] for i in range(20)}
     # At most a block for each partition of the distinct texts, and 20 pieces that differ.
     assert len(met) == 1 and met[0] <= 2 * 4 + 20
+
+
+def test_pieces_are_looked_up_in_parts(spark):
+    import pyarrow as pa
+
+    from grainsieve.operators import tokenizing
+
+    look_up = tokenizing._lookup(pa.array(["a", "n"]), pa.array([5, None], pa.int32()), -1).func
+    rows = [["a", "b"], None, [], ["n"]] * tokenizing.LOOK_UP_ROWS
+    parts = list(look_up(iter([pa.array(rows, pa.list_(pa.string())), pa.array([], pa.list_(pa.string()))])))
+    assert max(map(len, parts)) <= tokenizing.LOOK_UP_ROWS
+    assert [ids for part in parts for ids in part.to_pylist()] == [[5, -1], None, [], [-1]] * tokenizing.LOOK_UP_ROWS
+
+
+def test_ids_of_many_rows_in_parts(spark):
+    texts = [None if i % 7 == 0 else " ".join(f"w{(i + j) % 11}" for j in range(i % 5)) for i in range(1500)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i INT, text STRING").coalesce(1)
+    vocabulary = spark.createDataFrame([(f"w{i}", i) for i in range(8)], "piece STRING, id INT")
+    found = {r.i: r.token_ids for r in g.tokenize_with_vocabulary(frame, vocabulary, r"\S+", -1).collect()}
+    number = {f"w{i}": i for i in range(8)}
+    assert found == {i: None if t is None else [number.get(w, -1) for w in t.split()] for i, t in enumerate(texts)}
