@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from grainsieve.functions.text import validation_name
 from grainsieve.operators.holdout import VALIDATION
-from grainsieve.sinks.staging import Store, listed, publish
+from grainsieve.sinks.staging import Store, compressed, listed, publish
 
 logger = logging.getLogger(__name__)
 
@@ -65,7 +65,7 @@ def write_named(
             logger.error("%d outputs of %s already exist and are skipped", len(present), root)
         rows = _absent(rows, present)
     staging, trash = (f"{root}/_{kind}-{uuid.uuid4().hex}" for kind in ("staging", "former"))
-    writer = rows.hint("rebalance", F.col(_NAME)).write.partitionBy(_NAME)
+    writer = compressed(spark, rows.hint("rebalance", F.col(_NAME)).write.partitionBy(_NAME), fmt)
     if max_rows:
         writer = writer.option("maxRecordsPerFile", max_rows)
     if fmt != "parquet":

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from grainsieve.operators.counting import split_totals
 from grainsieve.sinks.named import LISTED_NAMES, output_name, write_named
-from grainsieve.sinks.staging import recover, replace
+from grainsieve.sinks.staging import compressed, recover, replace
 from grainsieve.sources.paths import SPLIT_MARKS, child_names
 
 logger = logging.getLogger(__name__)
@@ -47,6 +47,7 @@ def _write(
         if not all(name.startswith(("_", ".")) for name in names):
             raise FileExistsError(f"{path} holds files but no {DONE}: pass overwrite=True if they may go")
         logger.warning("%s holds leftovers of an unfinished job, which are replaced", path)
+    writer = compressed(spark, writer, fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if max_rows:
@@ -143,7 +144,7 @@ def write_shards(
             df = _without(df, shard_col, named, NO_VALUE in present)
     stored = df.hint("rebalance", F.col(shard_col)) if cluster else df
     writer = stored.write.partitionBy(shard_col).mode("overwrite")
-    writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer = compressed(df.sparkSession, writer, fmt).option("partitionOverwriteMode", "dynamic")
     if fmt != "parquet":
         writer = writer.option("ignoreNullFields", "false")
     writer.format("parquet" if fmt == "parquet" else "json").save(path)

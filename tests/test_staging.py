@@ -248,3 +248,32 @@ def test_present_shards_beyond_the_list(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(writers, "LISTED_NAMES", 1)
     assert {r.n for r in write_shards(frame, path).collect()} == {3, 4}
     assert write_shards(frame, path).count() == 0
+
+
+def test_parquet_outputs_take_the_smaller_codec(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from grainsieve.sinks.named import write_named
+    from grainsieve.sinks.writers import write_parquet, write_shards
+
+    rows = spark.range(100).selectExpr("id", "concat('s', id % 2) AS shard")
+
+    def codecs(path):
+        files = glob.glob(f"{path}/**/*.parquet", recursive=True)
+        return {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files}
+
+    def write(folder):
+        write_parquet(rows, f"{folder}/a")
+        write_shards(rows, f"{folder}/b")
+        write_named(rows, f"{folder}/c", F.col("shard"))
+        assert sorted(r.id for r in spark.read.parquet(f"{folder}/b").collect()) == list(range(100))
+        return [codecs(f"{folder}/{name}") for name in "abc"]
+
+    assert write(tmp_path / "own") == [{"ZSTD"}] * 3
+    spark.conf.set("spark.sql.parquet.compression.codec", "gzip")
+    try:
+        assert write(tmp_path / "named") == [{"GZIP"}] * 3
+    finally:
+        spark.conf.unset("spark.sql.parquet.compression.codec")
