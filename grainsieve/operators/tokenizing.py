@@ -11,6 +11,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from grainsieve.functions.text import all_matches
 from grainsieve.plans.durable import cut_lineage
 from grainsieve.plans.joins import BROADCAST_BYTES, BROADCAST_ROWS, attach, fits_broadcast
 
@@ -115,7 +116,7 @@ def tokenize_with_vocabulary(
     A vocabulary beyond the measured bound is joined to the pieces of every distinct text instead of being sent to every task. Rows
     need no id (``id_col`` is not looked at): the answer follows from the text.
     """
-    pieces = F.regexp_extract_all(F.col(text_col), F.lit(pattern), F.lit(0))
+    pieces = all_matches(F.col(text_col), pattern)
     vocabulary = cut_lineage(
         vocabulary.select(F.col("piece").cast("string"), F.col("id").cast("int"))
         .filter("piece IS NOT NULL")
@@ -166,7 +167,7 @@ def _looked_up(
     mean = numbered.agg(F.avg(F.octet_length("__text"))).first()[0]
     per_block = max(1, int(BLOCK_BYTES / max(1, mean or 0)))
     place = F.col("__number").bitwiseAND(F.lit((1 << 33) - 1))
-    split = F.regexp_extract_all(F.col("__text"), F.lit(pattern), F.lit(0))
+    split = all_matches(F.col("__text"), pattern)
     blocks = numbered.withColumn("__block", F.col("__number") - F.pmod(place, F.lit(per_block)))
     different = cut_lineage(blocks.select("__block", F.explode(split).alias("piece")).distinct())
     known = attach(different, vocabulary.filter("id IS NOT NULL"), ["piece"], "inner", max_rows=max_rows, max_bytes=max_bytes)

@@ -8,6 +8,7 @@ import pytest
 import regex
 from pyspark.sql import functions as F
 
+from checks import inputs
 from grainsieve.functions import predicates as P
 from grainsieve.functions import text as T
 from grainsieve.functions.keywords import at_most_keywords, count_keywords, keyword_pattern
@@ -234,3 +235,22 @@ def test_keyword_limit_on_long_texts_and_nothing(spark):
     texts = [long, long + "key\nkey", "key" + long + "key" + long + "key", None]
     assert column(spark, texts, lambda c: at_most_keywords(c, ["key", "ke"], 2)) == [True, True, False, None]
     assert column(spark, ["a", None], lambda c: at_most_keywords(c, [], 0)) == [True, None]
+
+
+def test_listed_ranges_match_the_same(spark):
+    texts = ["".join(map(chr, range(0x250))), "ab-c é×÷_東1😀\x0b \n", "", None, *random_texts("aZz09éß×-^&[]\\ \n東😀", 100)]
+    patterns = [
+        inputs.PIECES, "[^a-c]+", "[^a-z0-9]", r"[\sa-y\d]{2,3}", "a-c|[a-c]", "[ -#é-÷]+|.", "[a-c-e]+", "[A-z]+", "[-a-c]", "[^^a-c]", "[a-c&&[^b]]",
+        r"[\w-z]", r"\[a-c]", "(?i)[a-c]+", "[ぁ-んa-c]", "[a-東]+", r"[\x41-c]", r"\Q[a-c]\E|[a-c]", "[^A-Za-z\\s]$",
+    ]
+    frame = spark.createDataFrame([(v,) for v in texts], "text STRING")
+    found = [T.all_matches(F.col("text"), pattern) for pattern in patterns]
+    plain = [F.regexp_extract_all("text", F.lit(pattern), F.lit(0)) for pattern in patterns]
+    for row in frame.select(F.array(*found).alias("found"), F.array(*plain).alias("plain")).collect():
+        assert row.found == row.plain
+
+
+def test_listed_ranges():
+    assert T.with_listed_ranges("[a-d]+|[^0-3x]|a-d") == "[abcd]+|[^0123x]|a-d"
+    for pattern in ["[a-c-e]", "[A-z]", "[c-a]", r"[\w-z]", "[a-c&&[b]]", "(?i)[a-c]", r"\[a-c]", "[ぁ-ん]"]:
+        assert T.with_listed_ranges(pattern) == pattern

@@ -159,3 +159,14 @@ def test_ids_of_many_rows_in_parts(spark):
     found = {r.i: r.token_ids for r in g.tokenize_with_vocabulary(frame, vocabulary, r"\S+", -1).collect()}
     number = {f"w{i}": i for i in range(8)}
     assert found == {i: None if t is None else [number.get(w, -1) for w in t.split()] for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("bounds", [{}, {"max_rows": 0}])
+def test_pieces_are_not_searched_range_by_range(spark, bounds):
+    texts = spark.createDataFrame([("Ab1 é×",), (None,)], "text STRING")
+    entries = spark.createDataFrame([("Ab", 7), ("×", 8)], "piece STRING, id INT")
+    tokenized = g.tokenize_with_vocabulary(texts, entries, inputs.PIECES, 0, **bounds)
+    assert "A-Z" not in tokenized._jdf.queryExecution().optimizedPlan().toString()
+    assert {(row.text, tuple(row.tokens or ()), tuple(row.token_ids or ())) for row in tokenized.collect()} == {
+        ("Ab1 é×", ("Ab", "1", "é", "×"), (7, 0, 0, 8)), (None, (), ()),
+    }
