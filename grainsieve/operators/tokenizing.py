@@ -81,9 +81,10 @@ def tokenize(df: DataFrame, model: bytes | str, text_col: str = "text") -> DataF
 
 
 def _numbers(pieces: pa.ListArray, known: dict[str, int], unknown_id: int) -> pa.ListArray:
-    # Each different piece is looked up once.
+    # Each different piece is looked up once. By way of NumPy they become Python strings several times as fast.
     coded = pieces.flatten().dictionary_encode()
-    numbers = np.array([known.get(piece, unknown_id) for piece in coded.dictionary.to_pylist()], dtype=np.int32)
+    different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    numbers = np.array([known.get(piece, unknown_id) for piece in different], dtype=np.int32)
     lengths = pc.list_value_length(pieces).fill_null(0).to_numpy(zero_copy_only=False)
     offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
     found = pa.array(numbers[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else numbers)
