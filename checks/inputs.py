@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grainsieve.functions.text import with_listed_ranges
 from grainsieve.plans.recipes import KeywordLists
 from grainsieve.sources.readers import spread
 
@@ -90,14 +91,16 @@ def code(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(part == 3, F.lit("md"))
         .otherwise(F.lit("JS"))
     )
-    alphanumeric = F.length(F.regexp_replace("text", "[^A-Za-z0-9]", ""))
+    alphanumeric = F.length(F.regexp_replace("text", with_listed_ranges("[^A-Za-z0-9]"), ""))
+    # An empty text has 0 / 0 of them, NaN in DuckDB and an error in Spark.
+    fraction = F.when(F.length("text") == 0, F.lit(float("nan"))).otherwise(alphanumeric / F.length("text"))
     return documents(spark, sf_dir).select(
         F.col("text").alias("content"),
         "doc_id",
         ext.alias("ext"),
         F.array_max(F.transform(lines, F.length)).cast("bigint").alias("max_line_length"),
         (F.length("text") / F.size(lines)).alias("avg_line_length"),
-        (alphanumeric / F.length("text")).alias("alphanum_fraction"),
+        fraction.alias("alphanum_fraction"),
         F.sha2("text", 256).alias("hexsha"),
     )
 

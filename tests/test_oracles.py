@@ -1,5 +1,6 @@
 """Every registered query against its SQL on the smallest tables."""
 
+import duckdb
 import pytest
 
 import __spark_entry__ as contract
@@ -24,6 +25,31 @@ def test_query(spark, sf_dir, duck, name):
         assert difference(frame, duck, sql) is None
 
 
+ODD_TEXTS = [
+    "", None, " ", "\n", "\n\n", "\r\n", "\t \u3000", "a", "a1\n", "\nB!", "é東😀z", "A\x00b", "\u200b", "!?", "x" * 1001,
+    "x" * 1000 + "!" * 3000, "9 9\n" * 400, "zZ09@[`{/:\u00aa\u0661", "e\u0301 e",
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark, tmp_path_factory):
+    """Odd texts once for every extension: a folder with ``documents`` and DuckDB over it."""
+    folder = tmp_path_factory.mktemp("odd")
+    path = str(folder / "documents.parquet")
+    rows = [(5 * i + part, text) for i, text in enumerate(ODD_TEXTS) for part in range(5)]
+    spark.createDataFrame(rows, "doc_id BIGINT, text STRING").write.parquet(path)
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    return str(folder), connection
+
+
+def test_code_predicates_on_odd_texts(spark, odd):
+    folder, duck = odd
+    found = QUERIES["code_predicates"](spark, folder)
+    assert found.count() == 5 * len(ODD_TEXTS)
+    assert difference(found, duck, ORACLES["code_predicates"]) is None
+
+
 def test_every_oracle_has_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
