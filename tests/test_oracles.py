@@ -50,6 +50,14 @@ def test_code_predicates_on_odd_texts(spark, odd):
     assert difference(found, duck, ORACLES["code_predicates"]) is None
 
 
+def test_recipe_code_on_odd_texts(spark, odd):
+    folder, duck = odd
+    found = QUERIES["recipe_code"](spark, folder)
+    kept = {row.text for row in found.collect()}
+    assert "a" in kept and "" not in kept
+    assert difference(found, duck, ORACLES["recipe_code"]) is None
+
+
 def test_every_oracle_has_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
